@@ -183,13 +183,13 @@ def transpose(spark, sf):
 
 @query("rpt_segment_profile", f"""
 WITH {DISTRICT_TABLE}
-SELECT CASE WHEN population >= 2 * area THEN 'dense' ELSE 'sparse' END AS segment, count(*) AS n_districts,
+SELECT CASE WHEN population >= 15 * area THEN 'dense' ELSE 'sparse' END AS segment, count(*) AS n_districts,
   round_even(avg(population), 1) AS population, round_even(avg(area), 1) AS area, round_even(avg(n_orders), 1) AS n_orders,
   round_even(avg(late_rate), 4) AS late_rate, string_agg(district, ', ' ORDER BY district) AS districts
 FROM districts GROUP BY 1 ORDER BY 1""")
 def segment_profile(spark, sf):
     named = districts_of_orders(spark, sf).withColumn(
-        "segment", F.when(F.col("population") >= 2 * F.col("area"), "dense").otherwise("sparse"))
+        "segment", F.when(F.col("population") >= 15 * F.col("area"), "dense").otherwise("sparse"))
     return r.segment_profile(named, "segment", "district", ["population", "area", "n_orders"], "late_rate")
 
 
@@ -251,6 +251,6 @@ def dirty_duplicates(spark, sf):
 
 @query("str_format_id", """
 SELECT o_orderkey, 'PED_' || lpad(CAST(row_number() OVER (ORDER BY o_orderkey) AS VARCHAR),
-  greatest(5, length(CAST(row_number() OVER (ORDER BY o_orderkey) AS VARCHAR))), '0') AS order_id FROM orders""")
+  greatest(5, length(CAST(row_number() OVER (ORDER BY o_orderkey) AS VARCHAR)))::INT, '0') AS order_id FROM orders""")
 def format_id(spark, sf):
     return perturb.format_ids(i.table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "order_id")

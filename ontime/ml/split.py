@@ -30,6 +30,15 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.25, se
     return marked.withColumn(name, inside.cast("int")).drop("cut_0")
 
 
+def _parts_passed(key: str, seed: int, cuts: int) -> Column:
+    """Number of cuts a row lies beyond. A class too small for a cut has none there: its rows lie beyond it."""
+    order = hash_key(F.col(key), seed)
+    passed: Column = F.lit(0)
+    for j in range(cuts):
+        passed = passed + F.coalesce(order > F.col(f"cut_{j}"), F.lit(True)).cast("int")
+    return passed.cast("int")
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42,
                      name: str = "fold") -> DataFrame:
     """Give every row a fold 0..folds-1; within a class, fold sizes differ by one row at most."""
@@ -38,8 +47,19 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed:
 
     cuts = hash_cuts(df, key, seed, [upto(j) for j in range(1, folds)], by=[label])
     marked = _join_cuts(df, cuts, label)
-    order = hash_key(F.col(key), seed)
-    fold: Column = F.lit(0)
-    for j in range(folds - 1):  # a class with too few rows has no cut here: its rows lie beyond it
-        fold = fold + F.coalesce(order > F.col(f"cut_{j}"), F.lit(True)).cast("int")
-    return marked.withColumn(name, fold.cast("int")).drop(*[f"cut_{j}" for j in range(folds - 1)])
+    return marked.withColumn(name, _parts_passed(key, seed, folds - 1)) \
+        .drop(*[f"cut_{j}" for j in range(folds - 1)])
+
+
+def stratified_parts(df: DataFrame, label: str, key: str, test: float = 0.25, folds: int = 5,
+                     seed: int = 42) -> DataFrame:
+    """Test rows (``fold`` -1) and the folds of the training rows, cut from one shuffled order in one go."""
+    share = _share(test)
+
+    def upto(j: int):
+        return lambda total: share(total) + F.floor((total - share(total)) * F.lit(j) / F.lit(folds))
+
+    cuts = hash_cuts(df, key, seed, [share, *[upto(j) for j in range(1, folds)]], by=[label])
+    marked = _join_cuts(df, cuts, label)
+    return marked.withColumn("fold", _parts_passed(key, seed, folds) - 1) \
+        .drop(*[f"cut_{j}" for j in range(folds)])

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from ontime.ml import train as t
 from ontime.ml.evaluate import evaluate
 from ontime.ml.spec import FeatureSpec
-from ontime.ml.split import stratified_folds, stratified_split
+from ontime.ml.split import stratified_parts
+from ontime.session import stage
 
 
 @dataclass
@@ -26,11 +27,14 @@ class TrainingResult:
 
 def split_orders(orders: DataFrame, spec: FeatureSpec, test: float = 0.25, folds: int = t.FOLDS,
                  seed: int = t.SEED) -> tuple[DataFrame, DataFrame]:
-    """Stratified train and test rows; training rows also carry their fold."""
-    data = t.with_label(orders.select(spec.id, spec.target, *spec.features), spec)
-    marked = stratified_split(data, "label", spec.id, test, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    train = stratified_folds(marked.filter("is_test = 0").drop("is_test"), "label", spec.id, folds, seed + 1)
-    return train.persist(StorageLevel.MEMORY_AND_DISK), marked.filter("is_test = 1").drop("is_test")
+    """Stratified train and test rows; training rows also carry their fold.
+
+    The features are written once: finding the cuts then reads two columns, and training reads the rest.
+    """
+    data = stage(t.with_label(orders.select(spec.id, spec.target, *spec.features), spec), "training")
+    parts = stratified_parts(data, "label", spec.id, test, folds, seed)
+    train = parts.filter("fold >= 0").persist(StorageLevel.MEMORY_AND_DISK)
+    return train, parts.filter("fold < 0").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def ablation(train: DataFrame, test: DataFrame, spec: FeatureSpec, n_rows: int, make=t.logistic) -> dict:
