@@ -21,7 +21,7 @@ from ontime.operators.integrate import attach
 from ontime.operators.reports import context
 from ontime.plans import training
 from ontime.plans.segmentation import segment_districts
-from ontime.session import scratch_path
+from ontime.session import scratch_path, stage
 from ontime.streaming import score_stream as st
 
 # --- rule-based label, prediction and score on orders ----------------------------------------------
@@ -158,11 +158,11 @@ FEATURES = FeatureRules()
 
 
 def raw_orders(spark, sf):
-    """Orders with their line totals and customer, before any external column."""
+    """Orders with their line totals and customer, before any external column. Read several times, so staged."""
     lines = i.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("items"), F.count(F.lit(1)).alias("n_lines"))
     orders, customers, nations = (i.table(spark, sf, n) for n in ("orders", "customer", "nation"))
-    return (
+    joined = (
         orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -173,6 +173,7 @@ def raw_orders(spark, sf):
             F.col("n_name").alias("district"), F.col("c_mktsegment").alias("segment"),
             F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
     )
+    return stage(joined, "orders")
 
 
 def planted(df):
@@ -192,8 +193,9 @@ def external_columns(spark, sf):
     return dims.join(weather, "district").fillna({"density": 0.0})
 
 
-def model_orders(spark, sf):
-    df = attach(order_features(raw_orders(spark, sf), FEATURES), external_columns(spark, sf), "district")
+def model_orders(spark, sf, raw=None):
+    raw = raw if raw is not None else raw_orders(spark, sf)
+    df = attach(order_features(raw, FEATURES), external_columns(spark, sf), "district")
     return planted(above_median(df, "density", "is_dense_district")).fillna({"value_per_item": 0.0})
 
 
@@ -203,8 +205,8 @@ EXTERNAL = ["density", "is_dense_district", "class", "temperature_c", "humidity_
 class Split:
     """Training and test rows of the planted orders, released when the query has its numbers."""
 
-    def __init__(self, spark, sf, folds=t.FOLDS):
-        self.train, self.test = training.split_orders(model_orders(spark, sf), SPEC, folds=folds)
+    def __init__(self, orders, folds=t.FOLDS):
+        self.train, self.test = training.split_orders(orders, SPEC, folds=folds)
 
     def __enter__(self):
         self.n = self.train.count()
@@ -222,7 +224,7 @@ def one_row(spark, name, result):
 
 
 def train_one(spark, sf, name, make):
-    with Split(spark, sf) as s:
+    with Split(model_orders(spark, sf)) as s:
         model = t.fit(make(s.n), s.train, SPEC, s.n)
         return one_row(spark, name, ev.evaluate(model.transform(s.train), model.transform(s.test)))
 
@@ -244,7 +246,7 @@ def ml_train_forest(spark, sf):
 
 @query("ml_grid_search")
 def ml_grid_search(spark, sf):
-    with Split(spark, sf, folds=3) as s:
+    with Split(model_orders(spark, sf), folds=3) as s:
         found = t.grid_search(t.tree(), {"maxDepth": [4, 8], "minInstancesPerNode": [1, 50]}, s.train, SPEC, folds=3)
         rows = [{**r, "f1": round(r["f1"], 4), "f1_std": round(r["f1_std"], 4), "best": int(r["f1"] == found.best_f1)} for r in found.table]
         return spark.createDataFrame(rows, "maxDepth int, minInstancesPerNode int, f1 double, f1_std double, best int")
@@ -252,7 +254,7 @@ def ml_grid_search(spark, sf):
 
 @query("ml_cross_validate")
 def ml_cross_validate(spark, sf):
-    with Split(spark, sf) as s:
+    with Split(model_orders(spark, sf)) as s:
         scores = t.cross_validate(t.logistic, s.train, SPEC)
         mean, deviation = t.mean_and_deviation(scores)
         rows = [(f"fold {n}", round(f1, 4)) for n, f1 in enumerate(scores)]
@@ -261,38 +263,41 @@ def ml_cross_validate(spark, sf):
 
 @query("ml_ablation")
 def ml_ablation(spark, sf):
-    with Split(spark, sf) as s:
+    with Split(model_orders(spark, sf)) as s:
         return spark.createDataFrame([training.ablation(s.train, s.test, SPEC, s.n)],
                                      "f1_operational_only double, f1_with_external double, difference double")
 
 
 @query("ml_top_features")
 def ml_top_features(spark, sf):
-    with Split(spark, sf) as s:
+    with Split(model_orders(spark, sf)) as s:
         model = t.fit(t.logistic(s.n), s.train, SPEC, s.n)
         top = ev.top_features(model, SPEC, model.transform(s.train))
         return top.select("feature", F.round("weight", 4).alias("weight"))
 
 
-def fitted_model(spark, sf):
-    with Split(spark, sf) as s:
+def fitted_model(orders):
+    with Split(orders) as s:
         return t.fit(t.logistic(s.n), s.train, SPEC, s.n)
 
 
 @query("ml_score")
 def ml_score(spark, sf):
-    scored = score(model_orders(spark, sf), fitted_model(spark, sf))
+    orders = model_orders(spark, sf)
+    scored = score(orders, fitted_model(orders))
     return scored.select("order_id", "late", F.round("late_probability", 6).alias("late_probability"), "at_risk")
 
 
 @query("ml_scenarios")
 def ml_scenarios(spark, sf):
     """Every order as it is, as an urgent one, and from a new courier at rush hour: mean risk per district."""
+    raw = raw_orders(spark, sf)
+    orders = model_orders(spark, sf, raw)
     asked = scenarios(
-        raw_orders(spark, sf),
+        raw,
         {"as is": {}, "urgent": {"priority": "1-URGENT"}, "new courier, rush hour": {"experience_months": 1, "hour": 20}},
-        FEATURES, context(model_orders(spark, sf), "district", EXTERNAL), "district").fillna({"value_per_item": 0.0})
-    scored = score(asked, fitted_model(spark, sf))
+        FEATURES, context(orders, "district", EXTERNAL), "district").fillna({"value_per_item": 0.0})
+    scored = score(asked, fitted_model(orders))
     return scored.groupBy("district", "scenario").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("late_probability"), 4).alias("late_probability"),
         F.sum("at_risk").alias("n_at_risk")).orderBy("district", "scenario")
@@ -304,9 +309,10 @@ def st_score_stream(spark, sf):
     incoming = scratch_path(spark, "incoming")
     raw = raw_orders(spark, sf)
     raw.write.parquet(incoming)
+    orders = model_orders(spark, sf, raw)
     scored = st.score_stream(
-        st.read_orders(spark, incoming, raw.schema), fitted_model(spark, sf),
-        context(model_orders(spark, sf), "district", EXTERNAL), "district", FEATURES)
+        st.read_orders(spark, incoming, raw.schema), fitted_model(orders),
+        context(orders, "district", EXTERNAL), "district", FEATURES)
     out = scratch_path(spark, "scored")
     st.write_scores(scored.select("order_id", "late_probability", "at_risk"), out, scratch_path(spark, "offsets")).awaitTermination()
     return spark.read.schema("order_id long, late_probability double, at_risk int").parquet(out) \
@@ -323,25 +329,24 @@ SEGMENTS = SegmentSpec(
 
 
 def segment_input(spark, sf):
-    districts = attach(districts_of_orders(spark, sf), i.weather_dim(spark, sf), "district")
-    return attach(districts, i.district_dim(spark, sf).select("district", "district_key"), "district").fillna({"density": 0.0})
+    return attach(districts_of_orders(spark, sf), i.weather_dim(spark, sf), "district").fillna({"density": 0.0})
 
 
 def segment_features(spark, sf, variables=SEGMENTS.variables):
-    return sg.scaled_features(segment_input(spark, sf), variables).cache()
+    return sg.settle(sg.scaled_features(segment_input(spark, sf), variables))
 
 
 @query("ml_kmeans")
 def ml_kmeans(spark, sf):
     features = segment_features(spark, sf)
-    model = sg.kmeans(features, 2, starts=10)
+    model = sg.kmeans(features, 2, starts=5)
     named = sg.name_segments(model.transform(features), "prediction", "density", ("low density", "high density"))
     return named.select("district", "segment", "population", "area", "density")
 
 
 @query("ml_k_sweep")
 def ml_k_sweep(spark, sf):
-    table = sg.k_sweep(segment_features(spark, sf), "district_key", (2, 3, 4, 5, 6), starts=10)
+    table = sg.k_sweep(segment_features(spark, sf), "district_key", (2, 3, 4, 5, 6), starts=5)
     return spark.createDataFrame(table, "k int, inertia double, silhouette double, metric string")
 
 
@@ -354,7 +359,7 @@ def ml_pca(spark, sf):
 
 @query("job_segment")
 def job_segment(spark, sf):
-    return segment_districts(segment_input(spark, sf), "district", "district_key", SEGMENTS, "density", "late_rate", starts=10).profile
+    return segment_districts(segment_input(spark, sf), "district", "district_key", SEGMENTS, "density", "late_rate", starts=5).profile
 
 
 @query("ml_silhouette", """
@@ -375,7 +380,7 @@ def ml_silhouette(spark, sf):
 def ml_design_compare(spark, sf):
     """Best silhouette of three designs: orders, districts with operational columns, districts without."""
     rows = []
-    orders = sg.scaled_features(raw_orders(spark, sf), ("items", "value", "hour", "experience_months")).cache()
+    orders = sg.settle(sg.scaled_features(raw_orders(spark, sf), ("items", "value", "hour", "experience_months")))
     best = max((squared_silhouette(sg.kmeans(orders, k, starts=1).transform(orders)), -k) for k in (2, 3))
     rows.append(("orders", -best[1], round(best[0], 4), "squared_euclidean"))
     for name, variables in (("districts, operational and external", [*SEGMENTS.variables, "n_orders", "mean_items"]),

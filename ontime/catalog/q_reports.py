@@ -99,13 +99,13 @@ def districts_of_orders(spark, sf):
     dims = i.district_dim(spark, sf).select("district", "population", "area", "density")
     orders = attach(valid(spark, sf), dims, "district")
     return r.district_table(orders, "district", "late", {"mean_items": "items", "mean_lead": "lead_days"},
-                            ["region_key", "population", "area", "density"])
+                            ["district_key", "region_key", "population", "area", "density"])
 
 
 DISTRICT_TABLE = f"""
 {i.FACT}, {i.DISTRICTS}, districts AS (
   SELECT district, count(*) AS n_orders, avg(late) AS late_rate, avg(items) AS mean_items, avg(lead_days) AS mean_lead,
-         any_value(fact.region_key) AS region_key, any_value(population) AS population, any_value(area) AS area,
+         any_value(fact.district_key) AS district_key, any_value(fact.region_key) AS region_key, any_value(population) AS population, any_value(area) AS area,
          any_value(density) AS density
   FROM fact LEFT JOIN district_dim USING (district) WHERE lead_days > 0 GROUP BY 1
 )"""
@@ -113,7 +113,7 @@ DISTRICT_TABLE = f"""
 
 @query("agg_district_table", f"""
 WITH {DISTRICT_TABLE} SELECT district, n_orders, round(late_rate, 6) AS late_rate, round(mean_items, 6) AS mean_items,
-  round(mean_lead, 6) AS mean_lead, region_key, population, area, density FROM districts""")
+  round(mean_lead, 6) AS mean_lead, district_key, region_key, population, area, density FROM districts""")
 def district_table(spark, sf):
     return districts_of_orders(spark, sf).withColumns(
         {c: F.round(c, 6) for c in ("late_rate", "mean_items", "mean_lead")})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,6 +16,7 @@ from ontime.ml.preprocess import zscore
 from ontime.ml.silhouette import euclidean_silhouette, squared_silhouette
 
 STARTS = 30
+ROWS_PER_TASK = 20_000
 SEED = 42
 
 
@@ -25,9 +27,19 @@ def scaled_features(df: DataFrame, variables: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol="features").transform(z).drop(*cols)
 
 
+def settle(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Cache a table that is read many times, in no more tasks than its counted rows call for.
+
+    Iterative fits start one set of tasks per step; a few districts must not be spread over hundreds of them.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    wanted = max(1, -(-kept.count() // rows_per_task))
+    return kept.coalesce(wanted)
+
+
 def kmeans(features: DataFrame, k: int, starts: int = STARTS, seed: int = SEED, parallelism: int = 8,
            max_iter: int = 100) -> KMeansModel:
-    """Best of several K-Means starts by training cost. Cache ``features`` before calling."""
+    """Best of several K-Means starts by training cost. Pass ``features`` through :func:`settle` first."""
     def run(i: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4).fit(features)
 

@@ -14,27 +14,6 @@ from pyspark.sql import functions as F
 BLOCK = 2_000
 
 
-def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Distance sums from each point of one block to the clusters present in another block."""
-    if left.empty or right.empty:
-        return pd.DataFrame({"id": [], "cluster": [], "other": [], "total": []})
-    a = np.stack([np.asarray(v, dtype="float64") for v in left["x"]])
-    b = np.stack([np.asarray(v, dtype="float64") for v in right["x"]])
-    squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-    same = left["id"].to_numpy()[:, None] == right["id"].to_numpy()[None, :]
-    distance = np.sqrt(np.where(same, 0.0, np.maximum(squared, 0.0)))
-    clusters, place = np.unique(right["cluster"].to_numpy(), return_inverse=True)
-    totals = np.zeros((len(a), len(clusters)))
-    for i in range(len(clusters)):
-        totals[:, i] = distance[:, place == i].sum(1)
-    return pd.DataFrame({
-        "id": np.repeat(left["id"].to_numpy(), len(clusters)),
-        "cluster": np.repeat(left["cluster"].to_numpy(), len(clusters)),
-        "other": np.tile(clusters, len(a)),
-        "total": totals.ravel(),
-    })
-
-
 def euclidean_silhouette(df: DataFrame, key: str, cluster: str, vector: str, block: int = BLOCK) -> DataFrame:
     """Exact mean silhouette with plain Euclidean distances, as one row ``silhouette, n``.
 
@@ -43,15 +22,36 @@ def euclidean_silhouette(df: DataFrame, key: str, cluster: str, vector: str, blo
     the points: meant for districts, not orders (see :func:`squared_silhouette`). Points alone in their
     cluster count 0.
     """
+    def block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """Distance sums from each point of one block to the clusters present in another block."""
+        if left.empty or right.empty:
+            return pd.DataFrame({"id": [], "cluster": [], "other": [], "total": []})
+        a = np.stack([np.asarray(v, dtype="float64") for v in left["x"]])
+        b = np.stack([np.asarray(v, dtype="float64") for v in right["r_x"]])
+        squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
+        same = left["id"].to_numpy()[:, None] == right["r_id"].to_numpy()[None, :]
+        distance = np.sqrt(np.where(same, 0.0, np.maximum(squared, 0.0)))
+        clusters, place = np.unique(right["r_cluster"].to_numpy(), return_inverse=True)
+        totals = np.zeros((len(a), len(clusters)))
+        for i in range(len(clusters)):
+            totals[:, i] = distance[:, place == i].sum(1)
+        return pd.DataFrame({
+            "id": np.repeat(left["id"].to_numpy(), len(clusters)),
+            "cluster": np.repeat(left["cluster"].to_numpy(), len(clusters)),
+            "other": np.tile(clusters, len(a)),
+            "total": totals.ravel(),
+        })
+
     points = df.select(F.col(key).cast("long").alias("id"), F.col(cluster).cast("int").alias("cluster"),
                        F.col(vector).cast("array<double>").alias("x"))
     blocks = max(1, -(-points.count() // block))
     every = F.sequence(F.lit(0), F.lit(blocks - 1))
     own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     left = points.withColumn("bi", own).withColumn("bj", F.explode(every))
-    right = points.withColumn("bj", own).withColumn("bi", F.explode(every))
-    sums = left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInPandas(
-        _block_sums, "id long, cluster int, other int, total double")
+    right = points.withColumn("bj", own).withColumn("bi", F.explode(every)).select(
+        *[F.col(c).alias(f"r_{c}") for c in ("id", "cluster", "x", "bi", "bj")])
+    sums = left.groupBy("bi", "bj").cogroup(right.groupBy("r_bi", "r_bj")).applyInPandas(
+        block_sums, "id long, cluster int, other int, total double")
     sizes = points.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("n"))
     means = (
         sums.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"))

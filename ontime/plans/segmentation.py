@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ontime.ml.segment import STARTS, choose_k, k_sweep, kmeans, name_segments, principal_components, scaled_features
+from ontime.ml.segment import STARTS, choose_k, k_sweep, kmeans, name_segments, principal_components, scaled_features, settle
 from ontime.ml.spec import SegmentSpec
 from ontime.operators.reports import homogeneity, segment_profile
 
@@ -26,7 +26,7 @@ class Segmentation:
 def segment_districts(districts: DataFrame, name: str, key: str, spec: SegmentSpec, rank_by: str, rate: str,
                       names: Sequence[str] = SEGMENT_NAMES, starts: int = STARTS, exact: bool = True) -> Segmentation:
     """``districts`` has one row per district; ``key`` is a numeric id of it."""
-    features = scaled_features(districts, spec.variables).cache()
+    features = settle(scaled_features(districts, spec.variables))
     table = k_sweep(features, key, spec.k_range, starts, exact)
     k = spec.k or choose_k(table)
     model = kmeans(features, k, starts)

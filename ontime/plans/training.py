@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from ontime.ml import train as t
 from ontime.ml.evaluate import evaluate
+from ontime.ml.segment import settle
 from ontime.ml.spec import FeatureSpec
 from ontime.ml.split import stratified_parts
 from ontime.session import stage
@@ -33,8 +33,7 @@ def split_orders(orders: DataFrame, spec: FeatureSpec, test: float = 0.25, folds
     """
     data = stage(t.with_label(orders.select(spec.id, spec.target, *spec.features), spec), "training")
     parts = stratified_parts(data, "label", spec.id, test, folds, seed)
-    train = parts.filter("fold >= 0").persist(StorageLevel.MEMORY_AND_DISK)
-    return train, parts.filter("fold < 0").persist(StorageLevel.MEMORY_AND_DISK)
+    return settle(parts.filter("fold >= 0")), settle(parts.filter("fold < 0"))
 
 
 def ablation(train: DataFrame, test: DataFrame, spec: FeatureSpec, n_rows: int, make=t.logistic) -> dict:
