@@ -333,20 +333,21 @@ def segment_input(spark, sf):
 
 
 def segment_features(spark, sf, variables=SEGMENTS.variables):
-    return sg.settle(sg.scaled_features(segment_input(spark, sf), variables))
+    return sg.scaled_features(segment_input(spark, sf), variables)
 
 
 @query("ml_kmeans")
 def ml_kmeans(spark, sf):
     features = segment_features(spark, sf)
-    model = sg.kmeans(features, 2, starts=5)
+    model = sg.kmeans(features, 2, starts=10)
     named = sg.name_segments(model.transform(features), "prediction", "density", ("low density", "high density"))
     return named.select("district", "segment", "population", "area", "density")
 
 
 @query("ml_k_sweep")
 def ml_k_sweep(spark, sf):
-    table = sg.k_sweep(segment_features(spark, sf), "district_key", (2, 3, 4, 5, 6), starts=5)
+    features = segment_features(spark, sf)
+    table = sg.k_sweep(features, "district_key", sg.best_kmeans(features, (2, 3, 4, 5, 6), starts=10))
     return spark.createDataFrame(table, "k int, inertia double, silhouette double, metric string")
 
 
@@ -359,7 +360,7 @@ def ml_pca(spark, sf):
 
 @query("job_segment")
 def job_segment(spark, sf):
-    return segment_districts(segment_input(spark, sf), "district", "district_key", SEGMENTS, "density", "late_rate", starts=5).profile
+    return segment_districts(segment_input(spark, sf), "district", "district_key", SEGMENTS, "density", "late_rate", starts=10).profile
 
 
 @query("ml_silhouette", """
@@ -380,12 +381,13 @@ def ml_silhouette(spark, sf):
 def ml_design_compare(spark, sf):
     """Best silhouette of three designs: orders, districts with operational columns, districts without."""
     rows = []
-    orders = sg.settle(sg.scaled_features(raw_orders(spark, sf), ("items", "value", "hour", "experience_months")))
+    orders = sg.scaled_features(raw_orders(spark, sf), ("items", "value", "hour", "experience_months"))
     best = max((squared_silhouette(sg.kmeans(orders, k, starts=1).transform(orders)), -k) for k in (2, 3))
     rows.append(("orders", -best[1], round(best[0], 4), "squared_euclidean"))
     for name, variables in (("districts, operational and external", [*SEGMENTS.variables, "n_orders", "mean_items"]),
                             ("districts, external only", SEGMENTS.variables)):
-        table = sg.k_sweep(segment_features(spark, sf, variables), "district_key", (2, 3, 4), starts=5)
+        features = segment_features(spark, sf, variables)
+        table = sg.k_sweep(features, "district_key", sg.best_kmeans(features, (2, 3, 4), starts=10))
         chosen = max(table, key=lambda r: r["silhouette"])
         rows.append((name, chosen["k"], chosen["silhouette"], chosen["metric"]))
     return spark.createDataFrame(rows, "design string, k int, silhouette double, metric string")

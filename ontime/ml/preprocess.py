@@ -15,12 +15,13 @@ from ontime.ml.spec import FeatureSpec
 
 def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:
     """Centre and divide by the population deviation; a constant column becomes 0."""
-    stats = df.agg(*[F.avg(c).alias(f"{c}_m") for c in columns], *[F.stddev_pop(c).alias(f"{c}_s") for c in columns])
+    stats = df.agg(*[F.avg(c).alias(f"{c}_m") for c in columns],
+                   *[F.stddev_pop(c).alias(f"{c}_s") for c in columns]).first()
 
     def scaled(c: str):
-        deviation = stats.select(f"{c}_s").scalar()
-        centred = F.col(c) - stats.select(f"{c}_m").scalar()
-        return F.when(deviation == 0, F.when(F.col(c).isNotNull(), F.lit(0.0))).otherwise(F.try_divide(centred, deviation))
+        if not stats[f"{c}_s"]:
+            return F.when(F.col(c).isNotNull(), F.lit(0.0))
+        return (F.col(c) - F.lit(stats[f"{c}_m"])) / F.lit(stats[f"{c}_s"])
 
     return df.withColumns({f"{c}{suffix}": scaled(c) for c in columns})
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,55 +14,56 @@ from pyspark.sql import functions as F
 
 from ontime.ml.preprocess import zscore
 from ontime.ml.silhouette import euclidean_silhouette, squared_silhouette
+from ontime.session import settle
 
 STARTS = 30
-ROWS_PER_TASK = 20_000
 SEED = 42
 
 
 def scaled_features(df: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """Z-scores of the variables as the vector ``features``; rows with an unknown variable are left out."""
-    z = zscore(df.dropna(subset=list(variables)), variables)
-    cols = [f"{c}_z" for c in variables]
-    return VectorAssembler(inputCols=cols, outputCol="features").transform(z).drop(*cols)
-
+    """Z-scores of the variables as the vector ``features``; rows with an unknown variable are left out.
 
-def settle(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Cache a table that is read many times, in no more tasks than its counted rows call for.
-
-    Iterative fits start one set of tasks per step; a few districts must not be spread over hundreds of them.
+    The table is written once, because the statistics, every K-Means start and the profile read it again.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    wanted = max(1, -(-kept.count() // rows_per_task))
-    return kept.coalesce(wanted)
-
-
-def kmeans(features: DataFrame, k: int, starts: int = STARTS, seed: int = SEED, parallelism: int = 8,
-           max_iter: int = 100) -> KMeansModel:
-    """Best of several K-Means starts by training cost. Pass ``features`` through :func:`settle` first."""
-    def run(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4).fit(features)
-
-    with ThreadPool(min(parallelism, starts)) as pool:
-        models = pool.map(run, range(starts))
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
-def k_sweep(features: DataFrame, key: str, k_range: Sequence[int] = (2, 3, 4, 5, 6), starts: int = STARTS,
-            exact: bool = True) -> list[dict]:
-    """Inertia and silhouette of each k. ``exact`` measures Euclidean silhouettes, else squared Euclidean."""
-    table = []
-    for k in k_range:
-        model = kmeans(features, k, starts)
-        placed = model.transform(features)
-        if exact:
-            row = euclidean_silhouette(placed.withColumn("_x", vector_to_array("features")), key, "prediction", "_x").first()
-            value, metric = row["silhouette"], "euclidean"
-        else:
-            value, metric = squared_silhouette(placed), "squared_euclidean"
-        table.append({"k": k, "inertia": round(model.summary.trainingCost, 2), "silhouette": round(value, 4),
-                      "metric": metric})
-    return table
+    kept = settle(df.dropna(subset=list(variables)), "districts")
+    cols = [f"{c}_z" for c in variables]
+    return VectorAssembler(inputCols=cols, outputCol="features").transform(zscore(kept, variables)).drop(*cols)
+
+
+def best_kmeans(features: DataFrame, k_range: Sequence[int], starts: int = STARTS, seed: int = SEED,
+                parallelism: int = 8, max_iter: int = 100) -> dict[int, KMeansModel]:
+    """For every k the best of several K-Means starts by training cost; all fits share one pool of driver threads."""
+    def run(task: tuple[int, int]) -> KMeansModel:
+        k, start = task
+        return KMeans(k=k, seed=seed + start, maxIter=max_iter, tol=1e-4).fit(features)
+
+    tasks = [(k, start) for k in k_range for start in range(starts)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        fitted = pool.map(run, tasks, chunksize=1)
+    best: dict[int, KMeansModel] = {}
+    for (k, _), model in zip(tasks, fitted):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
+
+
+def kmeans(features: DataFrame, k: int, starts: int = STARTS, seed: int = SEED) -> KMeansModel:
+    return best_kmeans(features, [k], starts, seed)[k]
+
+
+def k_sweep(features: DataFrame, key: str, models: Mapping[int, KMeansModel], exact: bool = True) -> list[dict]:
+    """Inertia and silhouette of each fitted k. ``exact`` measures Euclidean silhouettes, else squared Euclidean."""
+    if exact:
+        metric = "euclidean"
+        placed = [m.transform(features).select(F.lit(k).alias("k"), key, "prediction", vector_to_array("features").alias("_x"))
+                  for k, m in models.items()]
+        rows = euclidean_silhouette(reduce(DataFrame.unionAll, placed), key, "prediction", "_x", by="k").collect()
+        width = {r["k"]: r["silhouette"] for r in rows}  # one row per k
+    else:
+        metric = "squared_euclidean"
+        width = {k: squared_silhouette(m.transform(features)) for k, m in models.items()}
+    return [{"k": k, "inertia": round(m.summary.trainingCost, 2), "silhouette": round(width[k], 4), "metric": metric}
+            for k, m in models.items()]
 
 
 def choose_k(table: Sequence[Mapping]) -> int:

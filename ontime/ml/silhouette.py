@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -14,49 +12,52 @@ from pyspark.sql import functions as F
 BLOCK = 2_000
 
 
-def euclidean_silhouette(df: DataFrame, key: str, cluster: str, vector: str, block: int = BLOCK) -> DataFrame:
-    """Exact mean silhouette with plain Euclidean distances, as one row ``silhouette, n``.
+def euclidean_silhouette(df: DataFrame, key: str, cluster: str, vector: str, by: str | None = None,
+                         block: int = BLOCK) -> DataFrame:
+    """Exact mean silhouette with plain Euclidean distances: ``silhouette, n``, one row, or one per ``by`` value.
 
     Mean distances to a cluster have no closed form, so every pair must be measured; the pairs are measured
     block against block and only one sum per point and cluster leaves a task. Work grows with the square of
     the points: meant for districts, not orders (see :func:`squared_silhouette`). Points alone in their
     cluster count 0.
     """
+
     def block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Distance sums from each point of one block to the clusters present in another block."""
         if left.empty or right.empty:
-            return pd.DataFrame({"id": [], "cluster": [], "other": [], "total": []})
+            return pd.DataFrame({"design": [], "id": [], "cluster": [], "other": [], "total": []})
         a = np.stack([np.asarray(v, dtype="float64") for v in left["x"]])
         b = np.stack([np.asarray(v, dtype="float64") for v in right["r_x"]])
         squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
         same = left["id"].to_numpy()[:, None] == right["r_id"].to_numpy()[None, :]
         distance = np.sqrt(np.where(same, 0.0, np.maximum(squared, 0.0)))
         clusters, place = np.unique(right["r_cluster"].to_numpy(), return_inverse=True)
-        totals = np.zeros((len(a), len(clusters)))
-        for i in range(len(clusters)):
-            totals[:, i] = distance[:, place == i].sum(1)
+        member = np.eye(len(clusters))[place]
         return pd.DataFrame({
+            "design": left["design"].iloc[0],
             "id": np.repeat(left["id"].to_numpy(), len(clusters)),
             "cluster": np.repeat(left["cluster"].to_numpy(), len(clusters)),
             "other": np.tile(clusters, len(a)),
-            "total": totals.ravel(),
+            "total": (distance @ member).ravel(),
         })
 
-    points = df.select(F.col(key).cast("long").alias("id"), F.col(cluster).cast("int").alias("cluster"),
-                       F.col(vector).cast("array<double>").alias("x"))
-    blocks = max(1, -(-points.count() // block))
+    design = F.col(by) if by else F.lit(0)
+    points = df.select(design.cast("long").alias("design"), F.col(key).cast("long").alias("id"),
+                       F.col(cluster).cast("int").alias("cluster"), F.col(vector).cast("array<double>").alias("x"))
+    largest = points.groupBy("design").count().agg(F.max("count")).first()[0] or 0
+    blocks = max(1, -(-largest // block))
     every = F.sequence(F.lit(0), F.lit(blocks - 1))
     own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     left = points.withColumn("bi", own).withColumn("bj", F.explode(every))
-    right = points.withColumn("bj", own).withColumn("bi", F.explode(every)).select(
-        *[F.col(c).alias(f"r_{c}") for c in ("id", "cluster", "x", "bi", "bj")])
-    sums = left.groupBy("bi", "bj").cogroup(right.groupBy("r_bi", "r_bj")).applyInPandas(
-        block_sums, "id long, cluster int, other int, total double")
-    sizes = points.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("n"))
+    right = points.withColumn("bj", own).withColumn("bi", F.explode(every))
+    right = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
+    sums = left.groupBy("design", "bi", "bj").cogroup(right.groupBy("r_design", "r_bi", "r_bj")).applyInPandas(
+        block_sums, "design long, id long, cluster int, other int, total double")
+    sizes = points.groupBy("design", F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("n"))
     means = (
-        sums.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"))
-        .join(sizes, "other")
-        .groupBy("id")
+        sums.groupBy("design", "id", "cluster", "other").agg(F.sum("total").alias("total"))
+        .join(sizes, ["design", "other"])
+        .groupBy("design", "id")
         .agg(
             F.max(F.when(F.col("cluster") == F.col("other"), F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
             F.min(F.when(F.col("cluster") != F.col("other"), F.col("total") / F.col("n"))).alias("b"),
@@ -64,7 +65,8 @@ def euclidean_silhouette(df: DataFrame, key: str, cluster: str, vector: str, blo
     )
     width = F.when(F.col("a").isNull(), F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
-    return means.agg(F.avg(width).alias("silhouette"), F.count(F.lit(1)).alias("n"))
+    result = means.groupBy("design").agg(F.avg(width).alias("silhouette"), F.count(F.lit(1)).alias("n"))
+    return result.withColumnRenamed("design", by) if by else result.drop("design")
 
 
 def squared_silhouette(df: DataFrame, features: str = "features", cluster: str = "prediction") -> float:

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ontime.ml.segment import STARTS, choose_k, k_sweep, kmeans, name_segments, principal_components, scaled_features, settle
+from ontime.ml.segment import (
+    STARTS, best_kmeans, choose_k, k_sweep, name_segments, principal_components, scaled_features,
+)
 from ontime.ml.spec import SegmentSpec
 from ontime.operators.reports import homogeneity, segment_profile
 
@@ -26,10 +28,11 @@ class Segmentation:
 def segment_districts(districts: DataFrame, name: str, key: str, spec: SegmentSpec, rank_by: str, rate: str,
                       names: Sequence[str] = SEGMENT_NAMES, starts: int = STARTS, exact: bool = True) -> Segmentation:
     """``districts`` has one row per district; ``key`` is a numeric id of it."""
-    features = settle(scaled_features(districts, spec.variables))
-    table = k_sweep(features, key, spec.k_range, starts, exact)
+    features = scaled_features(districts, spec.variables)
+    models = best_kmeans(features, spec.k_range, starts)
+    table = k_sweep(features, key, models, exact)
     k = spec.k or choose_k(table)
-    model = kmeans(features, k, starts)
+    model = models[k]
     placed, shares = principal_components(model.transform(features).withColumnRenamed("prediction", "cluster"))
     named = name_segments(placed, "cluster", rank_by, names).drop("features")
     report = {
@@ -45,4 +48,4 @@ def segment_districts(districts: DataFrame, name: str, key: str, spec: SegmentSp
     }
     means = [*spec.variables, *[c for c in spec.descriptive if c != rate]]
     return Segmentation(named, segment_profile(named, "segment", name, means, rate),
-                        homogeneity(districts, spec.descriptive), report)
+                        homogeneity(features, spec.descriptive), report)

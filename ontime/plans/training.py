@@ -7,13 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ontime.ml import train as t
 from ontime.ml.evaluate import evaluate
-from ontime.ml.segment import settle
 from ontime.ml.spec import FeatureSpec
 from ontime.ml.split import stratified_parts
-from ontime.session import stage
+from ontime.session import sized, stage
 
 
 @dataclass
@@ -32,8 +32,9 @@ def split_orders(orders: DataFrame, spec: FeatureSpec, test: float = 0.25, folds
     The features are written once: finding the cuts then reads two columns, and training reads the rest.
     """
     data = stage(t.with_label(orders.select(spec.id, spec.target, *spec.features), spec), "training")
-    parts = stratified_parts(data, "label", spec.id, test, folds, seed)
-    return settle(parts.filter("fold >= 0")), settle(parts.filter("fold < 0"))
+    parts = stage(stratified_parts(data, "label", spec.id, test, folds, seed), "parts")
+    n = parts.agg(F.count_if(F.col("fold") >= 0).alias("train"), F.count_if(F.col("fold") < 0).alias("test")).first()
+    return sized(parts.filter("fold >= 0"), n["train"]), sized(parts.filter("fold < 0"), n["test"])
 
 
 def ablation(train: DataFrame, test: DataFrame, spec: FeatureSpec, n_rows: int, make=t.logistic) -> dict:

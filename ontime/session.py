@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+ROWS_PER_TASK = 20_000
+
 _local_scratch: str | None = None
 
 
@@ -59,6 +62,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """Cache a table for repeated reading in no more tasks than its row count calls for.
+
+    Iterative fits start one set of tasks per step; a few districts must not be spread over hundreds of them.
+    """
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Stage a table and cache it for an iterative fit."""
+    staged = stage(df, name)
+    return sized(staged, staged.count())
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
