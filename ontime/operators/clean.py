@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.numeric import nan_to_null, null_above
@@ -129,16 +129,11 @@ def clean(df: DataFrame, rules: CleanRules) -> CleanResult:
     """Clean a table in a fixed order and report on it.
 
     Duplicates are removed before text is normalized and nulls are filled, so rows that become equal later
-    both stay. The distinct, valid rows are written once; the report is taken while writing, and the medians
-    and modes then read only their own columns.
+    both stay. The distinct rows are written once with their markers; the report is one aggregate over them,
+    and the medians and modes read only their own columns.
     """
-    seen = Observation()
-    kept = (
-        tidy(df, rules)
-        .observe(seen, *report_measures(df.columns, rules))
-        .filter("_valid")
-        .select(*df.columns)
-    )
-    staged = stage(kept, "clean")
-    filled = impute_mode(impute_median(staged, rules.impute_median), rules.impute_mode)
-    return CleanResult(filled, dict(seen.get), staged)
+    staged = stage(tidy(df, rules), "clean")
+    report = staged.agg(*report_measures(df.columns, rules)).first().asDict()
+    kept = staged.filter("_valid").select(*df.columns)
+    filled = impute_mode(impute_median(kept, rules.impute_median), rules.impute_mode)
+    return CleanResult(filled, report, staged)
