@@ -14,6 +14,9 @@ from ontime.functions.order_keys import hash_key
 # A value list up to this long is small enough to be ranked by one task.
 RANK_LIMIT = 1_000_000
 
+ROWS_PER_PART = 100_000
+MAX_PARTS = 10_000
+
 
 # --- exact medians ---------------------------------------------------------------------------------
 
@@ -199,22 +202,25 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(hash_key(F.col(key), seed))
 
 
-def number_rows(df: DataFrame, key: str, name: str = "row_no", parts: int = 1_000) -> DataFrame:
+def number_rows(df: DataFrame, key: str, name: str = "row_no", rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """1, 2, 3, ... in the order of a unique numeric key, without one task seeing the whole table.
 
-    Approximate quantiles cut the key range into about equal parts; each part is numbered on its own and
-    shifted by the size of the parts before it.
+    Approximate quantiles cut the key range into about equal parts of ``rows_per_part`` rows (at most MAX_PARTS
+    parts); each part is numbered on its own and shifted by the size of the parts before it.
     """
-    marks = df.agg(F.percentile_approx(F.col(key).cast("double"), [i / parts for i in range(1, parts)],
-                                       10 * parts).alias("m")).first()["m"] or []
-    splits = [-math.inf, *sorted(set(marks)), math.inf]
+    parts = min(MAX_PARTS, -(-df.count() // rows_per_part))
+    marks = []
+    if parts > 1:
+        marks = df.agg(F.percentile_approx(F.col(key).cast("double"), [i / parts for i in range(1, parts)],
+                                           10 * parts).alias("m")).first()["m"]
+    splits = [-math.inf, *sorted(set(marks)), math.inf] if marks else [-math.inf, 0.0, math.inf]
     placed = Bucketizer(splits=splits, inputCol="_key", outputCol="_part").transform(
         df.withColumn("_key", F.col(key).cast("double"))).drop("_key")
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     rank = F.row_number().over(Window.partitionBy("_part").orderBy(key))
-    # offsets has at most `parts` rows
+    # offsets has at most MAX_PARTS + 1 rows
     return (
         placed.withColumn("_rank", rank)
         .join(F.broadcast(offsets), "_part")

@@ -63,11 +63,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def sized(df: DataFrame, rows: int) -> DataFrame:
-    """Cache a table for repeated reading in no more tasks than its row count calls for.
+    """Cache a table for repeated reading in about as many tasks as its row count calls for.
 
-    Iterative fits start one set of tasks per step; a few districts must not be spread over hundreds of them.
+    Iterative fits start one set of tasks per step: a few districts must not be spread over hundreds of them,
+    and rows that were staged in one small file must not keep all other cores idle.
     """
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
+    wanted = max(1, -(-rows // ROWS_PER_TASK))
+    present = df.rdd.getNumPartitions()
+    if wanted <= present:
+        spread = df.coalesce(wanted)
+    else:
+        spread = df.repartition(min(wanted, max(present, df.sparkSession.sparkContext.defaultParallelism)))
+    return spread.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

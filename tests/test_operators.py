@@ -65,7 +65,7 @@ def test_sample_and_numbering(spark):
         assert selection.sample_rows(df, n, "id", 3).count() == min(n, 5_000)
     again = selection.sample_rows(df.repartition(7), 50, "id", 3)
     assert selection.sample_rows(df, 50, "id", 3).exceptAll(again).count() == 0
-    numbered = selection.number_rows(df.repartition(5), "id", "no", parts=17)
+    numbered = selection.number_rows(df.repartition(5), "id", "no", rows_per_part=300)
     assert numbered.filter(F.col("no") != F.col("id") / 3 + 1).count() == 0 and numbered.count() == 5_000
     ids = perturb.format_ids(df, "id", "order_id").orderBy("id").limit(2).collect()
     assert [r["order_id"] for r in ids] == ["PED_00001", "PED_00002"]
