@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ontime.functions.numeric import density, flag
 from ontime.operators import perturb
 from ontime.operators.features import date_parts, late_flag
+from ontime.session import stage
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -103,6 +104,11 @@ def weather_dim(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def reference(dim: DataFrame) -> DataFrame:
+    """A dimension kept as a table, as reference data is: key checks and joins then read it, not its sources."""
+    return stage(dim, "reference")
+
+
 # --- dirty: events made dirty by fixed rules -------------------------------------------------------
 
 DIRTY = """

@@ -143,7 +143,7 @@ def flags(spark, sf):
 
 
 def _fact_with_density(spark, sf):
-    dims = i.district_dim(spark, sf).select("district", "density", "population", "area")
+    dims = i.reference(i.district_dim(spark, sf).select("district", "density", "population", "area"))
     return attach(i.fact(spark, sf), dims, "district")
 
 
@@ -176,7 +176,7 @@ WITH {i.FACT}, {i.DISTRICTS}, {i.WEATHER}
 SELECT order_key, line_no, value, population, temperature_c, wind_kmh FROM fact
 LEFT JOIN district_dim USING (district) LEFT JOIN weather_dim USING (district)""")
 def two_dims(spark, sf):
-    joined = attach(_fact_with_density(spark, sf), i.weather_dim(spark, sf), "district")
+    joined = attach(_fact_with_density(spark, sf), i.reference(i.weather_dim(spark, sf)), "district")
     return joined.select("order_key", "line_no", "value", "population", "temperature_c", "wind_kmh")
 
 
@@ -185,8 +185,8 @@ WITH {i.FACT}, c AS (SELECT district, any_value(region_key) AS region, any_value
 SELECT n_name AS district, s_suppkey AS scenario, region, code FROM supplier JOIN nation ON s_nationkey = n_nationkey
 JOIN c ON c.district = n_name""")
 def join_context(spark, sf):
-    attributes = r.context(i.fact(spark, sf).select(
-        "district", F.col("region_key").alias("region"), F.col("district_key").alias("code")), "district", ["region", "code"])
+    attributes = i.reference(r.context(i.fact(spark, sf).select(
+        "district", F.col("region_key").alias("region"), F.col("district_key").alias("code")), "district", ["region", "code"]))
     asked = i.table(spark, sf, "supplier").join(i.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")) \
         .select(F.col("n_name").alias("district"), F.col("s_suppkey").alias("scenario"))
     return asked.join(prepare_dimension(attributes, "district"), "district").select("district", "scenario", "region", "code")
@@ -194,7 +194,7 @@ def join_context(spark, sf):
 
 def _dims(spark, sf, title: bool):
     def named(df):
-        return df.withColumn("district", title_case(F.col("district"))) if title else df
+        return i.reference(df.withColumn("district", title_case(F.col("district"))) if title else df)
     return [
         Dimension("districts", named(i.district_dim(spark, sf)), ["population", "area", "density", "region_key"]),
         Dimension("weather", named(i.weather_dim(spark, sf)), ["temperature_c", "humidity_pct", "wind_kmh"]),
@@ -220,7 +220,7 @@ _ENRICHED = """
 WITH {i.DIRTY}, {i.DISTRICTS}, j AS (SELECT dirty.*, density FROM dirty LEFT JOIN district_dim USING (district))
 SELECT event_id, {_ENRICHED} FROM j""")
 def job_enrich(spark, sf):
-    joined = attach(i.dirty(spark, sf), i.district_dim(spark, sf), "district", ["density"])
+    joined = attach(i.dirty(spark, sf), i.reference(i.district_dim(spark, sf)), "district", ["density"])
     return fe.enrich(joined).select("event_id", "is_rush_hour", "is_weekend", "value_per_item", "is_novice", "is_dense_district")
 
 

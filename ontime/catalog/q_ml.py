@@ -190,7 +190,7 @@ def external_columns(spark, sf):
     dims = i.district_dim(spark, sf).select("district", "density", F.concat(F.lit("R"), F.col("region_key").cast("string")).alias("class"))
     weather = i.weather_dim(spark, sf).select(
         "district", "temperature_c", F.col("humidity_pct").cast("double").alias("humidity_pct"), "wind_kmh")
-    return dims.join(weather, "district").fillna({"density": 0.0})
+    return i.reference(dims.join(weather, "district").fillna({"density": 0.0}))
 
 
 def model_orders(spark, sf, raw=None):
@@ -296,7 +296,7 @@ def ml_scenarios(spark, sf):
     asked = scenarios(
         raw,
         {"as is": {}, "urgent": {"priority": "1-URGENT"}, "new courier, rush hour": {"experience_months": 1, "hour": 20}},
-        FEATURES, context(orders, "district", EXTERNAL), "district").fillna({"value_per_item": 0.0})
+        FEATURES, i.reference(context(orders, "district", EXTERNAL)), "district").fillna({"value_per_item": 0.0})
     scored = score(asked, fitted_model(orders))
     return scored.groupBy("district", "scenario").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("late_probability"), 4).alias("late_probability"),
@@ -312,7 +312,7 @@ def st_score_stream(spark, sf):
     orders = model_orders(spark, sf, raw)
     scored = st.score_stream(
         st.read_orders(spark, incoming, raw.schema), fitted_model(orders),
-        context(orders, "district", EXTERNAL), "district", FEATURES)
+        i.reference(context(orders, "district", EXTERNAL)), "district", FEATURES)
     out = scratch_path(spark, "scored")
     st.write_scores(scored.select("order_id", "late_probability", "at_risk"), out, scratch_path(spark, "offsets")).awaitTermination()
     return spark.read.schema("order_id long, late_probability double, at_risk int").parquet(out) \
@@ -329,7 +329,7 @@ SEGMENTS = SegmentSpec(
 
 
 def segment_input(spark, sf):
-    return attach(districts_of_orders(spark, sf), i.weather_dim(spark, sf), "district").fillna({"density": 0.0})
+    return attach(districts_of_orders(spark, sf), i.reference(i.weather_dim(spark, sf)), "district").fillna({"density": 0.0})
 
 
 def segment_features(spark, sf, variables=SEGMENTS.variables):

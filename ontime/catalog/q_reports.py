@@ -71,7 +71,7 @@ def median(spark, sf):
 @query("agg_weighted_median", f"""
 WITH {i.FACT}, {i.DISTRICTS} SELECT median(density) AS median FROM fact JOIN district_dim USING (district)""")
 def weighted_median(spark, sf):
-    joined = attach(i.fact(spark, sf), i.district_dim(spark, sf), "district", ["density"])
+    joined = attach(i.fact(spark, sf), i.reference(i.district_dim(spark, sf)), "district", ["density"])
     return selection.weighted_median(joined, "density")
 
 
@@ -96,7 +96,7 @@ def distinct_values(spark, sf):
 
 def districts_of_orders(spark, sf):
     """Orders folded to districts, with the districts' own attributes attached first."""
-    dims = i.district_dim(spark, sf).select("district", "population", "area", "density")
+    dims = i.reference(i.district_dim(spark, sf).select("district", "population", "area", "density"))
     orders = attach(valid(spark, sf), dims, "district")
     return r.district_table(orders, "district", "late", {"mean_items": "items", "mean_lead": "lead_days"},
                             ["district_key", "region_key", "population", "area", "density"])
