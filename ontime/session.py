@@ -8,7 +8,7 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-ROWS_PER_TASK = 20_000
+ROWS_PER_TASK = 200_000
 
 _local_scratch: str | None = None
 
