@@ -53,13 +53,11 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(named(text_col).cast("string")))).first()[0] or 0
 
 
-def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write a table once to the shared scratch folder and read it back, with its partition column."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once to the shared scratch folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def link_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -28,7 +28,8 @@ Digest = Callable[[Column], Column]
 
 
 def sha256(content: Column) -> Column:
-    return F.sha2(content, 256)
+    """Never null, so a join on it needs no null filter that would compute it a second time."""
+    return F.coalesce(F.sha2(content, 256), F.lit(""))
 
 
 def _content(text_col: str) -> Column:
@@ -59,7 +60,12 @@ def _winners(docs: DataFrame, id_col: str, text_col: str, digest: Digest, salts:
         .withColumn("clash", F.count(F.lit(1)).over(Window.partitionBy("digest")) > 1)
         .withColumn("content", F.when(F.col("clash"), F.col("content")))
     )
-    return staged(whole, "exact-winners", "clash")
+    return staged(whole, "exact-winners")
+
+
+def _shared(winners: DataFrame) -> DataFrame:
+    """The winners whose digest other contents share: hardly ever any, and a table of its own shows Spark how small it is."""
+    return staged(winners.where("clash").drop("clash"), "exact-clashes")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Digest = sha256,
@@ -77,7 +83,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         digest(_content(text_col)).alias("digest"), sha256(_content(text_col)).alias("sha"),
     )
     alone = winners.where(~F.col("clash")).drop("content", "clash")
-    shared = winners.where("clash").drop("clash")
+    shared = _shared(winners)
     each = ["doc_id", "n_chars", "digest", "sha"]
     copies = F.count(F.lit(1)).alias("copies")
     by_digest = rows.groupBy(each).agg(copies).join(alone, "digest")
@@ -107,10 +113,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     key, size, body = (fresh(docs, f"exact_{stem}") for stem in ("digest", "chars", "content"))
     rows = docs.withColumns({key: digest(_content(text_col)), size: _length(text_col)})
-    same = (
-        (rows[key] == winners["digest"]) & rows["`" + id_col + "`"].cast("long").eqNullSafe(winners["keep_id"])
-        & (rows[size] == winners["keep_chars"])
-    )
-    alone = rows.join(winners.where(~F.col("clash")), same, "left_semi").withColumn(body, F.lit(None).cast("string"))
-    shared = rows.join(winners.where("clash"), same & (_content(text_col) == winners["content"]), "left_semi").withColumn(body, _content(text_col))
+
+    def staying(chosen: DataFrame, *also: Column) -> DataFrame:
+        same = [F.col(key) == chosen["digest"], named(id_col).cast("long").eqNullSafe(chosen["keep_id"]), F.col(size) == chosen["keep_chars"]]
+        return rows.join(chosen, [*same, *also], "left_semi")
+
+    lone, crowded = winners.where(~F.col("clash")), _shared(winners)
+    alone = staying(lone).withColumn(body, F.lit(None).cast("string"))
+    shared = staying(crowded, _content(text_col) == crowded["content"]).withColumn(body, _content(text_col))
     return alone.unionByName(shared).dropDuplicates([id_col, key, body]).select([named(c) for c in docs.columns])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ontime.llm import bpe
 from ontime.llm import exact_dedup as exact
+from ontime.llm import packing, rules, simhash
 from ontime.llm.common import table
 
 QUERIES = {}
@@ -33,3 +36,23 @@ WITH t AS (
 SELECT doc_id, keep_id, group_size, kept, sha256(content) AS text_sha256 FROM r""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op10_simhash_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op9_byte_level_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN)
+
+
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
