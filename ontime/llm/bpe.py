@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
+from array import array
+from bisect import bisect
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -29,7 +30,11 @@ from pyspark.sql import functions as F
 from ontime.llm.common import named
 
 BLOCK_CHARS = 4_000_000
-CACHED_PIECES = 300_000
+CACHED_PIECES = 500_000
+
+#: Token ids are below 1 << SHIFT; the two last of that range mark the gap between pieces and a token merged away.
+SHIFT = 20
+GAP, MERGED = (1 << SHIFT) - 1, (1 << SHIFT) - 2
 
 
 @lru_cache(2)
@@ -43,101 +48,130 @@ def tokens_of(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in ranks_of(path).items()}
 
 
+@lru_cache(2)
+def pairs_of(path: str) -> dict[int, int]:
+    """Every pair of tokens that make a token, as left << SHIFT | right, with that token."""
+    return pair_table(ranks_of(path))
+
+
+def pair_table(ranks: dict[bytes, int]) -> dict[int, int]:
+    found = {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                found[left << SHIFT | right] = rank
+    return found
+
+
 @lru_cache(2)
 def splitter(pattern: str) -> regex.Pattern:
-    # \s means the Unicode property in the library to be matched; regex has some more control characters in it
-    return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-
-
-def replay(pieces: list[bytes], ranks: dict[bytes, int]) -> list[tuple[int, ...]]:
-    """Token ids of each piece."""
-    whole = [ranks.get(p) for p in pieces]
-    open_pieces = [p for p, rank in zip(pieces, whole) if rank is None and p]
-    token: list[bytes] = []  # the token that starts at a position, empty where it was merged into an earlier one
-    owner: list[int] = []
-    for n, piece in enumerate(open_pieces):
-        token += [piece[i:i + 1] for i in range(len(piece))]
-        owner += [n] * len(piece)
+    return regex.compile(pattern)
+
+
+def replay(pieces: list[bytes], ranks: dict[bytes, int], pairs: dict[int, int]) -> list[list[int]]:
+    """Token ids of each piece. Pieces lie in one array of tokens with a gap, which pairs with nothing, before each."""
+    single = [ranks.get(bytes([b]), GAP) for b in range(256)]
+    token: list[int] = [GAP]
+    for piece in pieces:
+        token += map(single.__getitem__, piece)
+        token.append(GAP)
     size = len(token)
-    after = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    owner.append(-1)
-    places: dict[int, list[int]] = {}  # rank -> positions whose token and next token make it
-    find = ranks.get
-    for i in range(size - 1):
-        if owner[i] == owner[i + 1]:
-            rank = find(token[i] + token[i + 1])
-            if rank is not None:
-                places.setdefault(rank, []).append(i)
-    waiting = list(places)
-    heapq.heapify(waiting)
-    while waiting:
-        rank = heapq.heappop(waiting)
-        found = places.pop(rank, None)
+    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    find = pairs.get
+    makes = [find(a << SHIFT | b, -1) for a, b in zip(token, token[1:])] + [-1]  # what a token and its next one make
+    places: list[list[int] | None] = [None] * (1 + max(ranks.values(), default=0))
+    for at, rank in enumerate(makes):
+        if rank >= 0:
+            held = places[rank]
+            if held is None:
+                places[rank] = [at]
+            else:
+                held.append(at)
+    gaps: list[int] = []  # made when a piece first has to wait
+    rank, last = 0, len(places)
+    while rank < last:
+        found = places[rank]
         if found is None:
+            rank += 1
             continue
+        places[rank] = None
         found.sort()
-        paused = -1
+        lowest, wait_until = rank, -1
         for i in found:
-            n = owner[i]
-            j = after[i]
-            left = token[i]
-            if not left or j >= size or owner[j] != n:
-                continue
-            pair = left + token[j]
-            if find(pair) != rank:
+            if makes[i] != rank:
                 continue
-            if n == paused:
-                later = places.get(rank)
-                if later is None:
+            if i < wait_until:
+                held = places[rank]
+                if held is None:
                     places[rank] = [i]
-                    heapq.heappush(waiting, rank)
                 else:
-                    later.append(i)
+                    held.append(i)
                 continue
-            token[i], token[j] = pair, b""
-            k = after[i] = after[j]
-            if k < size:
-                before[k] = i
-            for at in ((before[i], i) if i and owner[before[i]] == n else (i,)):
-                to = after[at]
-                if to < size and owner[to] == n:
-                    new = find(token[at] + token[to])
-                    if new is not None:
-                        held = places.get(new)
-                        if held is None:
-                            places[new] = [at]
-                            heapq.heappush(waiting, new)
-                        else:
-                            held.append(at)
-                        if new < rank:
-                            paused = n
-    split: list[list[int]] = [[] for _ in open_pieces]
-    for i in range(size):
-        if token[i]:
-            split[owner[i]].append(ranks[token[i]])
-    rest = iter(split)
-    return [(rank,) if rank is not None else tuple(next(rest)) if p else () for p, rank in zip(pieces, whole)]
-
-
-_encoded: dict[tuple[str, str], dict[str, tuple[int, ...]]] = {}
-
-
-def encode_texts(texts: Iterable[str], path: str, pattern: str) -> Iterator[list[int]]:
-    """Token ids of each text, in order; ``texts`` is one block."""
-    ranks, split = ranks_of(path), splitter(pattern).findall
-    known = _encoded.setdefault((path, pattern), {})
-    if len(known) > CACHED_PIECES:
-        known.clear()
-    pieces = [split(text) for text in texts]
-    new = list({p for own in pieces for p in own if p not in known})
-    known.update(zip(new, replay([p.encode() for p in new], ranks)))
-    for own in pieces:
-        yield list(chain.from_iterable(map(known.__getitem__, own)))
-
-
-def decode_ids(ids: Iterable[int], path: str) -> bytes:
-    return b"".join(map(tokens_of(path).__getitem__, ids))
+            j = after[i]
+            k = after[j]
+            h = before[i]
+            token[i], token[j], makes[j] = rank, MERGED, -1
+            after[i] = k
+            before[k] = i
+            makes[i] = right = find(rank << SHIFT | token[k], -1)
+            if right >= 0:
+                held = places[right]
+                if held is None:
+                    places[right] = [i]
+                else:
+                    held.append(i)
+            makes[h] = left = find(token[h] << SHIFT | rank, -1)
+            if left >= 0:
+                held = places[left]
+                if held is None:
+                    places[left] = [h]
+                else:
+                    held.append(h)
+            if -1 < left < rank or -1 < right < rank:  # the rest of this piece comes after the lower rank
+                lowest = min(x for x in (lowest, left, right) if x >= 0)
+                gaps = gaps or [n for n, t in enumerate(token) if t == GAP]
+                wait_until = gaps[bisect(gaps, i)]
+        rank = lowest if lowest < rank or places[rank] else rank + 1
+    out, at = [], 1
+    for piece in pieces:
+        out.append([t for t in token[at: at + len(piece)] if t != MERGED])
+        at += len(piece) + 1
+    return out
+
+
+class Encoder:
+    """Packed ids, the ids' decimal text and the decoded bytes of pieces, kept for the pieces to come."""
+
+    def __init__(self, path: str, pattern: str):
+        self.ranks, self.tokens, self.pairs, self.split = ranks_of(path), tokens_of(path), pairs_of(path), splitter(pattern).findall
+        self.known: dict[str, tuple[bytes, str, bytes]] = {}
+
+    def pieces(self, texts: Iterable[str]) -> list[list[str]]:
+        """The pieces of one block of texts; all of them are known afterwards."""
+        if len(self.known) > CACHED_PIECES:
+            self.known.clear()
+        pieces = [self.split(text) for text in texts]
+        new = set(chain.from_iterable(pieces)).difference(self.known)
+        whole = {p: self.ranks.get(p.encode()) for p in new}
+        rest = [p for p, rank in whole.items() if rank is None]
+        ids = {p: [rank] for p, rank in whole.items() if rank is not None}
+        ids.update(zip(rest, replay([p.encode() for p in rest], self.ranks, self.pairs)))
+        for p, own in ids.items():
+            self.known[p] = array("i", own).tobytes(), ",".join(map(str, own)), self.decode(own)
+        return pieces
+
+    def ids(self, pieces: list[str]) -> list[int]:
+        return array("i", b"".join([self.known[p][0] for p in pieces])).tolist()
+
+    def decode(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+
+@lru_cache(2)
+def encoder(path: str, pattern: str) -> Encoder:
+    """One for each Python worker, so later tasks start with the pieces of earlier ones."""
+    return Encoder(path, pattern)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
@@ -160,8 +194,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """doc_id, ids: the token ids of each whole text."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path, pattern)
         for key, texts in _blocks(batches):
-            yield pa.RecordBatch.from_arrays([key, pa.array(encode_texts(texts, path, pattern), pa.list_(pa.int32()))], ["doc_id", "ids"])
+            ids = pa.array(map(own.ids, own.pieces(texts)), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([key, ids], ["doc_id", "ids"])
 
     return _rows(docs, id_col, text_col).mapInArrow(encoded, "doc_id long, ids array<int>")
 
@@ -170,8 +206,9 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     """doc_id, body: the bytes that the ids stand for; null ids count as none."""
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = tokens_of(path).__getitem__
         for batch in batches:
-            bodies = [decode_ids(ids or (), path) for ids in batch.column("ids").to_pylist()]
+            bodies = [b"".join(map(token, ids or ())) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bodies, pa.binary())], ["doc_id", "body"])
 
     rows = tokens.select(named(id_col).cast("long").alias("doc_id"), named(ids_col).cast("array<int>").alias("ids"))
@@ -181,16 +218,18 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded, its ids decoded, both as digests.
 
-    The ids stay in the task that made them, so only the digests travel.
+    The ids stay in the task that made them, so only the digests travel. Ids are decoded once per distinct piece.
     """
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path, pattern)
         for key, texts in _blocks(batches):
             counts, shas, bodies = [], [], []
-            for ids in encode_texts(texts, path, pattern):
-                counts.append(len(ids))
-                shas.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                bodies.append(hashlib.sha256(decode_ids(ids, path)).hexdigest())
+            for pieces in own.pieces(texts):
+                ids, decimal, decoded = zip(*map(own.known.__getitem__, pieces)) if pieces else ((), (), ())
+                counts.append(len(b"".join(ids)) // array("i").itemsize)
+                shas.append(hashlib.sha256(",".join(decimal).encode()).hexdigest())
+                bodies.append(hashlib.sha256(b"".join(decoded)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [key, pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(bodies, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
