@@ -5,9 +5,8 @@ from __future__ import annotations
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ontime.llm import bpe
+from ontime.llm import bpe, lm, packing, rules, simhash, suffix
 from ontime.llm import exact_dedup as exact
-from ontime.llm import packing, rules, simhash
 from ontime.llm.common import table
 
 QUERIES = {}
@@ -56,3 +55,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op7_suffix_array_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op8_katz_backoff")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
