@@ -80,13 +80,13 @@ class Block:
         self.n_words = np.frombuffer(counts, np.int64)
         self.hashes = np.concatenate([np.frombuffer(words, np.uint64), [START, END]])
         self.v = len(self.hashes) - 2
-        texts = np.frombuffer(stream, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+        texts = np.frombuffer(stream, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
         self.stream = texts
-        self.text = np.repeat(np.arange(len(self.n_words)), self.n_words + 1)  # of each token
+        self.text = np.repeat(np.arange(len(self.n_words), dtype=np.int32), self.n_words + 1)  # of each token
         ends = np.cumsum(self.n_words + 1) - 1
         is_end = np.zeros(len(self.text), bool)
         is_end[ends] = True
-        self.token = np.full(len(self.text), self.v + 1)
+        self.token = np.full(len(self.text), self.v + 1, np.int32)
         self.token[~is_end] = texts
         before = np.empty_like(self.token)
         before[1:] = self.token[:-1]
@@ -95,7 +95,7 @@ class Block:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pairs as history, word, and the number of the pair of each token."""
-        flat, number = np.unique(self.before * (self.v + 2) + self.token, return_inverse=True)
+        flat, number = np.unique(self.before.astype(np.int64) * (self.v + 2) + self.token, return_inverse=True)
         return flat // (self.v + 2), flat % (self.v + 2), number
 
     def train_counts(self) -> np.ndarray:
@@ -303,7 +303,7 @@ def _evaluate(buckets: int, model: Model):
                  pa.array(add(log_p[pair]) / math.log(10)), pa.array(mixed(row.view(np.uint64).copy()).view(np.int64)),
                  pa.array(np.zeros(texts, np.int64))], [c.split()[0] for c in SCORED.split(", ")])
             backs_off = (~seen & known_h)[pair]
-            flat, times = np.unique(own.text[backs_off] * (own.v + 2) + own.before[backs_off], return_counts=True)
+            flat, times = np.unique(own.text[backs_off].astype(np.int64) * (own.v + 2) + own.before[backs_off], return_counts=True)
             if len(flat):
                 none = pa.nulls(len(flat), pa.int64())
                 yield pa.RecordBatch.from_arrays(

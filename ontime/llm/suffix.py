@@ -44,28 +44,40 @@ PIECE = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 GRAM_BITS, CONTEXT_BYTES = 40, 6
 
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_BYTES = mixed(np.arange(1, 258, dtype=np.uint64) * _FACTOR)  # hash of each byte, and of the gap between documents
+_FACTOR = 0x9E3779B97F4A7C15
+_BYTES = mixed(np.arange(1, 258, dtype=np.uint64) * np.uint64(_FACTOR))  # value of each byte, and of the gap between documents
+_UNIT = 16
 
 
-def _doubled(values: np.ndarray) -> dict[int, np.ndarray]:
-    """Hashes of the strings of 1, 2, 4.. 32 values from each position on (along the last axis)."""
-    out = {1: values}
-    for size in (1, 2, 4, 8, 16):
+def _power(length: int) -> np.uint64:
+    return np.uint64(pow(_FACTOR, length, 1 << 64))
+
+
+def _joined(a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Hash of strings from the hashes of their parts, of which the second has ``length`` values: a polynomial modulo 2^64."""
+    out = a * _power(length)
+    out += b
+    return out
+
+
+def _units(values: np.ndarray) -> dict[int, np.ndarray]:
+    """Hashes of the strings of 1, 2, 4, 8, 16 values from each position on (along the last axis)."""
+    out = {1: _BYTES[values]}
+    for size in (1, 2, 4, 8):
         x = out[size]
-        out[2 * size] = mixed(x[..., :-size] * _FACTOR + x[..., size:])
+        out[2 * size] = _joined(x[..., :-size], x[..., size:], size)
     return out
 
 
-def _spanned(doubled: dict[int, np.ndarray], length: int) -> np.ndarray:
-    """Hash of the ``length`` values from each position on."""
+def _spanned(units: dict[int, np.ndarray], length: int) -> np.ndarray:
+    """Hash of the ``length`` values from each position on, mixed."""
     out, done = None, 0
-    for size in (32, 16, 8, 4, 2, 1):
-        if length & size:
-            x = doubled[size][..., done:]
-            out = x.copy() if out is None else mixed(out[..., : x.shape[-1]] * _FACTOR + x[..., : out.shape[-1]])
-            done += size
-    return out
+    while done < length:
+        size = min(_UNIT, 1 << (length - done).bit_length() - 1)
+        x = units[size][..., done:]
+        out = x.copy() if out is None else _joined(out[..., : x.shape[-1]], x[..., : out.shape[-1]], size)
+        done += size
+    return mixed(out)
 
 
 def _sliding(x: np.ndarray, width: int, of) -> np.ndarray:
@@ -108,9 +120,9 @@ class Anchors:
                 own.append((cut - low, min(len(body) - LENGTH, cut + PIECE - 1) - low))  # strings that start in this part
                 at += high - low + LENGTH
         values = np.concatenate(parts)
-        starts, text, offset = map(np.array, (starts, text, offset))
-        doubled = _doubled(_BYTES[values])
-        grams = _spanned(doubled, GRAM)
+        starts, text, offset = np.array(starts), np.array(text, np.int32), np.array(offset)
+        units = _units(values)
+        grams = _spanned(units, GRAM)
         change = np.zeros(len(values) + 1, np.int32)
         for start, (low, high) in zip(starts, own):
             if high >= low:
@@ -122,10 +134,12 @@ class Anchors:
         padded = np.concatenate([np.zeros(WINDOW - 1, np.uint64), least])
         chosen = np.flatnonzero(_sliding(padded, WINDOW, np.maximum) == grams[: len(least)])
         chosen = chosen[grams[chosen] > 0]
-        left, right = _spanned(doubled, LEFT), _spanned(doubled, LENGTH)
-        context = mixed(left[chosen - LEFT] * _FACTOR + right[chosen])
+        context = np.zeros(len(chosen), np.uint64)
+        for reach in range(-LEFT, LENGTH, _UNIT):  # LEFT + LENGTH is a multiple of the unit
+            context = _joined(context, units[_UNIT][chosen + reach], _UNIT)
+        context = mixed(context)
         part = np.searchsorted(starts, chosen, "right") - 1
-        return text[part], chosen - starts[part] + offset[part], grams[chosen], context
+        return text[part], (chosen - starts[part] + offset[part]).astype(np.int64), grams[chosen], context
 
 
 def _strings(texts: list[np.ndarray], text: np.ndarray, place: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,19 +149,19 @@ def _strings(texts: list[np.ndarray], text: np.ndarray, place: np.ndarray, gram:
         piece = texts[t][max(0, p - LEFT): p + LENGTH]
         gap = max(0, LEFT - p)
         values[i, gap: gap + len(piece)] = piece
-    doubled = _doubled(_BYTES[values])
-    least = _sliding(_spanned(doubled, GRAM), WINDOW, np.minimum)
+    units = _units(values)
+    least = _sliding(_spanned(units, GRAM), WINDOW, np.minimum)
     lengths = np.array([len(texts[t]) for t in text.tolist()], np.int64)
     start = (place - LEFT)[:, None] + np.arange(WINDOW)
     row, offset = np.nonzero((least == gram[:, None]) & (start >= 0) & (start + LENGTH <= lengths[:, None]))
-    return row, start[row, offset], _spanned(doubled, LENGTH)[row, offset]
+    return row, start[row, offset], _spanned(units, LENGTH)[row, offset]
 
 
 def _texts(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
     ids = rows.column("doc_id").combine_chunks()
     known = ids.is_valid().to_numpy(zero_copy_only=False)
     keys = np.where(known, ids.fill_null(0).to_numpy(zero_copy_only=False), NO_ID)
-    return keys, [np.frombuffer(b.as_buffer(), np.uint8).astype(np.uint16) for b in rows.column("body")]
+    return keys, [np.frombuffer(b.as_buffer(), np.uint8) for b in rows.column("body")]
 
 
 class Block:
@@ -157,25 +171,30 @@ class Block:
         self.rows = unpack_rows(rows)
         self.keys, self.texts = _texts(self.rows)
         a = Anchors(self.texts)
-        key = self.keys[a.text] if len(a.text) else np.zeros(0, np.int64)
-        bucket = (a.gram % np.uint64(buckets)).astype(np.int64)
-        short = (a.gram // np.uint64(buckets)) & np.uint64((1 << GRAM_BITS) - 1)
-        order = np.lexsort((a.place, a.text, key, a.context, short, bucket))
-        self.text, self.place, self.gram, self.key = a.text[order], a.place[order], a.gram[order], key[order]
-        bucket, short, context = bucket[order], short[order], a.context[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (context[1:] != context[:-1]) | (short[1:] != short[:-1]) | (bucket[1:] != bucket[:-1])
-        entry = np.cumsum(new) - 1  # of each anchor
-        first = np.flatnonzero(new)
-        # entries of locally crowded grams are asked about as one
-        group = np.cumsum(np.concatenate([[True], (short[first][1:] != short[first][:-1]) | (bucket[first][1:] != bucket[first][:-1])])) - 1 if len(first) else first
-        crowded = np.bincount(group)[group] > crowd if len(first) else first.astype(bool)
-        stays = ~crowded | np.concatenate([[True], group[1:] != group[:-1]]) if len(first) else crowded
-        question = np.cumsum(stays) - 1  # of each entry
-        self.question = question[entry] if len(entry) else entry
-        self.least = self.key[first][entry] if len(entry) else self.key
-        asked = first[stays]
-        self.bucket, self.short, self.context, self.asked_key, self.crowded = bucket[asked], short[asked], context[asked], self.key[asked], crowded[stays]
+        n = len(a.text)
+        order = np.argsort(a.context, kind="stable")
+        first = runs(a.context[order])
+        size = np.diff(np.append(first, n))
+        key = self.keys[a.text[order]]
+        least = np.minimum.reduceat(key, first) if n else key
+        gram = a.gram[order[first]]  # contexts hold their gram
+        bucket = gram % np.uint64(buckets)
+        gram = gram // np.uint64(buckets) & np.uint64((1 << GRAM_BITS) - 1)
+        entries = np.argsort(bucket << np.uint64(GRAM_BITS) | gram, kind="stable")
+        bucket, gram = bucket[entries].astype(np.int64), gram[entries]
+        start = runs(bucket << GRAM_BITS | gram.astype(np.int64))
+        kinds = np.diff(np.append(start, len(entries)))
+        crowded = np.repeat(kinds > crowd, kinds)
+        # all contexts of a locally crowded gram are asked about as one
+        stays = ~crowded
+        stays[start] = True
+        question = np.empty(len(entries), np.int64)
+        question[entries] = np.cumsum(stays) - 1
+        self.question, self.least = np.repeat(question, size), np.repeat(least, size)  # of each anchor, by context
+        self.text, self.place, self.gram, self.key = a.text[order], a.place[order], a.gram[order], key
+        asked = entries[stays]
+        self.bucket, self.short, self.crowded = bucket[stays], gram[stays], crowded[stays]
+        self.context, self.asked_key = a.context[order[first[asked]]] if n else a.context, least[asked]
 
 
 def _ask(buckets: int, crowd: int):
@@ -268,7 +287,7 @@ def _gather(buckets: int, crowd: int):
             text, low, high = _united(own.text[whole][enough], low[enough], high[enough])
             yield _found(number, text=text, at=low, upto=high)
             sends = np.flatnonzero((status == SENDS) & (own.key == own.least))
-            bodies = {t: own.texts[t].astype(np.uint8).tobytes() for t in np.unique(own.text[sends]).tolist()}
+            bodies = {t: own.texts[t].tobytes() for t in np.unique(own.text[sends]).tolist()}
             where = list(zip(own.text[sends].tolist(), own.place[sends].tolist()))
             yield _found(number, text=own.text[sends], at=own.place[sends], gram=own.gram[sends].view(np.int64), id=own.key[sends],
                          before=[bodies[t][max(0, p - LEFT):p] for t, p in where], onward=[bodies[t][p:p + LENGTH] for t, p in where])
