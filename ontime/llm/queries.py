@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ontime.llm import bpe, lm, packing, rules, simhash, suffix
+from ontime.llm import bpe, classifier, lm, packing, rules, simhash, suffix, url_lists
 from ontime.llm import exact_dedup as exact
 from ontime.llm.common import table
 
@@ -65,3 +66,53 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_katz_backoff")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(table(spark, sf_dir, "documents"))
+
+
+#: Two made-up lists with histories that hang on a hash of each key: the tables hold no lists.
+_CHANGES = """
+  SELECT list_name, verdict, key, CASE WHEN k % 2 = 0 THEN 'add' ELSE 'remove' END AS action, {day}
+  FROM (SELECT list_name, verdict, key, k, md5(concat(list_name, key, k)) AS digest
+    FROM (SELECT 'hosts' AS list_name, 'block' AS verdict, host AS key FROM hosts WHERE substr(md5(host), 1, 1) < '6'
+      UNION ALL SELECT 'domains', 'block', domain FROM (SELECT DISTINCT domain FROM hosts) AS d WHERE substr(md5(domain), 1, 1) < '5'
+      UNION ALL SELECT 'partners', 'allow', host FROM hosts WHERE substr(md5(concat(host, '+')), 1, 1) < '4') AS keys
+    CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) AS times) AS dated"""
+
+
+@query("op3_url_filters", r"""
+WITH captures AS (
+  SELECT page_id, url, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * ((page_id * 7919) % 730) AS fetched_at,
+    lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host FROM pages
+), hosts AS (
+  SELECT DISTINCT host, regexp_replace(host, '^[^.]*\.', '') AS domain FROM captures WHERE host <> ''
+), changes AS (""" + _CHANGES.format(day="TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * (('0x' || substr(digest, 1, 6))::BIGINT % 730) AS moment") + r"""
+), moments AS (
+  SELECT list_name, verdict, key, moment, max(action) AS action FROM changes GROUP BY ALL
+), states AS (
+  SELECT *, lead(moment) OVER (PARTITION BY list_name, verdict, key ORDER BY moment) AS until FROM moments
+), active AS (
+  SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY length(key) DESC, verdict, list_name) AS place, verdict, list_name, key, moment
+  FROM captures JOIN states ON (host = key OR ends_with(host, '.' || key)) AND moment <= fetched_at AND (until IS NULL OR fetched_at < until)
+  WHERE action = 'add'
+)
+SELECT c.page_id, c.url, c.fetched_at, coalesce(a.verdict <> 'block', true) AS kept, a.list_name, a.key AS list_key, a.moment AS listed_since
+FROM captures c LEFT JOIN active a ON a.page_id = c.page_id AND a.place = 1""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.expr("timestamp '2024-01-01' + make_dt_interval(int((page_id * 7919) % 730))"))
+    hosts = captures.select(url_lists.host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    hosts = hosts.withColumn("domain", F.regexp_replace("host", r"^[^.]*\.", ""))
+    lists = [
+        hosts.where(F.substring(F.md5("host"), 1, 1) < "6").select(F.lit("hosts").alias("list_name"), F.lit("block").alias("verdict"), F.col("host").alias("key")),
+        hosts.select("domain").distinct().where(F.substring(F.md5("domain"), 1, 1) < "5").select(F.lit("domains"), F.lit("block"), "domain"),
+        hosts.where(F.substring(F.md5(F.concat("host", F.lit("+"))), 1, 1) < "4").select(F.lit("partners"), F.lit("allow"), "host"),
+    ]
+    dated = lists[0].union(lists[1]).union(lists[2]).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    day = F.conv(F.substring(F.md5(F.concat("list_name", "key", F.col("k").cast("string"))), 1, 6), 16, 10).cast("int") % 730
+    changes = dated.select("list_name", "verdict", "key", F.when(F.col("k") % 2 == 0, "add").otherwise("remove").alias("action"), day.alias("day"))
+    changes = changes.withColumn("at", F.expr("timestamp '2024-01-01' + make_dt_interval(day)")).drop("day")
+    return url_lists.verdicts(captures, changes)
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
