@@ -36,6 +36,8 @@ P = len(FLOORS)
 #: One sound row in a billion lies beyond this quantile.
 CUTOFF = 1 - 1e-9
 BINS_PER_E = 16
+BINS_PER_UNIT = 64
+SLICE_ROWS = 100_000
 LEAST_DISTANCE = 1e-6
 X = [f"x{i}" for i in range(P)]
 LOWER_CELLS = [(i, j) for i in range(P) for j in range(i + 1)]
@@ -137,27 +139,38 @@ def _cells(rows: DataFrame, least: int) -> DataFrame:
     return keys.join(cells, ["of_lang", "of_source"]).drop("of_lang", "of_source")
 
 
-def _levels(rows: DataFrame) -> DataFrame:
-    """Each row once for every cell it helps to estimate: its source, its language, all rows."""
+def _levels(rows: DataFrame, slice_rows: int) -> DataFrame:
+    """Each row once for every cell it helps to estimate: its source, its language, all rows.
+
+    A cell is dealt out in slices of about ``slice_rows`` rows, so a join with its estimates never gathers a large cell.
+    """
     tag = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
     cells = F.array(F.concat(tag("lang"), F.lit(" "), tag("source")), tag("lang"), F.lit(""))
-    return rows.select(F.explode(cells).alias("cell"), *X)
+    levels = rows.select(F.explode(cells).alias("cell"), *X)
+    slices = levels.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("slices"))
+    return levels.join(slices, "cell").withColumn("slice", F.pmod(F.xxhash64(*X), F.col("slices")).cast("int"))
+
+
+def _histogram(values: DataFrame) -> DataFrame:
+    """cell, dim, v, n: counts of values, each value moved to the middle of its bin."""
+    bins = values.groupBy("cell", "dim", F.floor(F.col("v") * BINS_PER_UNIT).alias("bin")).agg(F.sum("n").alias("n"))
+    return bins.select("cell", "dim", ((F.col("bin") + 0.5) / BINS_PER_UNIT).alias("v"), "n")
 
 
-def _binned_median(values: DataFrame) -> DataFrame:
-    """cell, dim, median of ``v`` to within a bin: the middle of the bin that holds the middle row."""
-    bins = values.groupBy("cell", "dim", F.floor(F.col("v") * 4 * BINS_PER_E).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("cell", "dim").orderBy("bin")
-    run = bins.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("cell", "dim")))
+def _binned_median(histogram: DataFrame) -> DataFrame:
+    """cell, dim, m: the value of the bin that holds the middle row."""
+    upto = Window.partitionBy("cell", "dim").orderBy("v")
+    run = histogram.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("cell", "dim")))
     middle = run.where((2 * F.col("upto") >= F.col("all")) & (2 * (F.col("upto") - F.col("n")) < F.col("all")))
-    return middle.select("cell", "dim", ((F.col("bin") + 0.5) / (4 * BINS_PER_E)).alias("m"))
+    return middle.select("cell", "dim", F.col("v").alias("m"))
 
 
 def _start(levels: DataFrame) -> DataFrame:
-    """cell, m0.., w00..: medians and inverse median deviations, without correlations."""
-    long = levels.select("cell", F.posexplode(F.array(*X)).alias("dim", "v"))
-    medians = _binned_median(long)
-    spreads = _binned_median(long.join(medians, ["cell", "dim"]).select("cell", "dim", F.abs(F.col("v") - F.col("m")).alias("v")))
+    """cell, m0.., w00..: medians and inverse median deviations, without correlations. Rows are read once, into bins."""
+    bins = staged(_histogram(levels.select("cell", F.posexplode(F.array(*X)).alias("dim", "v"), F.lit(1).cast("long").alias("n"))), "mcd-bins")
+    medians = _binned_median(bins)
+    spreads = _binned_median(_histogram(
+        bins.join(medians, ["cell", "dim"]).select("cell", "dim", F.abs(F.col("v") - F.col("m")).alias("v"), "n")))
     both = medians.join(spreads.withColumnRenamed("m", "s"), ["cell", "dim"])
     pick = lambda c, d: F.max(F.when(F.col("dim") == d, F.col(c)))
     wide = both.groupBy("cell").agg(*[pick("m", d).alias(f"m{d}") for d in range(P)], *[pick("s", d).alias(f"s{d}") for d in range(P)])
@@ -172,7 +185,7 @@ def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """``rows`` with their squared Mahalanobis distance ``d2`` under their cell's estimates."""
     centred = [F.col(X[j]) - F.col(f"m{j}") for j in range(P)]
     y = [sum((F.col(f"w{i}{j}") * centred[j] for j in range(i + 1)), F.lit(0.0)) for i in range(P)]
-    joined = rows.join(estimates, "cell")
+    joined = rows.join(estimates, [c for c in ("cell", "slice") if c in estimates.columns])
     return joined.select(*rows.columns, sum((c * c for c in y), F.lit(0.0)).alias("d2"))
 
 
@@ -214,13 +227,14 @@ def _concentrate(levels: DataFrame, estimates: DataFrame, share: float) -> DataF
     return _estimates(last, _consistency(share))
 
 
-def robust_estimates(vectors: DataFrame, share: float, steps: int) -> DataFrame:
+def robust_estimates(vectors: DataFrame, share: float, steps: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """cell, mean and inverse factor, for every language and source, every language, and all rows."""
-    levels = _levels(vectors)
+    levels = staged(_levels(vectors, slice_rows), "mcd-levels")
+    slices = staged(levels.select("cell", "slice").distinct(), "mcd-slices")
     estimates = staged(_start(levels), "mcd-start")
     for _ in range(steps):
-        estimates = staged(_concentrate(levels, estimates, share), "mcd-step")
-    inner = _distance(levels, estimates).where(F.col("d2") <= chi_square_quantile(0.975, P))
+        estimates = staged(_concentrate(levels, estimates.join(slices, "cell"), share), "mcd-step")
+    inner = _distance(levels, estimates.join(slices, "cell")).where(F.col("d2") <= chi_square_quantile(0.975, P))
     return staged(_estimates(inner.groupBy("cell").agg(*_sums()), _consistency(0.975)), "mcd-final")
 
 

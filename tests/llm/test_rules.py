@@ -46,11 +46,12 @@ def test_chi_square():
 def brute_estimates(x, share, steps):
     """The same estimator for one cell, row by row."""
     floor = np.diag(np.square(rules.FLOORS))
-    bins = 4 * rules.BINS_PER_E
+
+    def binned(v):
+        return (np.floor(v * rules.BINS_PER_UNIT) + 0.5) / rules.BINS_PER_UNIT
 
     def median(v):
-        b = np.sort(np.floor(v * bins))
-        return (b[-(-len(b) // 2) - 1] + 0.5) / bins
+        return np.sort(binned(v))[-(-len(v) // 2) - 1]
 
     def sums(y, factor):
         mean = y.mean(axis=0)
@@ -59,7 +60,7 @@ def brute_estimates(x, share, steps):
         return mean, factor * cov + floor
 
     mean = np.array([median(c) for c in x.T])
-    cov = np.diag([(1.4826 * median(np.abs(c - m))) ** 2 for c, m in zip(x.T, mean)]) + floor
+    cov = np.diag([(1.4826 * median(np.abs(binned(c) - m))) ** 2 for c, m in zip(x.T, mean)]) + floor
     distance = lambda: np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
     for _ in range(steps):
         b = np.floor(rules.BINS_PER_E * np.log(np.maximum(distance(), rules.LEAST_DISTANCE)))
