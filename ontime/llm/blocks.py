@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 from ontime.session import scratch_path
 
 BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
 MOST_FILE_BUCKETS = 50_000
+#: A block's number and a row in it make a long: task, block of the task, row.
+BLOCK_BITS, ROW_BITS = 20, 18
 
 
 def bucket_count(total_bytes: int) -> int:
@@ -33,10 +35,11 @@ def bucket_count(total_bytes: int) -> int:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], size_of: str, limit: int) -> Iterator[pa.Table]:
-    """Tables of consecutive rows whose ``size_of`` column holds about ``limit`` bytes, one row at least."""
+    """Tables of consecutive rows whose ``size_of`` column holds about ``limit`` bytes, one row at least and 2^ROW_BITS at most."""
     held, size = [], 0
     for batch in batches:
-        sizes = np.cumsum(pc.binary_length(batch.column(size_of)).to_numpy(zero_copy_only=False))
+        own = pc.binary_length(batch.column(size_of)).to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = np.cumsum(own + max(1, limit >> ROW_BITS - 1))  # rows weigh something, so empty texts fill a block too
         start = 0
         while start < batch.num_rows:
             done = int(sizes[start - 1]) if start else 0
@@ -74,7 +77,7 @@ def home(rows: DataFrame, size_of: str, total_bytes: int, keep: list[str], descr
         for number, block in enumerate(_cut(batches, size_of, limit)):
             more = describe(block) if describe else {}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([task << 24 | number], pa.int64()), pa.array([pack_rows(block.select(keep))], pa.binary()),
+                [pa.array([task << BLOCK_BITS | number], pa.int64()), pa.array([pack_rows(block.select(keep))], pa.binary()),
                  *[pa.array([more[name]], pa.binary()) for name in extra]], ["block", "rows", *extra])
 
     spark = rows.sparkSession
@@ -96,6 +99,11 @@ def with_answers(blocks: DataFrame, answers: DataFrame, columns: list[str]) -> D
     return blocks.join(listed, "block", "left")
 
 
+def buffers(column: pa.ChunkedArray) -> list[pa.Buffer]:
+    """The values of a binary column without copying them."""
+    return [value.as_buffer() for value in column]
+
+
 def runs(sorted_keys: np.ndarray) -> np.ndarray:
     """Where each run of equal values starts."""
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])) if len(sorted_keys) else np.zeros(0, np.int64)

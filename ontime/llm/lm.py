@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.blocks import BLOCK_BYTES, bucket_count, each_block, forget, home, mixed, runs, unpack_rows, with_answers
+from ontime.llm.blocks import BLOCK_BYTES, ROW_BITS, bucket_count, buffers, each_block, forget, home, mixed, runs, unpack_rows, with_answers
 from ontime.llm.common import LOWER, crc_mod, named, staged, text_bytes
 
 TRUSTED = 5
@@ -117,9 +117,10 @@ def _truncated(hashes: np.ndarray) -> bytes:
     return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
 
 
-def _widened(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // WORD_BYTES, 8), np.uint8)
-    out[:, :WORD_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, WORD_BYTES)
+def _widened(data: pa.Buffer) -> np.ndarray:
+    packed = np.frombuffer(data, np.uint8).reshape(-1, WORD_BYTES)
+    out = np.zeros((len(packed), 8), np.uint8)
+    out[:, :WORD_BYTES] = packed
     return out.view("<u8").ravel()
 
 
@@ -152,31 +153,31 @@ def _answer(hot: np.ndarray):
 
     def answered(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")  # owners must not depend on the order of arrival
-        asked = [tuple(np.frombuffer(x, np.uint64 if c == "h" else np.uint32) if c != "w" else _widened(x)
-                       for c, x in zip("hrwn", row)) for row in zip(*(table.column(c).to_pylist() for c in ("h", "run", "w", "n")))]
-        runs_of = [a[1] for a in asked]
-        h = np.concatenate([np.repeat(a[0], a[1]) for a in asked])
-        w = np.concatenate([a[2] for a in asked])
-        n = np.concatenate([a[3] for a in asked]).astype(np.int64)
+        heads = [np.frombuffer(x, np.uint64) for x in buffers(table.column("h"))]
+        lengths = [np.frombuffer(x, np.uint32) for x in buffers(table.column("run"))]
+        h = np.concatenate([np.repeat(x, run) for x, run in zip(heads, lengths)])
+        w = np.concatenate([_widened(x) for x in buffers(table.column("w"))])
+        n = np.concatenate([np.frombuffer(x, np.uint32) for x in buffers(table.column("n"))])
+        pair_cuts = np.cumsum([run.sum(dtype=np.int64) for run in lengths])[:-1]
         order = np.lexsort((w, h))
-        hs, ws = h[order], w[order]
+        hs, ws, n = h[order], w[order], n[order].astype(np.int64)
+        del h, w
         start = np.flatnonzero(np.concatenate([[True], (hs[1:] != hs[:-1]) | (ws[1:] != ws[:-1])]))
-        total = np.add.reduceat(n[order], start)
+        del ws
+        total = np.add.reduceat(n, start)
         size = np.diff(np.append(start, len(order)))
         r = np.empty(len(order), np.int64)
         r[order] = np.repeat(total, size)
         owner = np.zeros(len(order), bool)
         owner[order[start]] = total > 0  # lexsort is stable: the first asker
         h_start = runs(hs)
-        h_total = np.add.reduceat(n[order], h_start)
-        place = np.searchsorted(hs[h_start], np.concatenate([a[0] for a in asked]))
-        c = h_total[place]
+        h_total = np.add.reduceat(n, h_start)
+        c = h_total[np.searchsorted(hs[h_start], np.concatenate(heads))]
         cold = ~np.isin(hs[h_start], np.concatenate([hot, [START]]))
         words = h_total[cold & (h_total > 0)]
         tally = [*(int((total == i).sum()) for i in range(1, TRUSTED + 2)), *(int((words == i).sum()) for i in range(1, TRUSTED + 2)),
                  int(len(words)), int(words.sum())]
-        pair_cuts = np.cumsum([len(a[2]) for a in asked])[:-1]
-        h_cuts = np.cumsum([len(x) for x in runs_of])[:-1]
+        h_cuts = np.cumsum([len(x) for x in heads])[:-1]
         flagged = (r << 1 | owner).astype(np.uint64)
         number, bucket = table.column("block").to_pylist(), table.column("bucket").to_pylist()
         return pa.table({
@@ -296,7 +297,7 @@ def _evaluate(buckets: int, model: Model):
             add = lambda values: np.bincount(own.text, weights=values, minlength=texts)  # noqa: B023, E731
             c = counts[own.token]
             n_tokens = own.n_words + 1
-            row = np.int64(number) << 24 | np.arange(texts)
+            row = np.int64(number) << ROW_BITS | np.arange(texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row), own.rows.column("doc_id").combine_chunks(), pa.array(own.held), pa.array(n_tokens),
                  pa.array(add(c > 0).astype(np.int64)), pa.array(add(np.log10(c + 1.0)) - n_tokens * per_token),

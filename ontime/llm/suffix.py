@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ontime.llm.blocks import BLOCK_BYTES, bucket_count, each_block, forget, home, mixed, runs, unpack_rows, with_answers
+from ontime.llm.blocks import BLOCK_BYTES, bucket_count, buffers, each_block, forget, home, mixed, runs, unpack_rows, with_answers
 from ontime.llm.common import named, staged, text_bytes
 
 LENGTH = 50
@@ -225,8 +225,8 @@ def _answer(crowd: int):
 
     def answered(table: pa.Table) -> pa.Table:
         grams, contexts, keys, crowds = [], [], [], []
-        for gram, context, key, crowded in zip(*(table.column(c).to_pylist() for c in ("gram", "context", "key", "crowded"))):
-            grams.append(np.cumsum(np.frombuffer(gram, f"<u{gram[0]}", offset=1).astype(np.uint64)))
+        for gram, context, key, crowded in zip(*(buffers(table.column(c)) for c in ("gram", "context", "key", "crowded"))):
+            grams.append(np.cumsum(np.frombuffer(gram, f"<u{gram[0]}", offset=1), dtype=np.uint64))
             wide = np.zeros((len(grams[-1]), 8), np.uint8)
             wide[:, :CONTEXT_BYTES] = np.frombuffer(context, np.uint8).reshape(-1, CONTEXT_BYTES)
             contexts.append(wide.view("<u8").ravel())
@@ -234,16 +234,18 @@ def _answer(crowd: int):
             crowds.append(np.unpackbits(np.frombuffer(crowded, np.uint8), count=len(grams[-1])).astype(bool))
         cuts = np.cumsum([len(g) for g in grams])[:-1]
         gram, context, key, crowded = map(np.concatenate, (grams, contexts, keys, crowds))
-        order = np.lexsort((key, context, gram))
-        gram, context, key = gram[order], context[order], key[order]
+        del grams, contexts, keys, crowds
+        order = np.lexsort((context, gram))
+        gram, context, key, crowded = gram[order], context[order], key[order], crowded[order]
         g_start = runs(gram)
         g_size = np.diff(np.append(g_start, len(gram)))
         new = np.ones(len(gram), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])
-        least = key[np.flatnonzero(new)][np.cumsum(new) - 1]
+        del gram, context
+        least = np.minimum.reduceat(key, np.flatnonzero(new))[np.cumsum(new) - 1]
         kinds = np.add.reduceat(new.astype(np.int64), g_start)
         several = (kinds > 1) & (np.minimum.reduceat(key, g_start) < np.maximum.reduceat(key, g_start))
-        many = (kinds > crowd) | np.logical_or.reduceat(crowded[order], g_start)
+        many = (kinds > crowd) | np.logical_or.reduceat(crowded, g_start)
         many, several = np.repeat(many, g_size), np.repeat(several, g_size)
         status = np.where(many, CROWDED, np.where(key > least, COVERED, np.where(several, SENDS, 0)))
         out = np.empty(len(order), np.uint8)

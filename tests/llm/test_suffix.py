@@ -30,7 +30,7 @@ def plain(rows):
     return out
 
 
-def corpus(seed, n=160):
+def corpus(seed, n=90):
     rng = random.Random(seed)
     words = [f"{a}{b}" for a in ("lor", "ip", "dolé", "sit", "am") for b in ("em", "sum", "or", "et", "ß")]
     say = lambda k: " ".join(rng.choices(words, k=k))
