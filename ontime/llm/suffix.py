@@ -40,7 +40,7 @@ GRAM = 20
 WINDOW = LENGTH - GRAM + 1
 LEFT = LENGTH - GRAM
 CROWD = 64
-PIECE = 1 << 20
+PIECE = 1 << 18
 NO_ID = np.iinfo(np.int64).max
 GRAM_BITS, CONTEXT_BYTES = 40, 6
 
