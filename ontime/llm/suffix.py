@@ -12,8 +12,8 @@ a string around it can hold: LEFT bytes before and LENGTH bytes from the anchor
 3. The suffixes sent are sorted with their common-prefix lengths per bucket of grams (grams stay together). A stack scan yields the
    intervals of the tree; within an interval, sorting by what stands to the left and scanning again tests left-extension
    diversity and yields maximal repeats with all their occurrences. Occurrences in other than the smallest document are spans.
-4. Crowded grams, where one group could hold a third of all rows, are decided by the hash of each string around the anchor
-   instead: the smallest id per hash is aggregated before it moves, and joined back.
+4. What is left of crowded grams, where one group could hold a third of all rows, is decided by the hash of each string
+   around the anchor instead: the smallest id per hash is aggregated before it moves, and joined back.
 5. Each block unites the spans of its documents.
 
 Defined results: null text counts as empty; a null id is larger than all others; equal ids are one document, so rows that
@@ -39,7 +39,7 @@ LENGTH = 50
 GRAM = 20
 WINDOW = LENGTH - GRAM + 1
 LEFT = LENGTH - GRAM
-CROWD = 64
+CROWD = 256
 PIECE = 1 << 18
 NO_ID = np.iinfo(np.int64).max
 GRAM_BITS, CONTEXT_BYTES = 40, 6
@@ -247,7 +247,7 @@ def _answer(crowd: int):
         several = (kinds > 1) & (np.minimum.reduceat(key, g_start) < np.maximum.reduceat(key, g_start))
         many = (kinds > crowd) | np.logical_or.reduceat(crowded, g_start)
         many, several = np.repeat(many, g_size), np.repeat(several, g_size)
-        status = np.where(many, CROWDED, np.where(key > least, COVERED, np.where(several, SENDS, 0)))
+        status = np.where(crowded, CROWDED, np.where(key > least, COVERED, np.where(many, CROWDED, np.where(several, SENDS, 0))))
         out = np.empty(len(order), np.uint8)
         out[order] = status
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
@@ -282,7 +282,7 @@ def _gather(buckets: int, crowd: int):
             own = Block(rows, buckets, crowd)
             status = np.concatenate([np.frombuffer(a["status"], np.uint8) for a in answers])[own.question]
             lengths = np.array([len(t) for t in own.texts])
-            whole = ((status == COVERED) | ((status != CROWDED) & (own.key > own.least)))
+            whole = (status == COVERED) | (own.key > own.least)
             low = np.maximum(own.place[whole] - LEFT, 0)
             high = np.minimum(own.place[whole] + LENGTH, lengths[own.text[whole]])
             enough = high - low >= LENGTH
@@ -293,7 +293,7 @@ def _gather(buckets: int, crowd: int):
             where = list(zip(own.text[sends].tolist(), own.place[sends].tolist()))
             yield _found(number, text=own.text[sends], at=own.place[sends], gram=own.gram[sends].view(np.int64), id=own.key[sends],
                          before=[bodies[t][max(0, p - LEFT):p] for t, p in where], onward=[bodies[t][p:p + LENGTH] for t, p in where])
-            crowded = np.flatnonzero(status == CROWDED)
+            crowded = np.flatnonzero((status == CROWDED) & (own.key == own.least))
             for i in np.array_split(crowded, 1 + len(crowded) // 4096):
                 row, start, string = _strings(own.texts, own.text[i], own.place[i], own.gram[i])
                 yield _found(number, text=own.text[i][row], at=start, id=own.key[i][row], string=string.view(np.int64))
