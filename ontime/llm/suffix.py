@@ -256,13 +256,13 @@ def _answer(crowd: int):
     return answered
 
 
-FOUND = "block long, text int, at long, upto long, gram long, id long, before binary, onward binary, string long"
+FOUND = "block long, spans binary, text int, at long, gram long, id long, before binary, onward binary, string long"
 
 
 def _found(block: int, **columns) -> pa.RecordBatch:
     """Rows of FOUND with nulls in all columns that aren't given."""
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    n = len(columns["text"])
+    n = len(next(iter(columns.values())))
     arrays, names = [], []
     for column in FOUND.split(", "):
         name, kind = column.split()
@@ -273,7 +273,7 @@ def _found(block: int, **columns) -> pa.RecordBatch:
 
 
 def _gather(buckets: int, crowd: int):
-    """What each block's answers lead to: spans (at, upto), suffixes (gram, before, onward), or strings of crowded grams."""
+    """What each block's answers lead to: its packed spans, suffixes (gram, before, onward), or strings of crowded grams."""
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows, answers in each_block(batches, ["block", "rows", "answers"]):
@@ -286,8 +286,7 @@ def _gather(buckets: int, crowd: int):
             low = np.maximum(own.place[whole] - LEFT, 0)
             high = np.minimum(own.place[whole] + LENGTH, lengths[own.text[whole]])
             enough = high - low >= LENGTH
-            text, low, high = _united(own.text[whole][enough], low[enough], high[enough])
-            yield _found(number, text=text, at=low, upto=high)
+            yield _found(number, spans=[_packed(own.text[whole][enough], low[enough], high[enough])])
             sends = np.flatnonzero((status == SENDS) & (own.key == own.least))
             bodies = {t: own.texts[t].tobytes() for t in np.unique(own.text[sends]).tolist()}
             where = list(zip(own.text[sends].tolist(), own.place[sends].tolist()))
@@ -316,6 +315,16 @@ def _united(text: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nda
     return text[first], low[first], reach[last] - shift[first]
 
 
+def _packed(text: np.ndarray, low: np.ndarray, high: np.ndarray) -> bytes:
+    return np.concatenate([x.astype(np.int64) for x in _united(text, low, high)]).tobytes()
+
+
+def _packed_by_block(block: np.ndarray, text: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[pa.Array]:
+    order = np.argsort(block, kind="stable")
+    cuts = np.split(order, runs(block[order])[1:]) if len(order) else []
+    return [pa.array([block[i[0]] for i in cuts], pa.int64()), pa.array([_packed(text[i], low[i], high[i]) for i in cuts], pa.binary())]
+
+
 def intervals(common: list[int]) -> Iterator[tuple[int, int, int]]:
     """The tree of common-prefix intervals as (length, first, last); ``common[i]`` belongs to entries i - 1 and i."""
     stack: list[tuple[int, int]] = []
@@ -380,24 +389,20 @@ def maximal_repeats(gram: np.ndarray, before: list[bytes], onward: list[bytes])
 
 
 def _repeats(table: pa.Table) -> pa.Table:
-    """Spans of the suffixes of one bucket that lie in a repeat with a smaller document."""
+    """Spans of the suffixes of one bucket that lie in a repeat with a smaller document, packed by block."""
     gram, key, at, text, block = (table.column(c).to_numpy() for c in ("gram", "id", "at", "text", "block"))
     spans = [np.zeros((0, 4), np.int64)]
     for left, right, own in maximal_repeats(gram, table.column("before").to_pylist(), table.column("onward").to_pylist()):
         own = own[key[own] > key[own].min()]
         spans.append(np.column_stack([block[own], text[own], at[own] - left, at[own] + right]))
-    found = np.concatenate(spans)
-    return pa.table({"block": found[:, 0], "text": found[:, 1].astype(np.int32), "at": found[:, 2], "upto": found[:, 3]})
+    return pa.table(_packed_by_block(*np.concatenate(spans).T), ["block", "spans"])
 
 
-def _packed_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per block and batch with its spans united."""
     for batch in batches:
-        block, text, low, high = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "text", "at", "upto"))
-        order = np.argsort(block, kind="stable")
-        cuts = np.split(order, runs(block[order])[1:]) if len(order) else []
-        packed = [np.concatenate([x.astype(np.int64) for x in _united(text[i], low[i], high[i])]).tobytes() for i in cuts]
-        yield pa.RecordBatch.from_arrays([pa.array([block[i[0]] for i in cuts], pa.int64()), pa.array(packed, pa.binary())], ["block", "spans"])
+        block, text, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "text", "at"))
+        yield pa.RecordBatch.from_arrays(_packed_by_block(block, text, at, at + LENGTH), ["block", "spans"])
 
 
 def _blocks_with_spans(blocks: DataFrame, buckets: int, crowd: int) -> DataFrame:
@@ -407,15 +412,16 @@ def _blocks_with_spans(blocks: DataFrame, buckets: int, crowd: int) -> DataFrame
     answers = staged(asked.groupBy("bucket").applyInArrow(_answer(crowd), "block long, bucket int, status binary"), "repeat-answers")
     told = with_answers(blocks.select("block", "rows"), answers, ["bucket", "status"])
     found = staged(told.mapInArrow(_gather(buckets, crowd), FOUND), "repeat-found")
-    spans = ["block", "text", "at", "upto"]
-    whole = found.where("upto is not null").select(spans)
     sent = found.where("gram is not null").select("block", "text", "at", "gram", "id", "before", "onward")
     sent = sent.withColumn("bucket", F.pmod("gram", F.lit(buckets).cast("long")))
-    treed = sent.groupBy("bucket").applyInArrow(_repeats, "block long, text int, at long, upto long")
     strings = found.where("string is not null").select("block", "text", "at", "id", "string")
     least = strings.groupBy("string").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
-    crowded = strings.join(least, "string").where("id > least").select("block", "text", "at", (F.col("at") + LENGTH).alias("upto"))
-    packed = whole.unionByName(treed).unionByName(crowded).mapInArrow(_packed_spans, "block long, spans binary")
+    crowded = strings.join(least, "string").where("id > least").select("block", "text", "at")
+    packed = (
+        found.where("spans is not null").select("block", "spans")
+        .unionByName(sent.groupBy("bucket").applyInArrow(_repeats, "block long, spans binary"))
+        .unionByName(crowded.mapInArrow(_pack, "block long, spans binary"))
+    )
     return with_answers(blocks, packed, ["spans"])
 
 
