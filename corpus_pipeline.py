@@ -1,3 +1,59 @@
-"""The corpus pipeline: documents through five operators of ontime.llm."""
+"""The corpus pipeline: documents through five operators of ontime.llm.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
+stage's ``docs``. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ontime.llm import classifier, exact_dedup, packing, simhash, suffix
+from ontime.llm.common import staged, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return classifier.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return exact_dedup.exact_dedup(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of linked SimHash fingerprints."""
+    return simhash.near_dedup(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings that documents of smaller id hold too; n_chars counts what is left."""
+    return suffix.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The length bucket, batch and place of every document."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact),
+    ("SimHash near-dedup", near),
+    ("suffix-array dedup", repeats),
+    ("packing", packed),
+]
+
+#: A fitted classifier and connected components have no SQL; tests compare the pipeline with plain Python.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = staged(docs, f"pipeline-{number}")
+    return docs

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import bpe, classifier, lm, packing, rules, simhash, suffix, url_lists
+from ontime.llm import bpe, classifier, html_extract, lm, packing, rules, simhash, suffix, url_lists
 from ontime.llm import exact_dedup as exact
 from ontime.llm.common import table
 
@@ -116,3 +117,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_quality_classifier")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
