@@ -37,6 +37,8 @@ SAMPLE_CHARS = 100_000
 LAYOUTS = 3
 ROUNDS, DEPTH, RATE, BINS = 50, 4, 0.25, 32
 DROP_PRICE = 1.0
+PAGES_AT_ONCE = 64
+REMEMBERED = 10_000
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -147,10 +149,16 @@ class Words:
             for gram in {g for t in own for g in _grams(t)}:
                 seen[gram][int(y)] += 1
         total = [max(1, (labels == y).sum()) for y in (0, 1)]
+        self.known: dict[tuple[str, ...], float] = {}
         self.odds = {g: float(np.log(n1 / total[1]) - np.log(n0 / total[0])) for g, (n0, n1) in seen.items()}
 
     def score(self, tokens: list[str]) -> float:
-        return float(sum(np.mean([self.odds.get(g, 0.0) for g in _grams(t)]) for t in tokens[:8]))
+        key = tuple(tokens)
+        if key not in self.known:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            self.known[key] = float(sum(np.mean([self.odds.get(g, 0.0) for g in _grams(t)]) for t in tokens))
+        return self.known[key]
 
 
 def features(page: Page, words: Words) -> np.ndarray:
@@ -372,10 +380,15 @@ class Model:
     def __init__(self, words: Words, trees: Trees):
         self.words, self.trees = words, trees
 
-    def text(self, html: str) -> str:
-        page = Page(html)
-        kept = decode(page.parent, self.trees.margin(features(page, self.words)))
-        return "\n".join(text for node, text, _ in page.blocks if kept[node])
+    def texts(self, pages: list[str | None]) -> list[str]:
+        """The main text of each page; the trees judge the nodes of all of them at once."""
+        parsed = [Page(html or "") for html in pages]
+        if not parsed:
+            return []
+        rows = [features(page, self.words) for page in parsed]
+        margins = np.split(self.trees.margin(np.concatenate(rows)), np.cumsum([len(r) for r in rows])[:-1])
+        kept = [decode(page.parent, margin) for page, margin in zip(parsed, margins)]
+        return ["\n".join(text for node, text, _ in page.blocks if keep[node]) for page, keep in zip(parsed, kept)]
 
 
 def _seeds(page: Page) -> tuple[list[str], list[str]]:
@@ -413,9 +426,12 @@ def train(pages: list[str], layouts: int = LAYOUTS, seed: int = 5) -> Model | No
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) -> Model | None:
     """A model from at most ``sample`` pages of at most SAMPLE_CHARS characters, in the order of a hash of the page."""
-    html = named(html_col).cast("string")
-    rows = pages.select(html.alias("html")).where((F.length("html") <= SAMPLE_CHARS) & (F.length("html") > 0)).distinct()
-    return train([r.html for r in rows.orderBy(F.xxhash64("html"), "html").limit(sample).collect()])
+    rows = pages.select(named(html_col).cast("string").alias("html")).where((F.length("html") <= SAMPLE_CHARS) & (F.length("html") > 0))
+    rows = rows.withColumn("hash", F.xxhash64("html"))
+    chosen = [r.hash for r in rows.select("hash").distinct().orderBy("hash").limit(sample).collect()]
+    if not chosen:
+        return None
+    return train([r.html for r in rows.where(F.col("hash").isin(chosen)).groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").collect()])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = SAMPLE_PAGES) -> DataFrame:
@@ -425,7 +441,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = [model.text(html) if html and model else "" for html in batch.column("html").to_pylist()]
+            texts = []
+            for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.column("html").slice(at, PAGES_AT_ONCE).to_pylist()
+                texts += model.texts(part) if model else [""] * len(part)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])

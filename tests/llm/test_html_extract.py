@@ -37,10 +37,10 @@ def test_other_layouts(model):
       <section id="comments"><h3>2 comments</h3><div class="comment"><p>I liked this, it is good. Thanks a lot.</p></div></section>
       <div class="cookie-banner"><p>We use cookies, to improve it. Accept them.</p></div><form action=/s><p>Search</p><input><button>Go</button></form>
       <script>var x = "</p><p>no</p>";</script><style>p{}</style><footer>(c) 2024</footer></body></html>"""
-    assert model.text(page) == "Title here\nFirst paragraph & more, with words. It goes on.\nSecond one, too.\nan item\nother"
+    assert model.texts([page])[0] == "Title here\nFirst paragraph & more, with words. It goes on.\nSecond one, too.\nan item\nother"
     unseen = """<div id="topnav2"><a href=a>A</a> <a href=b>B</a></div><div id=main><div class="advertisements">Buy now!</div><div class=entrytext>
       <p>Hello there, this is text.</p><p>More text, more words.</p></div></div><div class="commentbox"><article class="comment"><p>Great, I think.</p></article></div>"""
-    assert model.text(unseen) == "Hello there, this is text.\nMore text, more words."
+    assert model.texts([unseen])[0] == "Hello there, this is text.\nMore text, more words."
 
 
 def test_decoding_is_the_best_consistent_choice():
