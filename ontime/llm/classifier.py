@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import crc_mod, fresh, ids_and_bytes, named, staged
+from ontime.llm.common import crc_mod, ids_and_bytes, named, staged
 
 SAMPLE = 20_000
 VOCABULARY = 30_000
@@ -39,6 +39,8 @@ HIDDEN = 32
 EPOCHS = 60
 THRESHOLD = 0.3
 SLICES = 16
+TOKENS_AT_ONCE = 4096
+ROWS_AT_ONCE = 512
 
 #: Runs of letters (all bytes beyond ASCII count as letters), runs of digits, single other characters.
 TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]")
@@ -51,6 +53,12 @@ def tokens(body: bytes) -> list[bytes]:
     return TOKEN.findall(UPPER.sub(rb" \g<0> < ", body).lower())
 
 
+def bodies(column: pa.Array) -> Iterator[bytes]:
+    """The values one by one, null as empty."""
+    for value in column:
+        yield value.as_buffer().to_pybytes() if value.is_valid else b""
+
+
 def index_vector(token: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of the sparse random vector of a token."""
     state = np.random.default_rng(xxhash.xxh64_intdigest(token, 7))
@@ -67,21 +75,34 @@ def index_matrix(vocabulary: list[bytes]) -> np.ndarray:
 
 
 def _context_sums(numbers: dict[bytes, int], index: np.ndarray):
+    """Counts of tokens and sums of their neighbours' index vectors, a few thousand tokens at a time."""
+    none = len(index)  # stands between documents and has the zero vector
+    padded = np.vstack([index, np.zeros((1, DIMENSIONS), index.dtype)])
+    gap = [none] * REACH
+
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(index.shape, np.int64)
         count = np.zeros(len(index), np.int64)
+
+        def add(row: np.ndarray) -> None:
+            for at in range(REACH, len(row) - REACH, TOKENS_AT_ONCE):
+                own = row[at: min(at + TOKENS_AT_ONCE, len(row) - REACH)]
+                around = sum(padded[row[at + step: at + step + len(own)]] for step in range(-REACH, REACH + 1) if step)
+                order = np.argsort(own, kind="stable")
+                first = np.flatnonzero(np.concatenate([[True], own[order][1:] != own[order][:-1]]))
+                words = own[order[first]]
+                held = words < none
+                count[words[held]] += np.diff(np.append(first, len(own)))[held]
+                sums[words[held]] += np.add.reduceat(around[order], first, dtype=np.int64)[held]
+
         for batch in batches:
-            for body in batch.column("body").to_pylist():
-                own = np.array([numbers.get(t, 0) for t in tokens(body)], np.int64)
-                count += np.bincount(own, minlength=len(index))
-                around = np.zeros((len(own), DIMENSIONS), np.int64)
-                for step in range(1, REACH + 1):
-                    around[step:] += index[own[:-step]]
-                    around[:-step] += index[own[step:]]
-                if len(own):
-                    order = np.argsort(own, kind="stable")
-                    first = np.flatnonzero(np.concatenate([[True], own[order][1:] != own[order][:-1]]))
-                    sums[own[order[first]]] += np.add.reduceat(around[order], first)
+            row = list(gap)
+            for body in bodies(batch.column("body")):
+                row += [numbers.get(t, 0) for t in tokens(body)] + gap
+                if len(row) > TOKENS_AT_ONCE:
+                    add(np.array(row, np.int64))
+                    row = list(gap)
+            add(np.array(row, np.int64))
         parts = np.array_split(np.arange(len(index)), SLICES)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(SLICES), pa.int32()), pa.array([np.column_stack([count[p], sums[p]]).tobytes() for p in parts], pa.binary())],
@@ -101,7 +122,7 @@ def word_vectors(sample: DataFrame, vocabulary: int, tasks: int = 8) -> tuple[di
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Counter()
         for batch in batches:
-            for body in batch.column("body").to_pylist():
+            for body in bodies(batch.column("body")):
                 seen.update(tokens(body))
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "n"])
 
@@ -189,11 +210,15 @@ class Model:
     def __init__(self, numbers: dict[bytes, int], vectors: np.ndarray, network: Network | None, share: float):
         self.numbers, self.vectors, self.network, self.share = numbers, vectors, network, share
 
-    def score(self, bodies: list[bytes]) -> np.ndarray:
-        if self.network is None or not bodies:
-            return np.full(len(bodies), self.share)
-        x = np.stack([features(b, self.numbers, self.vectors) for b in bodies])
-        return np.round(self.network.probability(x), 9)  # products of matrices differ in the last bits by batch
+    def score(self, column: pa.Array) -> np.ndarray:
+        """Scores of a column of texts, some hundred at a time."""
+        if self.network is None:
+            return np.full(len(column), self.share)
+        out = [np.zeros(0)]
+        for at in range(0, len(column), ROWS_AT_ONCE):
+            x = np.stack([features(b, self.numbers, self.vectors) for b in bodies(column.slice(at, ROWS_AT_ONCE))])
+            out.append(np.round(self.network.probability(x), 9))  # products of matrices differ in the last bits by batch
+        return np.concatenate(out)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id",
@@ -207,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(b, numbers, vectors).tobytes() for b in batch.column("body").to_pylist()]
+            found = [features(b, numbers, vectors).tobytes() for b in bodies(batch.column("body"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(found, pa.binary())], ["doc_id", "label", "x"])
 
     known = sorted((r.doc_id, r.label, bytes(r.x)) for r in rows.mapInArrow(pooled, "doc_id long, label int, x binary").collect())
@@ -226,7 +251,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = shared.value.score(batch.column("body").to_pylist())
+            score = shared.value.score(batch.column("body"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
     return ids_and_bytes(docs, id_col, text_col).mapInArrow(judged, "doc_id long, score double")
@@ -245,15 +270,13 @@ def verdicts(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, i
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with all their columns."""
+    """The rows of ``docs`` that are not rejected, with all their columns; the text must be a string."""
     model = fit(docs, labels, learns(), id_col, text_col, **options)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    body = fresh(docs, "classifier_body")
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = shared.value.score(batch.column(body).to_pylist())
-            yield batch.filter(pa.array(score >= threshold)).drop_columns([body])
+            score = shared.value.score(batch.column(text_col).cast(pa.binary()))
+            yield batch.filter(pa.array(score >= threshold))
 
-    rows = docs.withColumn(body, F.coalesce(named(text_col).cast("string"), F.lit("")).cast("binary"))
-    return rows.mapInArrow(passed, docs.schema)
+    return docs.mapInArrow(passed, docs.schema)
