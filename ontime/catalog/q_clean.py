@@ -110,14 +110,11 @@ def clip(spark, sf):
 
 
 @query("prj_additive_score", f"""
-WITH {i.FACT} SELECT order_key, line_no, value, round(10.0 + items * 3.0 + CASE WHEN priority = '1-URGENT' THEN 12.0 ELSE 0.0 END
-  + CASE WHEN priority = '2-HIGH' THEN 5.0 ELSE 0.0 END + CASE WHEN return_flag = 'R' THEN items * 1.5 ELSE 0.0 END
-  - least(customer_key % 61, 36) * 0.5, 4) AS score FROM fact""")
+WITH {i.FACT} SELECT order_key, line_no, value, round(4.25 + value * 0.125 + line_no * 0.75
+  + CASE WHEN late = 1 THEN 2.5 ELSE 0.0 END + CASE WHEN priority = '5-LOW' THEN value * 0.25 ELSE 0.0 END, 4) AS score FROM fact""")
 def additive(spark, sf):
-    base = numeric.additive_score(10.0, {"items": 3.0}, [
-        (F.col("priority") == "1-URGENT", 12.0), (F.col("priority") == "2-HIGH", 5.0),
-        (F.col("return_flag") == "R", F.col("items") * 1.5)])
-    score = base - F.least(F.col("customer_key") % 61, F.lit(36)) * 0.5
+    score = numeric.additive_score(4.25, {"value": 0.125, "line_no": 0.75}, [
+        (F.col("late") == 1, 2.5), (F.col("priority") == "5-LOW", F.col("value") * 0.25)])
     return i.fact(spark, sf).select("order_key", "line_no", "value", F.round(score, 4).alias("score"))
 
 

@@ -163,7 +163,7 @@ def raw_orders(spark, sf):
         F.sum("l_quantity").alias("items"), F.count(F.lit(1)).alias("n_lines"))
     orders, customers, nations = (i.table(spark, sf, n) for n in ("orders", "customer", "nation"))
     joined = (
-        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").fillna({"items": 0.0, "n_lines": 0})
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
@@ -177,13 +177,12 @@ def raw_orders(spark, sf):
 
 
 def planted(df):
-    """Minutes from a fixed formula with a pseudo-random part, and the label late = minutes > 50."""
+    """Minutes from a made-up formula with a pseudo-random part, and the label late = minutes > 45."""
     minutes = (
-        F.lit(12.0) + F.col("items") * 0.2 + F.when(F.col("priority") == "1-URGENT", 12.0).otherwise(0.0)
-        + F.when(F.col("priority") == "2-HIGH", 5.0).otherwise(0.0) + F.col("is_rush_hour") * 3.5
-        - F.least(F.col("experience_months"), F.lit(36)) * 0.15 + F.pmod(F.col("order_id") * 7919, F.lit(97)) / 97 * 24
+        F.lit(15.0) + F.col("n_lines") * 4 + F.when(F.col("dow") >= 6, 8.0).otherwise(0.0)
+        + F.when(F.col("segment") == "MACHINERY", 6.0).otherwise(0.0) + F.pmod(F.col("order_id") * 6151, F.lit(101)) / 101 * 20
     )
-    return df.withColumn("minutes", minutes).withColumn("late", (F.col("minutes") > 50).cast("int"))
+    return df.withColumn("minutes", minutes).withColumn("late", (F.col("minutes") > 45).cast("int"))
 
 
 def external_columns(spark, sf):

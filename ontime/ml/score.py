@@ -18,8 +18,15 @@ AT_RISK = 0.5
 def score(df: DataFrame, model: PipelineModel, threshold: float = AT_RISK) -> DataFrame:
     """Add the probability of being late and the at-risk flag; works on batch and streaming rows alike.
 
-    The flag is taken from the probability, because ``prediction`` is 0 at exactly one half.
+    The flag is taken from the probability, because ``prediction`` is 0 at exactly one half. Rows that a context join marked
+    as without context (``has_context``) are returned with nulls in place of a score.
     """
+    if "has_context" in df.columns:
+        known = score(df.where("has_context").drop("has_context"), model, threshold).withColumn("has_context", F.lit(True))
+        rest = df.where(~F.col("has_context"))
+        for name in ("prediction", "late_probability", "at_risk"):
+            rest = rest.withColumn(name, F.lit(None).cast(known.schema[name].dataType))
+        return known.unionByName(rest)
     scored = model.transform(df)
     late = vector_to_array("probability")[1]
     return scored.select(
@@ -48,5 +55,11 @@ def scenarios(orders: DataFrame, overrides: Mapping[str, Mapping[str, object]],
     if features is not None:
         rows = order_features(rows, features)
     if context is not None:
-        rows = rows.join(prepare_dimension(context, key, "context"), key)
+        rows = with_context(rows, context, key)
     return rows
+
+
+def with_context(rows: DataFrame, context: DataFrame, key: str) -> DataFrame:
+    """Look up the context of every row; a row whose key has none stays, with ``has_context`` false."""
+    known = prepare_dimension(context, key, "context").withColumn("has_context", F.lit(True))
+    return rows.join(known, key, "left").withColumn("has_context", F.coalesce("has_context", F.lit(False)))

@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ontime.functions.order_keys import hash_key
-
-# A value list up to this long is small enough to be ranked by one task.
-RANK_LIMIT = 1_000_000
+from ontime.session import stage
 
 ROWS_PER_PART = 100_000
 MAX_PARTS = 10_000
@@ -21,118 +19,39 @@ MAX_PARTS = 10_000
 # --- exact medians ---------------------------------------------------------------------------------
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], rank_limit: int = RANK_LIMIT,
-                  accuracy: int = 10_000) -> dict[str, float | None]:
-    """Median of each column, the middle two values averaged, nulls skipped.
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Median of each column, the middle two values averaged; nulls and NaN are skipped.
 
-    The built-in exact median gathers all distinct values of a column in one task, so it is used only up to
-    ``rank_limit`` rows. Above that, a mergeable sketch brackets the middle, one counting pass checks the
-    bracket, and the search goes on strictly inside it until few enough values are left to rank. Every pass
-    sends one row per task to the driver whatever the data size.
+    Rows are folded into one count per value, the values are dealt out by range, and the sums of the ranges tell which of
+    them hold the middle; only those are ranked, each by the task that holds it. The steps are the same at every size.
     """
     columns = list(columns)
     if not columns:
         return {}
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    result: dict[str, float | None] = {c: None for c in columns}
-    small = [c for c in columns if 0 < counts[c] <= rank_limit]
-    if small:
-        row = df.agg(*[F.median(c).alias(c) for c in small]).first()
-        result.update({c: row[c] for c in small})
-    large = [_Bracket(c, counts[c]) for c in columns if counts[c] > rank_limit]
-    while large:
-        _narrow(df, large, accuracy)
-        for b in large:
-            if b.open and b.inside <= rank_limit:
-                b.rank(df)
-        result.update({b.column: b.median() for b in large if not b.open})
-        large = [b for b in large if b.open]
-    return result
-
-
-class _Bracket:
-    """Open interval (low, high) still holding wanted ranks, with the number of values below and in it."""
-
-    def __init__(self, column: str, n: int):
-        self.column = column
-        self.low: float | None = None
-        self.high: float | None = None
-        self.below = 0
-        self.inside = n
-        self.margin = 2.0
-        self.wanted = sorted({(n - 1) // 2, n // 2})
-        self.found: dict[int, float] = {}
-
-    @property
-    def open(self) -> bool:
-        return any(k not in self.found for k in self.wanted)
-
-    def pending(self) -> list[int]:
-        return [k for k in self.wanted if k not in self.found]
-
-    def within(self) -> Column:
-        c = F.col(self.column)
-        condition = c.isNotNull()
-        if self.low is not None:
-            condition = condition & (c > F.lit(self.low))
-        if self.high is not None:
-            condition = condition & (c < F.lit(self.high))
-        return condition
-
-    def sketch_points(self, accuracy: int) -> list[float]:
-        last = max(self.inside - 1, 1)
-        slack = self.margin / accuracy
-        ranks = self.pending()
-        return [max(0.0, (ranks[0] - self.below) / last - slack), min(1.0, (ranks[-1] - self.below) / last + slack)]
-
-    def rank(self, df: DataFrame) -> None:
-        """Few values are left inside: rank them from their counts."""
-        c = F.col(self.column)
-        counts = df.filter(self.within()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        upto = F.sum("n").over(Window.orderBy("v"))
-        ranked = counts.select("v", (upto - F.col("n")).alias("start"), upto.alias("stop"))
-        for k in self.pending():
-            offset = k - self.below
-            row = ranked.filter((F.col("start") <= offset) & (F.col("stop") > offset)).first()
-            self.found[k] = row["v"]
-
-    def median(self) -> float:
-        values = [self.found[k] for k in self.wanted]
-        return sum(values) / len(values)
-
-
-def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
-    """One sketch pass and one counting pass, shared by all columns still being searched."""
-    sketches = df.agg(*[
-        F.percentile_approx(F.when(b.within(), F.col(b.column)), b.sketch_points(accuracy), accuracy).alias(b.column)
-        for b in brackets
-    ]).first()
-    exprs = []
-    for b in brackets:
-        c, (low, high) = F.col(b.column), sketches[b.column]
-        exprs += [
-            F.count_if(b.within() & (c < F.lit(low))).alias(f"{b.column}|below"),
-            F.count_if(c == F.lit(low)).alias(f"{b.column}|low"),
-            F.count_if((c > F.lit(low)) & (c < F.lit(high))).alias(f"{b.column}|inside"),
-            F.count_if(c == F.lit(high)).alias(f"{b.column}|high"),
-        ]
-    counted = df.agg(*exprs).first()
-    for b in brackets:
-        low, high = sketches[b.column]
-        first = b.below + counted[f"{b.column}|below"]
-        after_low = first + counted[f"{b.column}|low"]
-        after_inside = after_low + counted[f"{b.column}|inside"]
-        after_high = after_inside + (counted[f"{b.column}|high"] if high > low else 0)
-        pending = b.pending()
-        if pending[0] < first or pending[-1] >= after_high:
-            b.margin *= 4  # the sketch missed; look wider next time
-            continue
-        for k in pending:
-            if k < after_low:
-                b.found[k] = low
-            elif k >= after_inside:
-                b.found[k] = high
-        b.low, b.high, b.below, b.inside = low, high, after_low, counted[f"{b.column}|inside"]
+    values = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("at", "v"))
+    counts = values.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("at", "v").agg(F.count(F.lit(1)).alias("n"))
+    spread = stage(counts.repartitionByRange("at", "v").withColumn("part", F.spark_partition_id()), "median-counts")
+    sums = spread.groupBy("at", "part").agg(F.sum("n").alias("n")).orderBy("at", "part").collect()
+    result: dict[str, float | None] = {}
+    held = []  # column, part, rows of the column before the part
+    wanted = {}
+    for i in range(len(columns)):
+        own = [(r["part"], r["n"]) for r in sums if r["at"] == i]
+        total = sum(n for _, n in own)
+        wanted[i] = {(total - 1) // 2, total // 2} if total else set()
+        before = 0
+        for part, n in own:
+            if any(before <= k < before + n for k in wanted[i]):
+                held.append((i, part, before))
+            before += n
+    if held:
+        places = df.sparkSession.createDataFrame(held, "at int, part int, before long")
+        upto = F.sum("n").over(Window.partitionBy("at", "part").orderBy("v")) + F.col("before")
+        ranked = spread.join(F.broadcast(places), ["at", "part"]).select("at", "v", (upto - F.col("n")).alias("start"), upto.alias("stop"))
+        sought = df.sparkSession.createDataFrame([(i, k) for i, ks in wanted.items() for k in ks], "at int, k long")
+        rows = ranked.join(F.broadcast(sought), "at").where((F.col("start") <= F.col("k")) & (F.col("k") < F.col("stop"))).collect()
+        result = {columns[i]: sum(r["v"] for r in rows if r["at"] == i) / len(wanted[i]) for i in wanted if wanted[i]}
+    return {c: result.get(c) for c in columns}
 
 
 def weighted_median(df: DataFrame, column: str, alias: str = "median") -> DataFrame:

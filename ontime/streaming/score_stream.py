@@ -7,9 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ontime.ml.score import score
+from ontime.ml.score import score, with_context
 from ontime.operators.features import FeatureRules, order_features
-from ontime.operators.integrate import prepare_dimension
 
 
 def read_orders(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1_000) -> DataFrame:
@@ -22,7 +21,7 @@ def score_stream(stream: DataFrame, model: PipelineModel, context: DataFrame | N
     if features is not None:
         stream = order_features(stream, features)
     if context is not None:
-        stream = stream.join(prepare_dimension(context, key, "context"), key)
+        stream = with_context(stream, context, key)
     return score(stream, model)
 
 

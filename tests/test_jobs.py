@@ -1,4 +1,4 @@
-"""The cleaning, integration and feature jobs on six known orders."""
+"""The cleaning, integration and feature jobs on eight known orders."""
 
 import json
 import glob
@@ -30,12 +30,12 @@ def dims(spark):
 def test_clean(spark, missing):
     result = clean(dirty_orders(spark, missing), DELIVERY_RULES)
     assert result.report == {
-        "rows_in": 6, "duplicates_removed": 1, "outliers_corrected": 1, "invalid_rows_removed": 1,
+        "rows_in": 8, "duplicates_removed": 2, "outliers_corrected": 1, "invalid_rows_removed": 2,
         "untimed_rows_removed": 0, "null_cells_before": 3, "null_cells_imputable": 3, "null_cells_left": 0, "rows_out": 4}
     rows = result.df.collect()
-    assert sorted(r["weather"] for r in rows) == ["Despejado", "Despejado", "Despejado", "Lluvia"]
-    assert sorted(r["traffic"] for r in rows) == ["Alto", "Bajo", "Bajo", "Bajo"]
-    assert {r["distance_km"] for r in rows} == {3.0}
+    assert sorted(r["weather"] for r in rows) == ["Lluvia", "Nublado", "Nublado", "Nublado"]
+    assert sorted(r["traffic"] for r in rows) == ["Bajo", "Medio", "Medio", "Medio"]
+    assert {r["distance_km"] for r in rows} == {5.5}
     assert all(r["delivery_min"] > 0 for r in rows)
     assert not any(v is None for r in rows for v in r)
     assert result.df.distinct().count() == 2  # rows made equal by imputation stay
@@ -85,8 +85,8 @@ def test_integrate_refuses_duplicate_dimension_keys(spark):
 def test_enrich(spark):
     joined, _ = integrate(clean(dirty_orders(spark), DELIVERY_RULES).df, "district", dims(spark))
     for row in enrich(joined).collect():
-        assert (row["is_rush_hour"], row["is_weekend"], row["value_per_item"]) == (1, 1, 5000.0)
-        assert (row["is_novice"], row["is_dense_district"]) == (0, 0)
+        assert (row["is_rush_hour"], row["is_weekend"], row["value_per_item"]) == (0, 0, 6200.0)
+        assert (row["is_novice"], row["is_dense_district"]) == (1, 0)
 
 
 def test_density_query(spark):
@@ -102,20 +102,20 @@ def test_density_query(spark):
 
 def test_run_etl_writes_table_and_report(spark, tmp_path):
     report = run_etl(dirty_orders(spark), "district", dims(spark), DELIVERY_RULES, str(tmp_path / "t"), str(tmp_path / "r"))
-    assert report["rows_written"] == 4 and report["late_rate"] == 0.0
+    assert report["rows_written"] == 4 and report["late_rate"] == 1.0
     assert report["columns_written"] == 16 + 6 + 4 + 5
     stored = json.loads(open(glob.glob(str(tmp_path / "r" / "*.json"))[0]).read())
-    assert stored["duplicates_removed"] == 1 and stored["integration"]["rows_unmatched"] == 0
+    assert stored["duplicates_removed"] == 2 and stored["integration"]["rows_unmatched"] == 0
     assert spark.read.parquet(str(tmp_path / "t")).count() == 4
 
 
 def test_dashboard(spark):
     orders = clean(dirty_orders(spark), DELIVERY_RULES).df
-    tables = dashboard(orders, {"weather": ["Despejado"], "vehicle": [], "district": None})
+    tables = dashboard(orders, {"weather": ["Nublado"], "vehicle": [], "district": None})
     assert tables["kpis"].first()["n_orders"] == 3
     heat = tables["heatmap"].collect()
     assert [r["traffic"] for r in heat] == ["Bajo", "Medio", "Alto"]
-    assert heat[0]["Despejado"] == 0.0 and heat[1]["Despejado"] is None
+    assert heat[1]["Nublado"] == 1.0 and heat[0]["Nublado"] is None
     assert sum(r["n"] for r in tables["minutes"].collect()) == 3  # all values equal: one bin
 
 

@@ -37,20 +37,21 @@ def test_numeric(spark):
     assert numeric.nan_to_null(column(spark, [float("nan"), 1.0])).filter("v is null").count() == 1
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.sampled_from([0.0, 1.0, 7.5]), st.floats(-1e6, 1e6)), min_size=1, max_size=120))
-def test_exact_median_by_narrowing(spark, values):
-    df = column(spark, [*values, None])
-    assert selection.exact_medians(df, ["v"], rank_limit=5, accuracy=20)["v"] == pytest.approx(statistics.median(values), abs=1e-12)
+def test_exact_median(spark, values):
+    df = column(spark, [*values, None, float("nan")])
     assert selection.exact_medians(df, ["v"])["v"] == pytest.approx(statistics.median(values), abs=1e-12)
 
 
 def test_median_with_one_value_on_most_rows(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"),
                                     (F.col("id") * 3.5).alias("w"), F.lit(None).cast("double").alias("empty"))
-    got = selection.exact_medians(df, ["v", "w", "empty"], rank_limit=50, accuracy=100)
-    want = selection.exact_medians(df, ["v", "w", "empty"])
-    assert got == want and got["empty"] is None
+    got = selection.exact_medians(df, ["v", "w", "empty"])
+    values = sorted(5.0 if k % 3 == 0 else float(k) for k in range(30_000))
+    assert got == {"v": statistics.median(values), "w": 14_999.5 * 3.5, "empty": None}
+    assert selection.exact_medians(column(spark, [float("nan"), 1.0, 2.0]), ["v"]) == {"v": 1.5}
+    assert selection.exact_medians(column(spark, [float("nan"), None]), ["v"]) == {"v": None}
 
 
 def test_weighted_median_and_mode(spark):
