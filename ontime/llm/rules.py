@@ -136,7 +136,7 @@ def _cells(rows: DataFrame, least: int) -> DataFrame:
         "of_lang", "of_source",
         F.when(F.col("n") >= least, F.col("of_source")).when(F.col("n_lang") >= least, F.col("of_lang")).otherwise("").alias("cell"),
     )
-    return keys.join(cells, ["of_lang", "of_source"]).drop("of_lang", "of_source")
+    return keys.join(staged(cells, "rule-cells"), ["of_lang", "of_source"]).drop("of_lang", "of_source")
 
 
 def _levels(rows: DataFrame, slice_rows: int) -> DataFrame:
