@@ -110,11 +110,11 @@ def clip(spark, sf):
 
 
 @query("prj_additive_score", f"""
-WITH {i.FACT} SELECT order_key, line_no, value, round(4.25 + value * 0.125 + line_no * 0.75
-  + CASE WHEN late = 1 THEN 2.5 ELSE 0.0 END + CASE WHEN priority = '5-LOW' THEN value * 0.25 ELSE 0.0 END, 4) AS score FROM fact""")
+WITH {i.FACT} SELECT order_key, line_no, value, round(4.25 + value * 0.25 + line_no * 0.75
+  + CASE WHEN late = 1 THEN 2.5 ELSE 0.0 END + CASE WHEN priority = '5-LOW' THEN value * 0.5 ELSE 0.0 END, 4) AS score FROM fact""")
 def additive(spark, sf):
-    score = numeric.additive_score(4.25, {"value": 0.125, "line_no": 0.75}, [
-        (F.col("late") == 1, 2.5), (F.col("priority") == "5-LOW", F.col("value") * 0.25)])
+    score = numeric.additive_score(4.25, {"value": 0.25, "line_no": 0.75}, [
+        (F.col("late") == 1, 2.5), (F.col("priority") == "5-LOW", F.col("value") * 0.5)])
     return i.fact(spark, sf).select("order_key", "line_no", "value", F.round(score, 4).alias("score"))
 
 

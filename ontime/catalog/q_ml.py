@@ -311,7 +311,7 @@ def st_score_stream(spark, sf):
     orders = model_orders(spark, sf, raw)
     scored = st.score_stream(
         st.read_orders(spark, incoming, raw.schema), fitted_model(orders),
-        i.reference(context(orders, "district", EXTERNAL)), "district", FEATURES)
+        i.reference(context(orders, "district", EXTERNAL)), "district", FEATURES, {"value_per_item": 0.0})
     out = scratch_path(spark, "scored")
     st.write_scores(scored.select("order_id", "late_probability", "at_risk"), out, scratch_path(spark, "offsets")).awaitTermination()
     return spark.read.schema("order_id long, late_probability double, at_risk int").parquet(out) \

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -16,12 +18,17 @@ def read_orders(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 
 def score_stream(stream: DataFrame, model: PipelineModel, context: DataFrame | None = None, key: str | None = None,
-                 features: FeatureRules | None = None) -> DataFrame:
-    """Stateless: derive features, look the district up in a static table, score. The batch functions are reused."""
+                 features: FeatureRules | None = None, defaults: Mapping[str, float] | None = None) -> DataFrame:
+    """Stateless: derive features, look the district up in a static table, score. The batch functions are reused.
+
+    ``defaults`` stand in for features that are null, such as the value per item of an order without items.
+    """
     if features is not None:
         stream = order_features(stream, features)
     if context is not None:
         stream = with_context(stream, context, key)
+    if defaults:
+        stream = stream.fillna(dict(defaults))
     return score(stream, model)
 
 
