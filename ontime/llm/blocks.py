@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ontime.session import scratch_path
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
 MOST_FILE_BUCKETS = 50_000
