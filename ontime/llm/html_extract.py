@@ -6,7 +6,7 @@
    their statistics, its tag and those above, and how its attribute tokens and those above speak for or against content.
 3. The trees are trained on a bounded sample of pages: those with one article or main element as they are, labelled by it,
    and the text of the articles set into random layouts together with menus, notices, comments and so on made from the rest,
-   so every node's label is known.
+   so every node's label is known. Where the sample has no text at all, the layouts are made of built-in texts.
 4. Decoding picks the most probable labelling in which a node may be kept only if all above it are, so no choice contradicts
    an ancestor's; dropping a node below one that is kept has a price, so single weak nodes of an article stay.
 
@@ -288,6 +288,22 @@ PARTS = {
 }
 
 
+# Texts for layouts where a table's sample has none.
+ARTICLES = (
+    ("The river rose again", "The river rose by two metres in the night, and the lower streets of the town were closed before dawn. Nobody was hurt.",
+     "Engineers had warned of it for years, but the money for a new wall was spent on the bridge. Work is to begin in spring, the mayor said."),
+    ("How to keep bread fresh", "Bread goes stale because its starch hardens, not because it dries. A cool place is the worst one for it; a box at room temperature is better.",
+     "Slices can be frozen, however, and toasted as they are. They keep for about three months."),
+    ("Notes on the second release", "This release reads its settings once, when the program starts. Changes made later are ignored, so restart it after an edit.",
+     "Two errors were mended as well: long names are no longer cut off, and an empty list is now shown as such.",
+     "Thanks to all who tried the early versions, and who wrote to us about them."),
+    ("A walk along the coast", "We left the village at eight, with the sun behind us, and followed the path over the cliffs. It is steep at first, but never hard.",
+     "After an hour the lighthouse comes into view. Its keeper sells tea, cake and postcards, and tells stories about the winter of the great storm."),
+)
+REST = ("Home", "About us", "Contact", "Sign in to your account", "Most read this week", "Related stories", "All rights reserved", "Terms of use and privacy",
+        "Share this page", "Subscribe to our newsletter", "We use cookies to improve this site. Accept all", "Leave a comment", "Next page", "Advertisement", "Search")
+
+
 class Layouts:
     """Random pages of known labels: (tag, attributes, children or text, label)."""
 
@@ -410,9 +426,16 @@ def train(pages: list[str], layouts: int = LAYOUTS, seed: int = 5) -> Model | No
     """A model from sampled pages; None if none of them has text."""
     given = [Page(html) for html in pages]
     seeds = [_seeds(page) for page in given]
+    return _trained(given, seeds, layouts, seed) if any(a for a, _ in seeds) else None
+
+
+def built_in(layouts: int = LAYOUTS, seed: int = 5) -> Model:
+    """A model from layouts of fixed texts, for tables whose sample has none."""
+    return _trained([], [([*texts], [*REST]) for texts in ARTICLES], layouts, seed)
+
+
+def _trained(given: list[Page], seeds: list[tuple[list[str], list[str]]], layouts: int, seed: int) -> Model:
     articles = [a for a, _ in seeds if a]
-    if not articles:
-        return None
     quoted = lambda texts: [t.replace("&", "&amp;").replace("<", "&lt;") for t in texts]
     made = Layouts([quoted(a) for a in articles], quoted([t for _, rest in seeds for t in rest]), np.random.default_rng(seed))
     parsed = [Page(made.page()) for _ in range(layouts * max(60, len(articles)))] + [p for p in given if min(p.label[1:], default=-1) >= 0]
@@ -425,13 +448,23 @@ def train(pages: list[str], layouts: int = LAYOUTS, seed: int = 5) -> Model | No
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES) -> Model | None:
-    """A model from at most ``sample`` pages of at most SAMPLE_CHARS characters, in the order of a hash of the page."""
-    rows = pages.select(named(html_col).cast("string").alias("html")).where((F.length("html") <= SAMPLE_CHARS) & (F.length("html") > 0))
-    rows = rows.withColumn("hash", F.xxhash64("html"))
-    chosen = [r.hash for r in rows.select("hash").distinct().orderBy("hash").limit(sample).collect()]
-    if not chosen:
-        return None
-    return train([r.html for r in rows.where(F.col("hash").isin(chosen)).groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").collect()])
+    """A model from at most ``sample`` pages in the order of a hash of the page; None if all pages are null or empty.
+
+    Pages of at most SAMPLE_CHARS characters are sampled; if none of these has text, the beginnings of longer ones; if these
+    have none either, the built-in texts are used.
+    """
+    rows = pages.select(named(html_col).cast("string").alias("html")).where(F.length("html") > 0)
+    rows = rows.select(F.xxhash64("html").alias("hash"), F.substring("html", 1, SAMPLE_CHARS).alias("html"), (F.length("html") > SAMPLE_CHARS).alias("long"))
+    given = False
+    for part in (rows.where(~F.col("long")), rows.where("long")):
+        chosen = [r.hash for r in part.select("hash").distinct().orderBy("hash").limit(sample).collect()]
+        if not chosen:
+            continue
+        given = True
+        texts = part.where(F.col("hash").isin(chosen)).groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").collect()
+        if (model := train([r.html for r in texts])) is not None:
+            return model
+    return built_in() if given else None
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample: int = SAMPLE_PAGES) -> DataFrame:

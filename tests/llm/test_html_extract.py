@@ -78,3 +78,16 @@ def test_odd_pages(spark):
     assert texts[None, "u"] == "cut &am" and len(texts[5, "u"]) == len("long words. " * 100_000) - 1
     assert html_extract.main_text(docs.limit(0)).collect() == []
     assert {r.text for r in html_extract.main_text(docs.where("page_id < 3")).collect()} == {""}
+
+
+def test_tables_without_short_pages_keep_their_texts(spark):
+    words = "It was a long day, and many words were said. " * 3000
+    page = f"<html><body><nav><ul><li><a href=a>Home</a><li><a href=b>More</a></ul></nav><article><h1>Title</h1><p>{words}</p></article></body></html>"
+    assert len(page) > html_extract.SAMPLE_CHARS
+    schema = "page_id long, url string, html string"
+    got = html_extract.main_text(spark.createDataFrame([(1, "u", page)], schema)).collect()[0].text
+    assert got == "Title\n" + words.strip()
+    hidden_start = "<script>" + "x" * html_extract.SAMPLE_CHARS + "</script>"
+    rows = [(1, "u", "<html></html>"), (2, "u", hidden_start + "<article><p>Late text, but text. It counts.</p></article>"), (3, "u", "")]
+    got = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {1: "", 2: "Late text, but text. It counts.", 3: ""}
