@@ -1,7 +1,9 @@
 """Main text of web pages by gradient-boosted trees over DOM nodes, decoded along the tree.
 
-1. A page becomes a tree of its block elements (inline markup belongs to the block around it). Elements that never show
-   text, such as scripts, styles and form controls, are skipped; malformed pages are read as far as they go.
+1. A page becomes a tree of its block elements (inline markup and formulas belong to the block around it). Elements that
+   never show text, such as scripts, styles and form controls, are skipped; malformed pages are read as far as they go, and
+   a hidden element without its end tag ends at the next block element or with the element around it. Only an unclosed
+   script, style or textarea takes the rest of the page, as in HTML.
 2. Every node gets features: text, link and punctuation density of its subtree, depth, its place among its siblings and
    their statistics, its tag and those above, and how its attribute tokens and those above speak for or against content.
 3. The trees are trained on a bounded sample of pages: those with one article or main element as they are, labelled by it,
@@ -21,7 +23,7 @@ columns are not read.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -45,11 +47,16 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup"
     " time tt u var wbr data output".split())
-HIDDEN = frozenset("script style head title noscript template svg math iframe object canvas audio video select option textarea button input label map".split())
+HIDDEN = frozenset("script style title noscript template svg iframe canvas audio video select option textarea button annotation annotation-xml".split())
+RAW = frozenset("script style textarea".split())
+NOT_NESTED = frozenset("title noscript iframe select option textarea button".split())
+MIXED = frozenset("label map object".split())
+HOLDS_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre figcaption caption".split())
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr main menu nav ol p pre section table ul li".split())
 ENDS_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+BLOCK = ENDS_PARAGRAPH | frozenset("body li dt dd tr td th tbody thead tfoot".split())
 SCOPE = frozenset("ul ol dl table article section div main body".split())
 TAGS = ("p div section article main header footer nav aside form ul ol li table td h1 h2 h3 h4 blockquote pre figure body dl").split()
 ABOVE = "article main nav header footer aside form ul table section".split()
@@ -59,13 +66,20 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Page(HTMLParser):
-    """Block elements of a page in page order, and its blocks of text."""
+    """Block elements of a page in page order, and its blocks of text.
+
+    What stands in a hidden element is read from the first block element on, and taken back when the element's end tag
+    comes. If none comes before the end of an element around it, or of the page, the hidden element ended at that block.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.tokens, self.label = ["#page"], [-1], [[]], [1]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters inside links
-        self._open, self._hidden, self._links = [0], [], 0
+        self._open, self._links = [0], 0
+        self._hidden: list[list] = []  # tag, state to go back to once a block element was seen
+        self._within = [Counter()]  # open elements that are no nodes: of the page, of each hidden element
+        self._math = 0  # open elements of a formula inside a block
         self._run: list[str] = []
         self._linked = 0
         self.feed(html)
@@ -88,15 +102,84 @@ class Page(HTMLParser):
             if tag in scope:
                 return
 
+    def _quiet(self) -> bool:
+        return bool(self._hidden) and self._hidden[-1][1] is None
+
+    def _hide(self, tag) -> None:
+        if tag in NOT_NESTED:
+            tags = [h[0] for h in self._hidden]
+            while tag in tags[(len(tags) - tags[::-1].index("svg") if "svg" in tags else 0):]:
+                self._unhide()
+                tags.pop()
+        self._hidden.append([tag, None])
+        self._within.append(Counter())
+
+    def _unhide(self) -> None:
+        self._hidden.pop()
+        self._within.pop()
+
+    def _read_on(self) -> None:
+        """A block element begins: what follows counts unless the end tags of the hidden elements around it come."""
+        state = (len(self.tag), len(self.blocks), self._open[:], self._links, self._run[:], self._linked, self._math)
+        for hidden in self._hidden:
+            hidden[1] = hidden[1] or state
+
+    def _take_back(self, tag) -> None:
+        found = ""
+        while found != tag:
+            found, state = self._hidden[-1]
+            self._unhide()
+        if state:
+            nodes, blocks, opened, self._links, run, self._linked, self._math = state
+            self._open, self._run = opened[:], run[:]
+            for kept in (self.tag, self.parent, self.tokens, self.label):
+                del kept[nodes:]
+            del self.blocks[blocks:]
+
+    def _end_around(self, tag) -> None:
+        """Hidden elements end with an open element around them."""
+        while self._hidden:
+            state = self._hidden[-1][1]
+            first = state[0] if state else len(self.tag)
+            if any(self.tag[node] == tag for node in self._open if node >= first) or not any(self.tag[node] == tag for node in self._open[1:]):
+                return
+            self._unhide()
+
+    def _leave(self, tag) -> bool:
+        """Close an element that is no node; hidden elements inside it end with it."""
+        for i in range(len(self._within) - 1, -1, -1):
+            if self._within[i][tag]:
+                self._within[i][tag] -= 1
+                while len(self._within) > i + 1:
+                    self._unhide()
+                return True
+        return False
+
     def handle_starttag(self, tag, attrs):
-        if self._hidden or tag in HIDDEN:
-            if tag not in VOID and (not self._hidden or tag == self._hidden[0]):
-                self._hidden.append(tag)
+        if tag == "head" or self._hidden and self._hidden[-1][0] in RAW:
+            return
+        if tag == "body":
+            while self._hidden and self._hidden[-1][0] != "title":
+                self._unhide()
+        if tag in HIDDEN:
+            self._hide(tag)
+            return
+        if self._quiet():
+            if tag not in BLOCK:
+                self._within[-1][tag] += tag not in VOID
+                return
+            self._read_on()
+        if tag in BLOCK:
+            self._math = 0
+        elif self._math or tag == "math" or tag in MIXED and self.tag[self._open[-1]] in HOLDS_TEXT:
+            self._within[-1][tag] += tag not in VOID
+            self._math += tag == "math"
             return
         if tag == "br":
             self._flush()
         if tag in INLINE or tag in VOID:
             self._links += tag == "a"
+            self._within[-1][tag] += tag not in VOID
             if tag in VOID and tag not in ("br", "img", "wbr"):
                 self._flush()
             return
@@ -117,19 +200,27 @@ class Page(HTMLParser):
         self._open.append(len(self.tag) - 1)
 
     def handle_endtag(self, tag):
-        if self._hidden:
-            if tag == self._hidden[0]:
-                self._hidden.pop()
+        if tag == "head" or self._hidden and self._hidden[-1][0] in RAW and self._hidden[-1][0] != tag:
+            return
+        if tag in HIDDEN:
+            if any(h[0] == tag for h in self._hidden):
+                self._take_back(tag)
             return
-        if tag in INLINE:
-            self._links = max(0, self._links - (tag == "a"))
+        if tag in INLINE or tag == "math" or self._within[-1][tag]:
+            if self._leave(tag) and tag == "math" and not self._quiet():
+                self._math = max(0, self._math - 1)
+            if tag in INLINE and not self._quiet():
+                self._links = max(0, self._links - (tag == "a"))
+            return
+        self._end_around(tag)
+        if self._quiet():
             return
         self._flush()
-        self._links = 0
+        self._links = self._math = 0
         self._close({tag})
 
     def handle_data(self, data):
-        if not self._hidden:
+        if not self._quiet():
             self._run.append(data)
             if self._links:
                 self._linked += len(data)

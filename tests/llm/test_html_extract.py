@@ -91,3 +91,32 @@ def test_tables_without_short_pages_keep_their_texts(spark):
     rows = [(1, "u", "<html></html>"), (2, "u", hidden_start + "<article><p>Late text, but text. It counts.</p></article>"), (3, "u", "")]
     got = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, schema)).collect()}
     assert got == {1: "", 2: "Late text, but text. It counts.", 3: ""}
+
+
+def blocks(page):
+    return [text for _, text, _ in html_extract.Page(page).blocks]
+
+
+def test_hidden_elements_without_end_tags(spark):
+    cut = "<html><head><title>t</title><body><article><p>Main text.</article></body></html>"
+    assert blocks(cut) == ["Main text."]
+    rows = spark.createDataFrame([(1, "u", cut)], "page_id long, url string, html string")
+    assert html_extract.main_text(rows).collect()[0].text == "Main text."
+    for tag in "title noscript template svg iframe canvas audio video select option button label map object".split():
+        assert blocks(f"<html><head></head><body><div><{tag}></div><article><p>One.</p>two</article></body></html>") == ["One.", "two"]
+        assert blocks(f"<body><p>A</p><{tag}><article><p>One.</p><svg><g>no</g></svg></article>") == ["A", "One."]
+    assert blocks("<body><button>x<p>One.</p><button>y</button><p>Two <a><svg><path></a> more.</p>") == ["One.", "Two more."]
+    assert blocks("<body><p>A</p><svg><p>B</p><svg><text>no</text></svg><p>C</p>") == ["A", "B", "C"]
+    assert blocks("<body><p>A</p><script>x<p>B</p>") == blocks("<body><p>A</p><textarea>x<p>B</p>") == ["A"]
+
+
+def test_closed_hidden_elements_stay_hidden():
+    for tag in "title noscript template svg iframe canvas audio video select option textarea button".split():
+        assert blocks(f"<body><div>a <{tag}>x<div><p>no</p></div><b>no</b><svg>no</svg><ul><li>no</ul></{tag}>b</div><p>c</p>") == ["a b", "c"]
+    assert blocks("<head><title>The <body> tag</title></head><body><p>a<noscript><p>no</noscript> b</p>") == ["a b"]
+
+
+def test_formulas_and_labels_are_read():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> be <label>so</label>.</p><label>Key</label><object><p>Fall back</p></object><map><p>M</p></map></article>"
+    assert blocks(page) == ["Let x=1 be so.", "Key", "Fall back", "M"]
+    assert {"label", "object", "map"} <= set(html_extract.Page(page).tag)
