@@ -106,3 +106,32 @@ def test_filter_and_empty_table(spark):
     assert kept.columns == docs.columns and kept.collect() == []
     empty = spark.createDataFrame([], SCHEMA)
     assert rules.verdicts(empty).collect() == [] and rules.sound_documents(empty).collect() == []
+
+
+def test_each_statistic_can_reject_alone(spark):
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" + "x" * (i % 7) for i in range(500)]
+    texts = [" ".join(rng.choice(words, rng.integers(150, 400))) for _ in range(400)]
+    plain_text = texts[0]
+    odd = [" ".join(f"{i:03d}" + "z" * 22 for i in range(250)),
+           plain_text + "$" * (len(plain_text) // 25), plain_text + "\nsame" * 40]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "", "", "", "") for i, t in enumerate(texts + odd)], SCHEMA)
+    got = {r.doc_id: r for r in rules.verdicts(docs).collect()}
+    assert not any(got[400 + i].base_failed or got[400 + i].kept for i in range(3))
+    assert sum(got[i].kept for i in range(400)) >= 390
+
+
+def test_steps_settle_at_the_smallest_determinant_of_all_starts(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, 1.0, (300, 5)), rng.normal(8, 0.6, (100, 5))])
+    levels = spark.createDataFrame([("c", 0, *map(float, r)) for r in x], ["cell", "slice", *rules.X])
+    slices = levels.select("cell", "slice").distinct()
+    best = rules._settled(levels, slices, 0.75).collect()[0]
+    again = rules._concentrate(levels, spark.createDataFrame([best]).join(slices, "cell"), 0.75, False).collect()[0]
+    assert abs(again.log_det - best.log_det) <= 1e-5
+    starts = rules.staged(rules._starts(levels), "starts")
+    assert {r.start for r in starts.collect()} == {0, 1, 2, 3}
+    for one in rules._concentrate(levels, starts.join(slices, "cell"), 0.75, False).collect():
+        assert best.log_det <= one.log_det + 1e-5
+    sound = np.linalg.slogdet(np.cov(x[:300].T, ddof=0))[1] + 5 * math.log(rules._consistency(0.75))
+    assert math.isclose(best.log_det, sound, abs_tol=1e-3)
