@@ -7,7 +7,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import bpe, classifier, html_extract, lm, packing, rules, simhash, suffix, url_lists
+from ontime.llm import bpe, classifier, html_extract, lm, packing, rules, simhash, suffix, token_align, url_lists
 from ontime.llm import exact_dedup as exact
 from ontime.llm.common import table
 
@@ -124,6 +124,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+@query("op11_cross_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
