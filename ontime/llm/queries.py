@@ -7,7 +7,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import bpe, classifier, html_extract, lm, packing, rules, simhash, suffix, token_align, url_lists
+from ontime.llm import bpe, classifier, html_extract, lm, packing, rules, simhash, suffix, token_align, url_lists, vafile, whiten
 from ontime.llm import exact_dedup as exact
 from ontime.llm.common import table
 
@@ -129,6 +129,24 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.align(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op12_exact_top_k", r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, place::INT AS rank, vec_id, score FROM r WHERE place <= 5""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
