@@ -38,12 +38,18 @@ from pyspark.sql import functions as F
 from ontime.llm.blocks import BLOCK_BYTES, each_block, forget, home, pack_rows, unpack_rows
 from ontime.llm.common import ids_and_bytes, staged, text_bytes
 
+#: Smaller blocks than other operators': links and group texts of a block are several times its size in memory.
+ALIGN_BYTES = BLOCK_BYTES // 2
+
 #: A worker forgets its chunks, between two blocks, beyond so many; they are then tokenized again when they come back.
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 400_000
 
 #: Chunks that are tokenized as one text.
 JOINED = 1_000
 
+#: Numbers kept of each chunk.
+COLUMNS = 6
+
 #: Every character that Python counts as white space, and so every one that a tokenizer's pattern does, before a blank.
 _RUNS = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
 _CHUNK = re.compile(r" (?:[^ ]|(?<=\s) )*")
@@ -99,8 +105,8 @@ class Aligner:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.groups: list[bytes] = []  # as text, a semicolon behind each
-        self.sizes = array("q")  # n_a, n_b, n_groups, whether the bytes agree, number of links so far
+        self.groups = bytearray()  # as text, a semicolon behind each
+        self.sizes = array("q")  # n_a, n_b, n_groups, whether the bytes agree, links so far, length of the groups' text so far
         self.codes, self.regular = array("q"), array("b")
 
     def chunks(self, text: str) -> list[str]:
@@ -114,6 +120,22 @@ class Aligner:
                 ids[n] = [self.b.piece_to_id("▁")]
         return ids
 
+    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """The chunks of each text as numbers; all of them are known afterwards."""
+        number, new, found = self.number, [], []
+        for text in texts:
+            chunks = self.chunks(text) if text else []
+            for chunk in set(chunks).difference(number):
+                new.append(chunk)
+                number[chunk] = -len(new)  # until it has a number of its own
+            found.append(np.fromiter(map(number.__getitem__, chunks), np.int64, len(chunks)))
+        self.learn(new)
+        own = np.array([number[chunk] for chunk in new], np.int64)
+        for at in found:
+            if len(own):
+                at[at < 0] = own[-1 - at[at < 0]]
+        return found
+
     def learn(self, chunks: list[str]) -> None:
         """Align chunks that are not known yet. Those that may stand side by side are tokenized as texts of many chunks."""
         sure = [chunk for chunk in chunks if chunk and not chunk[-1].isspace() and "▁" not in chunk] if self.cuts else []
@@ -145,7 +167,8 @@ class Aligner:
 
     def _add(self, chunks: list[str], a: np.ndarray, b: np.ndarray, a_count: np.ndarray, b_count: np.ndarray, fine: np.ndarray) -> None:
         """Align the tokens of chunks, all in one go: laid end to end, every chunk ends with a common end."""
-        self.number.update(zip(chunks, range(len(self.groups), len(self.groups) + len(chunks))))
+        known = len(self.sizes) // COLUMNS
+        self.number.update(zip(chunks, range(known, known + len(chunks))))
         a_end, b_end = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
         ends = np.union1d(a_end, b_end)  # between two ends lies one link
         a_at, b_at = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
@@ -163,13 +186,14 @@ class Aligner:
         b_upto = np.searchsorted(b_group, np.arange(n_groups), "right")
         out[np.arange(len(a)) + np.concatenate([[0], b_upto])[a_group]] = self.texts[0][a_last.astype(np.int8), a]
         out[np.arange(len(b)) + a_upto[b_group]] = self.texts[1][b_last.astype(np.int8), b]
-        parts, stop = out.tolist(), np.cumsum(a_count + b_count).tolist()
-        self.groups += [b"".join(parts[start:end]) for start, end in zip([0, *stop], stop)]
+        lengths = np.fromiter(map(len, out), np.int64, len(out))
+        texts = len(self.groups) + np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(a_count + b_count)]
+        self.groups += b"".join(out)
         # per chunk
         chunk = np.repeat(np.arange(len(fine)), a_count)[a_at]  # of each link
         links = np.bincount(chunk, minlength=len(fine))
         table = np.stack([a_count, b_count, np.bincount(chunk[common], minlength=len(fine)), fine.astype(np.int64),
-                          len(self.codes) + np.cumsum(links)], axis=1).astype(np.int64)
+                          len(self.codes) + np.cumsum(links), texts], axis=1).astype(np.int64)
         self.sizes.frombytes(table.tobytes())
         self.codes.frombytes((a[a_at] * self.width + b[b_at]).tobytes())
         self.regular.frombytes(regular.astype(np.int8).tobytes())
@@ -193,20 +217,16 @@ def _describe(a_path: str, b_path: str):
         own = aligner(a_path, b_path)
         if len(own.number) > CACHED_CHUNKS:
             own.forget()
-        texts = [body.decode() for body in block.column("body").to_pylist()]
-        lists = [own.chunks(text) if text else [] for text in texts]
-        own.learn(list(set(chain.from_iterable(lists)).difference(own.number)))
+        lists = own.numbers([body.decode() for body in block.column("body").to_pylist()])
         ends = np.cumsum([len(each) for each in lists])
-        known = np.fromiter(map(own.number.__getitem__, chain.from_iterable(lists)), np.int64, int(ends[-1]) if len(ends) else 0)
+        seen, chunk = np.unique(np.concatenate(lists), return_inverse=True)
         del lists
-        seen, chunk = np.unique(known, return_inverse=True)
-        table = np.array(own.sizes, np.int64).reshape(-1, 5)
-        sizes, stops = table[seen, :4], table[seen, 4]
-        starts = np.where(seen > 0, table[seen - 1, 4], 0)
-        text = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
-        whole = (np.bincount(text, weights=sizes[chunk, 3] == 0, minlength=len(texts)) == 0) & (np.diff(ends, prepend=0) > 0)
-        sums = [(np.bincount(text, weights=sizes[chunk, k], minlength=len(texts)) * whole).astype(np.int64) for k in range(3)]
-        groups = [own.groups[n] for n in seen]
+        table = np.array(own.sizes, np.int64).reshape(-1, COLUMNS)
+        sizes, (starts, first), (stops, last) = table[seen, :4], np.where(seen > 0, table[seen - 1, 4:].T, 0), table[seen, 4:].T
+        text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        whole = (np.bincount(text, weights=sizes[chunk, 3] == 0, minlength=len(ends)) == 0) & (np.diff(ends, prepend=0) > 0)
+        sums = [(np.bincount(text, weights=sizes[chunk, k], minlength=len(ends)) * whole).astype(np.int64) for k in range(3)]
+        groups = [bytes(own.groups[start:end]) for start, end in zip(first.tolist(), last.tolist())]
         shas, at = [], 0
         for end, fine in zip(ends.tolist(), whole.tolist()):
             shas.append(hashlib.sha256(b"".join([groups[n] for n in chunk[at:end].tolist()])[:-1]).hexdigest() if fine else "")
@@ -262,7 +282,7 @@ class Counts:
     """Blocks of aligned documents and the corpus-wide counts of their pairs; ``close`` when nothing reads them any more."""
 
     def __init__(self, docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 block_bytes: int = BLOCK_BYTES):
+                 block_bytes: int = ALIGN_BYTES):
         own = aligner(a_path, b_path)
         self.docs, self.width, self.identity = docs, own.width, own.identity
         self.blocks, self.name = home(
@@ -333,7 +353,7 @@ def _evaluate(width: int, identity: np.ndarray, total: np.ndarray, highest: np.n
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
-          block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = ALIGN_BYTES) -> DataFrame:
     """One row per input row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     counts = Counts(docs, a_path, b_path, id_col, text_col, block_bytes)
     total, highest = counts.vectors()
