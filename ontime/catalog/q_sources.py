@@ -9,6 +9,7 @@ from ontime.operators import reports as r
 from ontime.operators.integrate import attach
 from ontime.session import scratch_path
 from ontime.sources import api, readers, schemas, sinks
+from ontime.sources.versions import VersionedFolder
 
 
 @query("src_csv_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, ' ' || c_mktsegment || ' ' AS padded FROM customer")
@@ -56,18 +57,73 @@ def json_snapshot(spark, sf):
 
 
 @query("snk_json_envelope", """
-SELECT 'suppliers' AS source, '2024-01-01T00:00:00' AS extracted_at, count(*) AS n_records,
-       min(s_suppkey) AS first_key, max(s_suppkey) AS last_key, sum(s_suppkey)::BIGINT AS key_sum
-FROM supplier GROUP BY s_suppkey // 50000""")
+WITH n AS (SELECT s_suppkey, (row_number() OVER (ORDER BY s_suppkey) - 1) // 16 AS part FROM supplier)
+SELECT 'suppliers' AS source, '2024-01-01T00:00:00' AS extracted_at, part, count(*) AS n_records,
+       min(s_suppkey) AS first_key, max(s_suppkey) AS last_key, string_agg(s_suppkey::VARCHAR, ',' ORDER BY s_suppkey) AS keys
+FROM n GROUP BY part""")
 def json_envelope(spark, sf):
-    path = scratch_path(spark, "supplier-envelope")
-    sinks.write_snapshot(i.table(spark, sf, "supplier").select(*SUPPLIER.names), path, "suppliers", "s_suppkey",
-                         extracted_at=F.lit("2024-01-01T00:00:00"))
-    stored = spark.read.schema(schemas.envelope(SUPPLIER)).json(path)
-    keys = stored.select("source", "extracted_at", F.explode("records.s_suppkey").alias("k"))
-    return keys.groupBy("source", "extracted_at", F.floor(F.col("k") / 50000)).agg(
-        F.count(F.lit(1)).alias("n_records"), F.min("k").alias("first_key"), F.max("k").alias("last_key"),
-        F.sum("k").alias("key_sum")).select("source", "extracted_at", "n_records", "first_key", "last_key", "key_sum")
+    """Every envelope as it was stored: its part, its key range and its records in order."""
+    path = sinks.write_snapshot(
+        i.table(spark, sf, "supplier").select(*SUPPLIER.names), scratch_path(spark, "supplier-envelope"), "suppliers", "s_suppkey",
+        extracted_at=F.lit("2024-01-01T00:00:00"), records=16)
+    keys = F.col("records.s_suppkey")
+    return spark.read.schema(schemas.envelope(SUPPLIER)).json(path).select(
+        "source", "extracted_at", "part", F.size("records").cast("long").alias("n_records"), keys[0].alias("first_key"),
+        F.element_at(keys, -1).alias("last_key"), F.array_join(keys.cast("array<string>"), ",").alias("keys"))
+
+
+@query("snk_envelope_text_key", """
+WITH n AS (SELECT c_name, (row_number() OVER (ORDER BY c_name) - 1) // 100 AS part FROM customer)
+SELECT part, count(*) AS n_records, min(c_name) AS first_key, max(c_name) AS last_key FROM n GROUP BY part""")
+def envelope_text_key(spark, sf):
+    """Envelopes cut along a text key."""
+    cut = sinks.envelopes(i.table(spark, sf, "customer").select("c_name", "c_acctbal"), "customers", "c_name", F.lit("2024-01-01T00:00:00"), 100)
+    names = F.col("records.c_name")
+    return cut.select("part", F.size("records").cast("long").alias("n_records"), names[0].alias("first_key"),
+                      F.element_at(names, -1).alias("last_key"))
+
+
+CUSTOMER = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+                         T.StructField("c_acctbal", T.DoubleType())])
+
+
+@query("src_snapshot_refresh", """
+SELECT c_custkey, c_name, c_acctbal, 1::BIGINT AS versions, 2 AS fallbacks FROM customer""")
+def snapshot_refresh(spark, sf):
+    """A stored snapshot outlives a fetch that fails at once and one that fails while its rows are being written."""
+    path, schema = scratch_path(spark, "customer-snapshot"), schemas.envelope(CUSTOMER)
+    customers = i.table(spark, sf, "customer").select(*CUSTOMER.names)
+    failed = []
+
+    def refused():
+        raise ConnectionError("refused")
+
+    last = customers.agg(F.max("c_custkey")).scalar()
+    broken_off = customers.withColumn(
+        "c_acctbal", F.when(F.col("c_custkey") == last, F.raise_error(F.lit("broken off")).cast("double")).otherwise(F.lit(0.0)))
+    readers.resolve_snapshot(spark, path, schema, lambda: customers, key="c_custkey")
+    for fetch in (refused, lambda: broken_off):
+        kept = readers.resolve_snapshot(spark, path, schema, fetch, refresh=True, key="c_custkey", on_fallback=failed.append)
+    return kept.withColumns({"versions": F.lit(len(VersionedFolder(spark, path).history())).cast("long"), "fallbacks": F.lit(len(failed))})
+
+
+@query("src_json_report", f"""
+WITH {i.FACT} SELECT count(*) AS n_rows, round_even(avg(late), 4) AS late_rate FROM fact""")
+def json_report(spark, sf):
+    """A report with nested values, stored and read back by its fields."""
+    path = scratch_path(spark, "report")
+    sinks.write_report(i.fact(spark, sf).agg(F.struct(F.count(F.lit(1)).alias("n_rows"), F.bround(F.avg("late"), 4).alias("late_rate")).alias("orders")), path)
+    schema = T.StructType([T.StructField("orders", T.StructType([T.StructField("n_rows", T.LongType()), T.StructField("late_rate", T.DoubleType())]))])
+    return readers.read_report(spark, path, schema).select("orders.n_rows", "orders.late_rate")
+
+
+@query("src_first_existing", "SELECT count(*) AS n_orders, 0 AS has_optional FROM orders")
+def first_existing(spark, sf):
+    """The first of several places that exists; an optional input that is nowhere is absent, not an error."""
+    nowhere = scratch_path(spark, "nowhere")
+    orders = readers.read_first(spark, [nowhere, f"{sf}/orders.parquet"], spark.read.parquet)
+    optional = readers.read_first(spark, [nowhere], spark.read.parquet, optional=True)
+    return orders.agg(F.count(F.lit(1)).alias("n_orders")).withColumn("has_optional", F.lit(int(optional is not None)))
 
 
 @query("src_json_positional", """

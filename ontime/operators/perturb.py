@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.text import padded
-from ontime.operators.selection import number_rows, sample_rows
+from ontime.operators.keytree import number_rows
+from ontime.operators.selection import sample_rows
 
 
 def every(key: str, step: int, offset: int) -> Column:

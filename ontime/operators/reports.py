@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.numeric import floor_bin
+from ontime.operators.keytree import ordered_text
 
 
 def filter_in(df: DataFrame, choices: Mapping[str, Sequence | None]) -> DataFrame:
@@ -52,8 +53,8 @@ def pivot_rate(df: DataFrame, row: str, column: str, label: str, rows: Sequence[
 def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
     """Rows per equal-width bin between the smallest and largest value; the largest falls in the last bin."""
     x = F.col(column)
-    bounds = df.agg(F.min(x).cast("double").alias("low"), F.max(x).cast("double").alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    bounds = df.agg(F.struct(F.min(x).cast("double").alias("low"), F.max(x).cast("double").alias("high")).alias("b")).scalar()
+    low, high = bounds["low"], bounds["high"]
     place = F.floor(F.lit(float(bins)) * F.try_divide(x - low, high - low))
     bin_no = F.least(F.coalesce(place, F.lit(0)) + 1, F.lit(bins)).cast("int")
     return (
@@ -103,19 +104,22 @@ def homogeneity(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def sorted_concat(df: DataFrame, key: str, column: str, alias: str = "names") -> DataFrame:
-    """Distinct names of each group in order, in one text. The names must be few, as those of districts are."""
+    """Distinct names of each group in order, in one text, put together piece by piece."""
     names = df.select(key, column).dropna().distinct()
-    return names.groupBy(key).agg(F.array_join(F.sort_array(F.collect_list(column)), ", ").alias(alias))
+    return ordered_text(names, [key], column, [column], ", ").withColumnRenamed(column, alias)
 
 
-def segment_profile(districts: DataFrame, segment: str, name: str, means: Sequence[str], rate_column: str) -> DataFrame:
-    """Per segment: districts, their names, means to one decimal and the rate to four."""
-    return districts.groupBy(segment).agg(
+def segment_profile(districts: DataFrame, segment: str, name: str, means: Sequence[str], rate_column: str,
+                    decimals: int | Mapping[str, int] = 1, rate_decimals: int = 4) -> DataFrame:
+    """Per segment: districts, their names, means and the rate, rounded to ``decimals`` (of all, or by column)."""
+    places = decimals if isinstance(decimals, Mapping) else dict.fromkeys(means, decimals)
+    numbers = districts.groupBy(segment).agg(
         F.count(F.lit(1)).alias("n_districts"),
-        *[F.bround(F.avg(c), 1).alias(c) for c in means],
-        F.bround(F.avg(rate_column), 4).alias(rate_column),
-        F.array_join(F.sort_array(F.collect_list(name)), ", ").alias("districts"),
-    ).orderBy(segment)
+        *[F.bround(F.avg(c), places.get(c, 1)).alias(c) for c in means],
+        F.bround(F.avg(rate_column), rate_decimals).alias(rate_column),
+    )
+    names = ordered_text(districts.select(segment, F.col(name).alias("districts")), [segment], "districts", ["districts"], ", ")
+    return numbers.join(names.withColumnRenamed(segment, "_s"), F.col(segment).eqNullSafe(F.col("_s")), "left").drop("_s").orderBy(segment)
 
 
 def transpose(df: DataFrame, id_column: str, columns: Sequence[str], ids: Sequence[str]) -> DataFrame:

@@ -1,57 +1,78 @@
-"""Exact order statistics, samples and numbering that never sort a whole table in one task."""
+"""Exact order statistics and samples that never sort a whole table in one task."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ontime.functions.order_keys import hash_key
 from ontime.session import stage
 
-ROWS_PER_PART = 100_000
-MAX_PARTS = 10_000
-
 
 # --- exact medians ---------------------------------------------------------------------------------
 
 
+#: Equal parts that an octave, and then a range, is cut into.
+OCTAVE_PARTS = 16
+RANGE_PARTS = 1 << 16
+
+
+def _octave(v: Column) -> Column:
+    """A whole number that never falls as ``v`` grows: sixteenths of powers of two, mirrored below zero."""
+    size = F.floor(F.least(F.log2(F.abs(v)), F.lit(1100.0)) * OCTAVE_PARTS) + 1200 * OCTAVE_PARTS
+    return F.when(v == 0, 0).otherwise(F.signum(v).cast("long") * size)
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Median of each column, the middle two values averaged; nulls and NaN are skipped.
 
-    Rows are folded into one count per value, the values are dealt out by range, and the sums of the ranges tell which of
-    them hold the middle; only those are ranked, each by the task that holds it. The steps are the same at every size.
+    Digit by digit: values are counted by their octave, then by equal parts of the range that holds the middle, until that
+    part holds one value. Every step counts on the map side and reads the staged columns once; what the driver
+    sees is bounded by the number of parts, and no value moves.
     """
     columns = list(columns)
     if not columns:
         return {}
-    values = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("at", "v"))
-    counts = values.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("at", "v").agg(F.count(F.lit(1)).alias("n"))
-    spread = stage(counts.repartitionByRange("at", "v").withColumn("part", F.spark_partition_id()), "median-counts")
-    sums = spread.groupBy("at", "part").agg(F.sum("n").alias("n")).orderBy("at", "part").collect()
-    result: dict[str, float | None] = {}
-    held = []  # column, part, rows of the column before the part
+    wide = stage(df.select(*[F.col(c).cast("double").alias(f"c{n}") for n, c in enumerate(columns)]), "median-values")
+    values = wide.select(F.posexplode(F.array(*wide.columns)).alias("at", "v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    counted = [F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")]
+    parts: dict[int, list] = {}
+    for r in values.groupBy("at", _octave(F.col("v")).alias("part")).agg(*counted).collect():
+        parts.setdefault(r["at"], []).append(r)
+    found: dict[tuple[int, int], float] = {}  # column and place of the value
+    open_ranges = []  # column, low, high, rows of the column before the range, places wanted inside
     wanted = {}
-    for i in range(len(columns)):
-        own = [(r["part"], r["n"]) for r in sums if r["at"] == i]
-        total = sum(n for _, n in own)
-        wanted[i] = {(total - 1) // 2, total // 2} if total else set()
-        before = 0
-        for part, n in own:
-            if any(before <= k < before + n for k in wanted[i]):
-                held.append((i, part, before))
-            before += n
-    if held:
-        places = df.sparkSession.createDataFrame(held, "at int, part int, before long")
-        upto = F.sum("n").over(Window.partitionBy("at", "part").orderBy("v")) + F.col("before")
-        ranked = spread.join(F.broadcast(places), ["at", "part"]).select("at", "v", (upto - F.col("n")).alias("start"), upto.alias("stop"))
-        sought = df.sparkSession.createDataFrame([(i, k) for i, ks in wanted.items() for k in ks], "at int, k long")
-        rows = ranked.join(F.broadcast(sought), "at").where((F.col("start") <= F.col("k")) & (F.col("k") < F.col("stop"))).collect()
-        result = {columns[i]: sum(r["v"] for r in rows if r["at"] == i) / len(wanted[i]) for i in wanted if wanted[i]}
-    return {c: result.get(c) for c in columns}
+    for at, own in parts.items():
+        total = sum(r["n"] for r in own)
+        wanted[at] = sorted({(total - 1) // 2, total // 2})
+        open_ranges += _narrowed(at, own, 0, wanted[at], found)
+    while open_ranges:
+        ranges = df.sparkSession.createDataFrame(
+            [(n, at, low, high) for n, (at, low, high, _, _) in enumerate(open_ranges)], "range int, at int, least double, most double")
+        width = F.col("most") - F.col("least")
+        part = F.floor((F.col("v") - F.col("least")) / width * RANGE_PARTS)
+        inside = values.join(F.broadcast(ranges), "at").where(F.col("v").between(F.col("least"), F.col("most")))  # at most two ranges a column
+        rows = inside.groupBy("range", part.alias("part")).agg(*counted).collect()
+        still = []
+        for n, (at, _, _, before, places) in enumerate(open_ranges):
+            still += _narrowed(at, [r for r in rows if r["range"] == n], before, places, found)
+        open_ranges = still
+    return {c: sum(found[n, k] for k in wanted[n]) / len(wanted[n]) if n in wanted else None for n, c in enumerate(columns)}
+
+
+def _narrowed(at: int, parts: Sequence, before: int, places: Sequence[int], found: dict) -> list[tuple]:
+    """The parts that hold the wanted places: those of one value are answers, the others are ranges to look into."""
+    result = []
+    for r in sorted(parts, key=lambda r: r["part"]):
+        own = [k for k in places if before <= k < before + r["n"]]
+        if own and r["low"] == r["high"]:
+            found.update({(at, k): r["low"] for k in own})
+        elif own:
+            result.append((at, r["low"], r["high"], before, own))
+        before += r["n"]
+    return result
 
 
 def weighted_median(df: DataFrame, column: str, alias: str = "median") -> DataFrame:
@@ -119,30 +140,3 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """Whole table in a repeatable random order (a distributed range sort)."""
     return df.orderBy(hash_key(F.col(key), seed))
-
-
-def number_rows(df: DataFrame, key: str, name: str = "row_no", rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """1, 2, 3, ... in the order of a unique numeric key, without one task seeing the whole table.
-
-    Approximate quantiles cut the key range into about equal parts of ``rows_per_part`` rows (at most MAX_PARTS
-    parts); each part is numbered on its own and shifted by the size of the parts before it.
-    """
-    parts = min(MAX_PARTS, -(-df.count() // rows_per_part))
-    marks = []
-    if parts > 1:
-        marks = df.agg(F.percentile_approx(F.col(key).cast("double"), [i / parts for i in range(1, parts)],
-                                           10 * parts).alias("m")).first()["m"]
-    splits = [-math.inf, *sorted(set(marks)), math.inf] if marks else [-math.inf, 0.0, math.inf]
-    placed = Bucketizer(splits=splits, inputCol="_key", outputCol="_part").transform(
-        df.withColumn("_key", F.col(key).cast("double"))).drop("_key")
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(key))
-    # offsets has at most MAX_PARTS + 1 rows
-    return (
-        placed.withColumn("_rank", rank)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_rank") + F.col("_offset"))
-        .drop("_rank", "_offset", "_part")
-    )

@@ -83,15 +83,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return sized(staged, staged.count())
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def hadoop_path(spark: SparkSession, path: str):
+    """A path as Hadoop knows it, and its file system."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, fs = _hadoop_path(spark, path)
-    return fs.exists(hadoop_path)
+    location, fs = hadoop_path(spark, path)
+    return fs.exists(location)
 
 
 def drop_staged(spark: SparkSession, df: DataFrame) -> None:
@@ -100,5 +100,5 @@ def drop_staged(spark: SparkSession, df: DataFrame) -> None:
     folders = {f.rsplit("/", 1)[0].removeprefix("file://") for f in df.inputFiles()}
     for folder in folders:
         if root in folder:
-            hadoop_path, fs = _hadoop_path(spark, folder)
-            fs.delete(hadoop_path, True)
+            location, fs = hadoop_path(spark, folder)
+            fs.delete(location, True)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ontime.operators.selection import number_rows
+from ontime.operators.keytree import number_rows, ordered_text
 from ontime.sources.schemas import API_FIELDS, API_POINT
 
 # Places one request may ask for.
@@ -16,7 +16,7 @@ BATCH = 100
 
 
 def assign_batches(df: DataFrame, key: str, size: int = BATCH, name: str = "batch") -> DataFrame:
-    """Deal places, in the order of their unique numeric key, into requests of ``size``."""
+    """Deal places, in the order of their unique key, into requests of ``size``."""
     return number_rows(df, key, "_no").withColumn(name, F.floor((F.col("_no") - 1) / size)).drop("_no")
 
 
@@ -25,9 +25,7 @@ def ordered_concat(df: DataFrame, order_by: str, columns: Sequence[str], batch:
 
     A batch is one request; :func:`assign_batches` keeps it at ``BATCH`` places.
     """
-    place = F.struct(F.col(order_by), *[F.col(c).cast("string").alias(f"_{c}") for c in columns])
-    grouped = df.groupBy(batch).agg(F.sort_array(F.collect_list(place)).alias("_places"))
-    return grouped.select(batch, *[F.array_join(F.col(f"_places._{c}"), ",").alias(c) for c in columns])
+    return ordered_text(df, [batch], order_by, columns)
 
 
 def parse_response(body, point: T.StructType = API_POINT):

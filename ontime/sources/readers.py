@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime.functions.numeric import nan_to_null
-from ontime.session import path_exists, stage
+from ontime.session import path_exists
 from ontime.sources import sinks
+from ontime.sources.versions import VersionedFolder, current_or_plain
 
 # The field texts that pandas reads as "no value".
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -57,33 +58,41 @@ def district_query(view: str, key: str, population: str, area: str, others: Sequ
 
 
 def read_reference(spark: SparkSession, path: str, create: Callable[[], DataFrame], replace: bool = False) -> DataFrame:
-    """Read a reference table, creating it first when absent or when asked to replace it."""
-    if replace or not path_exists(spark, path):
-        create().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Read a reference table, creating it first when absent or when asked to replace it; a failed replacement leaves the old one."""
+    if replace or current_or_plain(spark, path) is None:
+        VersionedFolder(spark, path).publish(lambda folder: create().write.parquet(folder))
+    return spark.read.parquet(current_or_plain(spark, path))
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, records: str = "records") -> DataFrame:
-    """Unnest the record array of one or many JSON envelopes."""
-    return spark.read.schema(schema).option("multiLine", True).json(path).select(F.inline(records))
+    """Unnest the record array of one or many JSON envelopes: the current version of a stored snapshot, or plain files."""
+    found = current_or_plain(spark, path)
+    if found is None:
+        raise MissingSourceError(f"there is no snapshot at {path}")
+    written_here = found != path  # then there is one envelope a line; a file from elsewhere is one envelope
+    return spark.read.schema(schema).option("multiLine", not written_here).json(found).select(F.inline(records))
 
 
 def resolve_snapshot(spark: SparkSession, path: str, schema: T.StructType, fetch: Callable[[], DataFrame],
                      refresh: bool = False, source: str = "api", key: str | None = None,
                      on_fallback: Callable[[Exception], None] | None = None) -> DataFrame:
-    """Stored snapshot unless a refresh is asked for; else fetch and store; else fall back; else raise."""
-    if not refresh and path_exists(spark, path):
+    """Stored snapshot unless a refresh is asked for; else fetch and store; else fall back; else raise.
+
+    What is fetched is written beside the stored snapshot and takes its place only when it is whole, so a fetch or a write
+    that fails, however late, leaves the old rows.
+    """
+    stored = current_or_plain(spark, path)
+    if stored and not refresh:
         return read_snapshot(spark, path, schema)
     try:
-        fresh = stage(fetch(), "fetched")  # a failing fetch must not cost the stored snapshot
+        fresh = fetch()
         sinks.write_snapshot(fresh, path, source=source, key=key or fresh.columns[0])
-        return read_snapshot(spark, path, schema)
     except Exception as error:
-        if path_exists(spark, path):
-            if on_fallback:
-                on_fallback(error)
-            return read_snapshot(spark, path, schema)
-        raise RuntimeError(f"fetch failed ({error}) and there is no snapshot at {path}") from error
+        if stored is None:
+            raise RuntimeError(f"fetch failed ({error}) and there is no snapshot at {path}") from error
+        if on_fallback:
+            on_fallback(error)
+    return read_snapshot(spark, path, schema)
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

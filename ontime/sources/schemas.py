@@ -41,11 +41,12 @@ WEATHER = T.StructType([
 
 
 def envelope(record: T.StructType, source: str = "source", extracted_at: str = "extracted_at",
-             records: str = "records") -> T.StructType:
-    """A snapshot file: where and when the records were taken, and the records."""
+             records: str = "records", part: str = "part") -> T.StructType:
+    """A snapshot file: where and when the records were taken, which part of them it holds, and the records."""
     return T.StructType([
         T.StructField(source, T.StringType()),
         T.StructField(extracted_at, T.StringType()),
+        T.StructField(part, T.LongType()),
         T.StructField(records, T.ArrayType(record)),
     ])
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Records per envelope. A small dimension fits one envelope; a larger one becomes several.
-ENVELOPE_RECORDS = 10_000
+from ontime.operators.keytree import number_rows
+from ontime.sources.versions import VersionedFolder
 
 
 def now_iso() -> Column:
@@ -25,28 +25,28 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def envelopes(df: DataFrame, source: str, key: str, extracted_at: Column | None = None,
-              records_per_file: int = ENVELOPE_RECORDS) -> DataFrame:
-    """Fold rows into envelopes of bounded size: ``source, extracted_at, records[]``, records in key order."""
-    rows = df.count()
-    chunks = max(1, -(-rows // records_per_file))
-    record = F.struct(F.col(key).alias("_order"), F.struct(*df.columns).alias("r"))
-    # round robin keeps every chunk at its size even when one key is frequent
-    numbered = df.repartition(chunks).withColumn("_chunk", F.spark_partition_id()) if chunks > 1 \
-        else df.withColumn("_chunk", F.lit(0))
+def envelopes(df: DataFrame, source: str, key: str, extracted_at: Column | None = None, records: int = 1_000) -> DataFrame:
+    """Fold rows into envelopes ``source, extracted_at, part, records[]``: ``records`` rows each, in the order of a unique key.
+
+    Part 0 holds the first rows, and so on; a small dimension is one part. Rows without a key follow in parts of null.
+    """
+    numbered = number_rows(df, key, "_no").withColumn("part", F.floor((F.col("_no") - 1) / F.lit(records)))
+    record = F.struct(F.col("_no"), F.struct(*df.columns).alias("r"))
     return (
-        numbered.groupBy("_chunk")
-        .agg(F.sort_array(F.collect_list(record)).alias("_sorted"))
+        numbered.groupBy("part").agg(F.sort_array(F.collect_list(record)).alias("_sorted"))  # at most ``records`` of them
         .select(
             F.lit(source).alias("source"),
             (extracted_at if extracted_at is not None else now_iso()).alias("extracted_at"),
+            "part",
             F.transform("_sorted", lambda x: x["r"]).alias("records"),
         )
     )
 
 
-def write_snapshot(df: DataFrame, path: str, source: str, key: str, extracted_at: Column | None = None) -> None:
-    envelopes(df, source, key, extracted_at).write.mode("overwrite").json(path)
+def write_snapshot(df: DataFrame, path: str, source: str, key: str, extracted_at: Column | None = None, records: int = 1_000) -> str:
+    """Store a snapshot as a new version of ``path``; until it is complete, readers keep the one before. Returns its folder."""
+    written = envelopes(df, source, key, extracted_at, records)
+    return VersionedFolder(df.sparkSession, path).publish(lambda folder: written.write.json(folder))
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ontime.functions import numeric, text
-from ontime.operators import perturb, quality, reports, selection
+from ontime.operators import keytree, perturb, quality, reports, selection
 from ontime.operators.clean import CleanRules, clean
 from ontime.operators.skew import expand_copies
 
@@ -66,14 +66,50 @@ def test_sample_and_numbering(spark):
         assert selection.sample_rows(df, n, "id", 3).count() == min(n, 5_000)
     again = selection.sample_rows(df.repartition(7), 50, "id", 3)
     assert selection.sample_rows(df, 50, "id", 3).exceptAll(again).count() == 0
-    numbered = selection.number_rows(df.repartition(5), "id", "no", rows_per_part=300)
-    assert numbered.filter(F.col("no") != F.col("id") / 3 + 1).count() == 0 and numbered.count() == 5_000
     ids = perturb.format_ids(df, "id", "order_id").orderBy("id").limit(2).collect()
     assert [r["order_id"] for r in ids] == ["PED_00001", "PED_00002"]
     shuffled = [r["id"] for r in selection.shuffle_rows(df, "id").collect()]
     assert sorted(shuffled) == [3 * n for n in range(5_000)] and shuffled != sorted(shuffled)
 
 
+def test_numbers_of_whole_numbers_beyond_doubles(spark):
+    """Keys around 2^53, negative ones, both ends of the range, and steps of one and of 2^40."""
+    keys = sorted({*range(2 ** 53 - 3, 2 ** 53 + 90_000, 7), *range(-5, 5), *(n << 40 for n in range(-300, 300)), -2 ** 63, 2 ** 63 - 1})
+    df = spark.createDataFrame([(k,) for k in reversed(keys)], "id long").repartition(5)
+    numbered = keytree.number_rows(df, "id", "no")
+    assert [tuple(r) for r in numbered.orderBy("no").collect()] == [(k, n) for n, k in enumerate(keys, 1)]
+
+
+def test_numbers_of_texts_dates_and_missing_keys(spark):
+    words = ["", "a", "ab", "é", "日本", "zz"] + [f"NATION_{n:06d}" for n in range(700)]
+    df = spark.createDataFrame([(w,) for w in words] + [(None,), (None,)], "w string").repartition(3)
+    numbered = keytree.number_rows(df, "w", "no", leaf_rows=50)
+    want = {w: n for n, w in enumerate(sorted(words, key=str.encode), 1)}
+    assert {r["w"]: r["no"] for r in numbered.where("w is not null").collect()} == want
+    assert numbered.where("w is null and no is null").count() == 2
+    days = spark.sql("select date_add(date'1969-12-30', cast(id as int)) d from range(5)")
+    assert [r["no"] for r in keytree.number_rows(days, "d", "no").orderBy("d").collect()] == [1, 2, 3, 4, 5]
+    with pytest.raises(TypeError):
+        keytree.number_rows(column(spark, [1.0]), "v")
+
+
+def test_ordered_text_of_leaves(spark):
+    rows = [(n % 2, n, None if n % 10 == 3 else f"t{n}") for n in range(2_000)]
+    df = spark.createDataFrame(rows, "g int, k long, t string").repartition(4)
+    want = {g: ",".join(t for a, _, t in rows if a == g and t is not None) for g in (0, 1)}
+    assert {r["g"]: r["t"] for r in keytree.ordered_text(df, ["g"], "k", ["t"]).collect()} == want
+    texts = df.where("t is not null")
+    got = {r["g"]: r["t"] for r in keytree.ordered_text(texts, ["g"], "t", ["t"], "|", leaf_rows=40).collect()}
+    assert got == {g: "|".join(sorted(t for a, _, t in rows if a == g and t is not None)) for g in (0, 1)}
+
+
+@pytest.mark.parametrize("values", [
+    [5e-324, 1e-310, -5e-324, 0.0, -0.0], [float("inf"), float("-inf"), 1.0], [1.7e308, -1.7e308, 1.6e308], [1.0, 1.0 + 2 ** -52, 1.0 + 2 ** -51, 1.0 + 3 * 2 ** -51],
+    [float("inf"), float("inf"), 3.0], [2.0 ** k for k in range(-40, 41)]])
+def test_exact_median_of_odd_numbers(spark, values):
+    assert selection.exact_medians(column(spark, values), ["v"])["v"] == statistics.median(values)
+
+
 def test_duplicates_with_one_huge_group(spark):
     rows = spark.range(3_000).select(F.when(F.col("id") < 1_000, F.lit(-1)).otherwise(F.col("id")).alias("k"),
                                      F.lit(None).cast("string").alias("c"))

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from ontime.session import drop_staged, path_exists, scratch_path, stage
 from ontime.sources import api, readers, schemas, sinks
+from ontime.sources.versions import VersionedFolder, current_or_plain
 from tests.fixtures import DISTRICTS, dirty_orders, districts, weather
 
 
@@ -51,11 +52,43 @@ def test_snapshot_resolution(spark, tmp_path):
     assert {r["temperature_c"] for r in changed.collect()} == {12.0}
 
 
+def test_versioned_folder(spark, tmp_path):
+    folder = VersionedFolder(spark, str(tmp_path / "versions"))
+    count = lambda: spark.read.parquet(folder.current()).count()
+    assert folder.current() is None and current_or_plain(spark, folder.root) is None
+    folder.publish(lambda path: spark.range(3).write.parquet(path))
+    with pytest.raises(Exception, match="half way"):
+        folder.publish(lambda path: spark.range(1000).select(
+            F.when(F.col("id") == 999, F.raise_error(F.lit("half way")).cast("long")).otherwise(F.col("id")).alias("id")).write.parquet(path))
+    assert count() == 3 and len(folder.history()) == 1
+    folder.publish(lambda path: spark.range(5).write.parquet(path))
+    assert count() == 5 and current_or_plain(spark, folder.root) == folder.current()
+    folder.restore()
+    assert count() == 3
+    with pytest.raises(LookupError):
+        folder.restore()
+    assert len(folder.prune(1)) == 2 and count() == 3
+    plain = str(tmp_path / "plain")
+    spark.range(2).write.parquet(plain)
+    assert current_or_plain(spark, plain) == plain
+
+
+def test_a_first_write_that_fails_leaves_nothing_to_read(spark, tmp_path):
+    path, schema = str(tmp_path / "weather"), schemas.envelope(schemas.WEATHER)
+    late = lambda: weather(spark).withColumn("temperature_c", F.raise_error(F.lit("boom")).cast("double"))
+    with pytest.raises(RuntimeError, match="no snapshot"):
+        readers.resolve_snapshot(spark, path, schema, late)
+    assert current_or_plain(spark, path) is None
+    with pytest.raises(readers.MissingSourceError):
+        readers.read_snapshot(spark, path, schema)
+
+
 def test_envelopes_of_bounded_size(spark):
     many = spark.range(25).withColumn("v", F.col("id") * 2)
-    folded = sinks.envelopes(many, "s", "id", records_per_file=10).collect()
-    assert len(folded) == 3 and all(len(r["records"]) <= 12 for r in folded)
-    assert sorted(x["id"] for r in folded for x in r["records"]) == list(range(25))
+    folded = {r["part"]: [x["id"] for x in r["records"]] for r in sinks.envelopes(many, "s", "id", records=10).collect()}
+    assert folded == {0: list(range(10)), 1: list(range(10, 20)), 2: list(range(20, 25))}
+    lost = sinks.envelopes(spark.createDataFrame([(None, 1), (5, 2), (None, 3)], "id long, v long"), "s", "id").collect()
+    assert sorted((str(r["part"]), len(r["records"])) for r in lost) == [("0", 1), ("None", 2)]
     one = sinks.envelopes(districts(spark), "s", "district").first()
     assert [r["district"] for r in one["records"]] == sorted(d[0] for d in DISTRICTS)
 
