@@ -1,5 +1,8 @@
 """Learning: splits, metrics, models, scoring, segmentation. Labels are planted, because the tables hold none."""
 
+import json
+from contextlib import contextmanager
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +19,7 @@ from ontime.ml.score import scenarios, score
 from ontime.ml.silhouette import euclidean_silhouette, squared_silhouette
 from ontime.ml.spec import FeatureSpec, SegmentSpec
 from ontime.ml.split import stratified_folds, stratified_parts, stratified_split
+from ontime.ml.store import ModelStore
 from ontime.operators.features import FeatureRules, above_median, order_features
 from ontime.operators.integrate import attach
 from ontime.operators.reports import context
@@ -201,59 +205,166 @@ def model_orders(spark, sf, raw=None):
 EXTERNAL = ["density", "is_dense_district", "class", "temperature_c", "humidity_pct", "wind_kmh"]
 
 
-class Split:
+@contextmanager
+def split(orders, spec=SPEC, folds=t.FOLDS):
     """Training and test rows of the planted orders, released when the query has its numbers."""
-
-    def __init__(self, orders, folds=t.FOLDS):
-        self.train, self.test = training.split_orders(orders, SPEC, folds=folds)
-
-    def __enter__(self):
-        self.n = self.train.count()
-        return self
-
-    def __exit__(self, *_):
-        self.train.unpersist()
-        self.test.unpersist()
+    parts = training.split_orders(orders, spec, folds=folds)
+    try:
+        yield parts
+    finally:
+        parts.close()
 
 
-def one_row(spark, name, result):
-    return spark.createDataFrame([{"model": name, **result}],
-                                 "model string, accuracy double, precision double, recall double, f1 double, "
-                                 "roc_auc double, accuracy_train double, gap double, overfit string")
+ONE_MODEL = ("model string, params string, accuracy double, precision double, recall double, f1 double, "
+             "roc_auc double, accuracy_train double, gap double, overfit string")
 
 
-def train_one(spark, sf, name, make):
-    with Split(model_orders(spark, sf)) as s:
-        model = t.fit(make(s.n), s.train, SPEC, s.n)
-        return one_row(spark, name, ev.evaluate(model.transform(s.train), model.transform(s.test)))
+def one_row(spark, name, params, result):
+    return spark.createDataFrame([{"model": name, "params": json.dumps(params), **result}], ONE_MODEL)
 
 
 @query("ml_train_lr")
 def ml_train_lr(spark, sf):
-    return train_one(spark, sf, "logistic_regression", t.logistic)
+    with split(model_orders(spark, sf)) as s:
+        model = t.fit(t.logistic(s.n), s.train, SPEC, s.n)
+        return one_row(spark, "logistic_regression", {"maxIter": 1000}, ev.evaluate(model.transform(s.train), model.transform(s.test)))
+
+
+def best_of_grid(spark, sf, name, **grids):
+    with split(model_orders(spark, sf)) as s:
+        run = t.grid_search(s.parts, SPEC, **grids)
+        best = run.best(name)
+        return one_row(spark, name, best.params, ev.evaluate(training.tree_scores(run, best, False), training.tree_scores(run, best, True)))
 
 
 @query("ml_train_tree")
 def ml_train_tree(spark, sf):
-    return train_one(spark, sf, "decision_tree", lambda n: t.tree(maxDepth=8, minInstancesPerNode=20))
+    """The best tree of the whole grid, refit on all training rows."""
+    return best_of_grid(spark, sf, "decision_tree", tree_grid=t.TREE_GRID)
 
 
 @query("ml_train_forest")
 def ml_train_forest(spark, sf):
-    return train_one(spark, sf, "random_forest", lambda n: t.forest(numTrees=20, maxDepth=10))
+    """The best forest of the whole grid, refit on all training rows."""
+    return best_of_grid(spark, sf, "random_forest", forest_grid=t.FOREST_GRID)
 
 
 @query("ml_grid_search")
 def ml_grid_search(spark, sf):
-    with Split(model_orders(spark, sf), folds=3) as s:
-        found = t.grid_search(t.tree(), {"maxDepth": [4, 8], "minInstancesPerNode": [1, 50]}, s.train, SPEC, folds=3)
-        rows = [{**r, "f1": round(r["f1"], 4), "f1_std": round(r["f1_std"], 4), "best": int(r["f1"] == found.best_f1)} for r in found.table]
-        return spark.createDataFrame(rows, "maxDepth int, minInstancesPerNode int, f1 double, f1_std double, best int")
+    """All 18 settings of both grids on five folds."""
+    with split(model_orders(spark, sf)) as s:
+        run = t.grid_search(s.parts, SPEC, t.TREE_GRID, t.FOREST_GRID)
+        best = {run.best(name).place for name in ("decision_tree", "random_forest")}
+        rows = [(p.model, p.params["maxDepth"], p.params.get("minInstancesPerNode"), p.params.get("numTrees"), round(p.f1, 4),
+                 round(p.deviation, 4), int(p.place in best)) for p in run.points]
+        return spark.createDataFrame(rows, "model string, maxDepth int, minInstancesPerNode int, numTrees int, f1 double, f1_std double, best int")
+
+
+@query("job_train")
+def job_train(spark, sf):
+    """The whole training job with its full grids; what it stored is read back."""
+    root = scratch_path(spark, "late-model")
+    training.run_training(model_orders(spark, sf), SPEC, root)
+    return ModelStore(spark, root).table("results", training.RESULT)
+
+
+# --- saturated models: one category says all a model can know, so every model must answer its group's rate ---------------
+
+SATURATED = """
+sat AS (
+  SELECT o_orderkey, o_orderpriority, CAST((o_orderkey * 7919) % 100 < CASE left(o_orderpriority, 1)
+    WHEN '1' THEN 90 WHEN '2' THEN 75 WHEN '3' THEN 30 WHEN '4' THEN 20 ELSE 10 END AS INT) AS late FROM orders
+), placed AS (
+  SELECT o_orderkey, o_orderpriority, late, row_number() OVER (PARTITION BY late ORDER BY {hash}) AS place,
+         count(*) OVER (PARTITION BY late) AS total FROM sat
+), cut AS (SELECT *, CAST(floor(total * 0.25 + 0.5) AS BIGINT) AS t FROM placed
+), parts AS (
+  SELECT o_orderkey, o_orderpriority, late, CASE WHEN place <= t THEN -1 WHEN place <= t + (total - t) // 5 THEN 0
+    WHEN place <= t + (total - t) * 2 // 5 THEN 1 WHEN place <= t + (total - t) * 3 // 5 THEN 2
+    WHEN place <= t + (total - t) * 4 // 5 THEN 3 ELSE 4 END AS fold FROM cut
+), rates AS (SELECT o_orderpriority, avg(late) AS rate FROM parts WHERE fold >= 0 GROUP BY 1
+), scored AS (SELECT late, fold, rate, CAST(rate > 0.5 AS INT) AS called FROM parts JOIN rates USING (o_orderpriority)
+), m AS (
+  SELECT fold < 0 AS tested, avg(CAST(late = called AS INT)) AS accuracy, (sum(late * called))::DOUBLE / sum(called) AS precision,
+         (sum(late * called))::DOUBLE / sum(late) AS recall, 2.0 * sum(late * called) / (sum(late) + sum(called)) AS f1 FROM scored GROUP BY 1
+), ranked AS (SELECT rate, sum(late) AS pos, count(*) - sum(late) AS neg FROM scored WHERE fold < 0 GROUP BY 1
+), below AS (SELECT *, sum(neg) OVER (ORDER BY rate) - neg AS less FROM ranked
+), auc AS (SELECT sum(pos * (less + neg / 2)) / (sum(pos)::DOUBLE * sum(neg)) AS roc_auc FROM below
+), fold_rates AS (
+  SELECT i.fold, p.o_orderpriority, avg(p.late) AS rate FROM (SELECT DISTINCT fold FROM parts WHERE fold >= 0) i
+  JOIN parts p ON p.fold >= 0 AND p.fold <> i.fold GROUP BY 1, 2
+), by_fold AS (
+  SELECT p.fold, 2.0 * sum(late * CAST(rate > 0.5 AS INT)) / (sum(late) + sum(CAST(rate > 0.5 AS INT))) AS f1
+  FROM parts p JOIN fold_rates r ON p.fold = r.fold AND p.o_orderpriority = r.o_orderpriority GROUP BY 1
+), cv AS (SELECT avg(f1) AS mean, stddev_pop(f1) AS deviation FROM by_fold)""".replace("{hash}", hash_sql("o_orderkey", 42))
+
+SATURATED_SPEC = FeatureSpec(("one",), (), ("priority",), "late", "order_id")
+
+
+def saturated_orders(spark, sf):
+    share = F.when(F.left("o_orderpriority", F.lit(1)) == "1", 90)
+    for level, value in (("2", 75), ("3", 30), ("4", 20)):
+        share = share.when(F.left("o_orderpriority", F.lit(1)) == level, value)
+    return i.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderpriority").alias("priority"), F.lit(1.0).alias("one"),
+        ((F.col("o_orderkey") * 7919) % 100 < share.otherwise(10)).cast("int").alias("late"))
+
+
+@query("job_train_saturated", f"""
+WITH {SATURATED}
+SELECT model, CAST(model = 'logistic_regression' AS INT) AS best, round_even(e.accuracy, 4) AS accuracy, round_even(e.precision, 4) AS precision,
+  round_even(e.recall, 4) AS recall, round_even(e.f1, 4) AS f1, round_even(roc_auc, 4) AS roc_auc, round_even(r.accuracy, 4) AS accuracy_train,
+  round_even(r.accuracy - e.accuracy, 4) AS gap, 'not detected' AS overfit, params,
+  CASE WHEN model <> 'logistic_regression' THEN round_even(mean, 4) END AS f1_cv
+FROM (VALUES ('logistic_regression', '{{"maxIter": 1000}}'), ('decision_tree', '{{"maxDepth": 4, "minInstancesPerNode": 1}}'),
+  ('random_forest', '{{"maxDepth": 10, "numTrees": 100}}')) v(model, params), m e, m r, auc, cv WHERE e.tested AND NOT r.tested""")
+def job_train_saturated(spark, sf):
+    """The training job on orders whose priority is all there is to know: full grids, five folds, stored and read back."""
+    root = scratch_path(spark, "saturated-model")
+    training.run_training(saturated_orders(spark, sf), SATURATED_SPEC, root)
+    return ModelStore(spark, root).table("results", training.RESULT)
+
+
+@query("ml_cv_saturated", f"""
+WITH {SATURATED}
+SELECT 'fold ' || fold AS part, round_even(f1, 4) AS f1 FROM by_fold
+UNION ALL SELECT 'mean', round_even(mean, 4) FROM cv UNION ALL SELECT 'std', round_even(deviation, 4) FROM cv""")
+def ml_cv_saturated(spark, sf):
+    with split(saturated_orders(spark, sf), SATURATED_SPEC) as s:
+        scores = t.cross_validate(t.logistic, s.train, SATURATED_SPEC)
+        mean, deviation = t.mean_and_deviation(scores)
+        rows = [(f"fold {n}", round(f1, 4)) for n, f1 in enumerate(scores)]
+        return spark.createDataFrame([*rows, ("mean", round(mean, 4)), ("std", round(deviation, 4))], "part string, f1 double")
+
+
+@query("ml_model_roundtrip", f"""
+WITH {SATURATED}
+SELECT o_orderkey AS order_id, round(rate, 6) AS late_probability, CAST(rate >= 0.5 AS INT) AS at_risk, 1 AS same_after_reload, 1::BIGINT AS versions
+FROM parts JOIN rates USING (o_orderpriority)""")
+def ml_model_roundtrip(spark, sf):
+    """A stored tree scores as before it was stored, and a save that fails half way changes nothing."""
+    orders = saturated_orders(spark, sf)
+    with split(orders, SATURATED_SPEC) as s:
+        run = t.grid_search(s.parts, SATURATED_SPEC, {"maxDepth": [4], "minInstancesPerNode": [1]})
+        model = run.grown.model(run.best("decision_tree").place)
+    store = ModelStore(spark, scratch_path(spark, "tree"))
+    store.save(model)
+    broken = orders.select(F.raise_error(F.lit("broken off")).cast("string").alias("x"))
+    try:
+        store.save(model, {"report": broken})
+    except Exception as error:  # noqa: BLE001
+        if "broken off" not in str(error):
+            raise
+    before = score(orders, model).select("order_id", F.col("late_probability").alias("p"))
+    after = score(orders, store.load()).join(before, "order_id")
+    return after.select("order_id", F.round("late_probability", 6).alias("late_probability"), "at_risk",
+                        (F.col("late_probability") == F.col("p")).cast("int").alias("same_after_reload"),
+                        F.lit(len(store.folder.history())).cast("long").alias("versions"))
 
 
 @query("ml_cross_validate")
 def ml_cross_validate(spark, sf):
-    with Split(model_orders(spark, sf)) as s:
+    with split(model_orders(spark, sf)) as s:
         scores = t.cross_validate(t.logistic, s.train, SPEC)
         mean, deviation = t.mean_and_deviation(scores)
         rows = [(f"fold {n}", round(f1, 4)) for n, f1 in enumerate(scores)]
@@ -262,21 +373,21 @@ def ml_cross_validate(spark, sf):
 
 @query("ml_ablation")
 def ml_ablation(spark, sf):
-    with Split(model_orders(spark, sf)) as s:
-        return spark.createDataFrame([training.ablation(s.train, s.test, SPEC, s.n)],
+    with split(model_orders(spark, sf)) as s:
+        return spark.createDataFrame([training.ablation(s, SPEC)],
                                      "f1_operational_only double, f1_with_external double, difference double")
 
 
 @query("ml_top_features")
 def ml_top_features(spark, sf):
-    with Split(model_orders(spark, sf)) as s:
+    with split(model_orders(spark, sf)) as s:
         model = t.fit(t.logistic(s.n), s.train, SPEC, s.n)
         top = ev.top_features(model, SPEC, model.transform(s.train))
         return top.select("feature", F.round("weight", 4).alias("weight"))
 
 
 def fitted_model(orders):
-    with Split(orders) as s:
+    with split(orders) as s:
         return t.fit(t.logistic(s.n), s.train, SPEC, s.n)
 
 

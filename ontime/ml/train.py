@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ontime.ml import forest as fo
+from ontime.ml.evaluate import confusion_counts
 from ontime.ml.preprocess import preprocessing_stages
 from ontime.ml.spec import FeatureSpec
 
 SEED = 42
 FOLDS = 5
-UNLIMITED_DEPTH = 30  # the deepest tree Spark builds
+#: Deeper than any tree on rows that can be told apart by their features; the same as the deepest that Spark builds.
+UNLIMITED_DEPTH = 30
 
+# The grids of the tree and the forest.
 TREE_GRID = {"maxDepth": [4, 8, 12, UNLIMITED_DEPTH], "minInstancesPerNode": [1, 20, 50]}
 FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [10, 14, UNLIMITED_DEPTH]}
 
@@ -35,14 +39,6 @@ def logistic(n_rows: int, c: float = 1.0, max_iter: int = 1000) -> LogisticRegre
                               elasticNetParam=0.0, standardization=False, maxIter=max_iter)
 
 
-def tree(**params) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(labelCol="label", featuresCol="features", seed=SEED, **params)
-
-
-def forest(**params) -> RandomForestClassifier:
-    return RandomForestClassifier(labelCol="label", featuresCol="features", featureSubsetStrategy="sqrt", seed=SEED, **params)
-
-
 def with_label(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return df.withColumn("label", F.col(spec.target).cast("double"))
 
@@ -53,42 +49,63 @@ def fit(classifier, train: DataFrame, spec: FeatureSpec, n_rows: int | None = No
 
 
 @dataclass
-class GridResult:
-    model: PipelineModel
-    best_params: dict
-    best_f1: float
-    table: list[dict]
-
-
-def grid_search(classifier, grid: Mapping[str, Sequence], train: DataFrame, spec: FeatureSpec,
-                folds: int = FOLDS, fold_col: str = "fold", parallelism: int = 4) -> GridResult:
-    """Try every point of the grid on every fold; keep the one with the best mean F1 and refit on all rows."""
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(classifier.getParam(name), list(values))
-    points = builder.build()
-    search = CrossValidator(
-        estimator=Pipeline(stages=[*preprocessing_stages(spec), classifier]), estimatorParamMaps=points,
-        evaluator=f1_of_late(), numFolds=folds, foldCol=fold_col, parallelism=parallelism, seed=SEED)
-    fitted = search.fit(train)
-    table = [
-        {**{p.name: v for p, v in point.items()}, "f1": float(mean), "f1_std": float(std)}
-        for point, mean, std in zip(points, fitted.avgMetrics, fitted.stdMetrics)
-    ]
-    best = max(table, key=lambda r: r["f1"])
-    return GridResult(fitted.bestModel, {k: v for k, v in best.items() if k not in ("f1", "f1_std")}, best["f1"], table)
-
-
-def cross_validate(make, train: DataFrame, spec: FeatureSpec, folds: int = FOLDS, fold_col: str = "fold") -> list[float]:
-    """F1 of class 1 on each fold, fitted on the others. ``make(n_rows)`` gives a fresh classifier."""
+class GridPoint:
+    model: str
+    params: dict
+    f1_by_fold: list[float]
+    place: int  # among the settings of the grown trees
+
+    @property
+    def f1(self) -> float:
+        return mean_and_deviation(self.f1_by_fold)[0]
+
+    @property
+    def deviation(self) -> float:
+        return mean_and_deviation(self.f1_by_fold)[1]
+
+
+@dataclass
+class GridRun:
+    """Every setting of the grids with its F1 on each fold, and the trees behind them."""
+
+    grown: fo.Grown
+    points: list[GridPoint]
+
+    def best(self, model: str) -> GridPoint:
+        """The setting with the best mean F1; the first of the grid on ties."""
+        return max((p for p in self.points if p.model == model), key=lambda p: p.f1)
+
+
+def grid_search(parts: DataFrame, spec: FeatureSpec, tree_grid: Mapping[str, Sequence] | None = None,
+                forest_grid: Mapping[str, Sequence] | None = None, folds: int = FOLDS, seed: int = SEED,
+                bins: int = fo.BINS, node_rows: int = fo.NODE_ROWS) -> GridRun:
+    """Try every point of the grids on every fold; ``parts`` holds ``label`` and ``fold``, test rows with a fold below zero.
+
+    Folds, settings and the refit on all training rows are grown in one go: see :mod:`ontime.ml.forest`.
+    """
+    families = [*(fo.tree_families(tree_grid) if tree_grid else []), *([fo.forest_family(forest_grid)] if forest_grid else [])]
+    encoding = fo.Encoding.fit(parts.where("fold >= 0"), spec, bins)
+    rows = fo.encode(parts, encoding, spec.id, "label", "fold")
+    grown = fo.Grower(rows, encoding, families, folds, seed, node_rows).run()
+    counts = confusion_counts(grown.scores().where(F.col("which") >= 0), "label", "prediction", ["which", "point"])
+    f1 = {(r["which"], r["point"]): 2 * r["tp"] / max(2 * r["tp"] + r["fp"] + r["fn"], 1) for r in counts.collect()}  # folds x settings
+    points = [GridPoint("random_forest" if families[p.family].bagged else "decision_tree", p.params,
+                        [f1.get((fold, n), 0.0) for fold in range(folds)], n) for n, p in enumerate(grown.points)]
+    return GridRun(grown, sorted(points, key=lambda p: (p.model, *p.params.values())))
+
+
+def cross_validate(make, train: DataFrame, spec: FeatureSpec, folds: int = FOLDS, fold_col: str = "fold", parallelism: int = 5) -> list[float]:
+    """F1 of class 1 on each fold, preprocessing and classifier fitted on the others. ``make(n_rows)`` gives a fresh classifier."""
     sizes = {r[fold_col]: r["count"] for r in train.groupBy(fold_col).count().collect()}  # one row per fold
     total = sum(sizes.values())
-    scores = []
-    for i in range(folds):
+
+    def run(i: int) -> float:
         n = total - sizes.get(i, 0)
         model = fit(make(n), train.filter(F.col(fold_col) != i), spec, n)
-        scores.append(f1_of_late().evaluate(model.transform(train.filter(F.col(fold_col) == i))))
-    return scores
+        return f1_of_late().evaluate(model.transform(train.filter(F.col(fold_col) == i)))
+
+    with ThreadPool(min(parallelism, folds)) as pool:
+        return pool.map(run, range(folds), chunksize=1)
 
 
 def mean_and_deviation(scores: Sequence[float]) -> tuple[float, float]:

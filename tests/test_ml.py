@@ -14,9 +14,11 @@ from ontime.ml.score import scenarios, score
 from ontime.ml.silhouette import euclidean_silhouette
 from ontime.ml.spec import FeatureSpec, SegmentSpec
 from ontime.ml.split import stratified_folds, stratified_parts, stratified_split
+from ontime.ml.store import ModelStore
 from ontime.operators.features import FeatureRules
+from ontime.plans import training
 from ontime.plans.segmentation import segment_districts
-from ontime.plans.training import train_and_compare
+from ontime.plans.training import split_orders, train_and_compare
 from ontime.streaming.score_stream import read_orders, score_stream, write_scores
 from tests.fixtures import districts, weather
 
@@ -173,21 +175,26 @@ def test_metrics_auc_and_confusion(spark):
 
 
 def test_train_compare_score_and_stream(spark, orders, tmp_path):
-    result = train_and_compare(orders, SPEC, {"maxDepth": [2, 5], "minInstancesPerNode": [1]}, {"numTrees": [5], "maxDepth": [5]}, folds=3)
+    split = split_orders(orders, SPEC, folds=3)
+    result = train_and_compare(split, SPEC, {"maxDepth": [2, 5], "minInstancesPerNode": [1]}, {"numTrees": [5, 10], "maxDepth": [5]}, folds=3)
     report = result.report
     assert set(report["results"]) == {"logistic_regression", "decision_tree", "random_forest"}
     assert report["best_model"] == max(report["results"], key=lambda m: report["results"][m]["f1"])
-    share = result.test.agg(F.avg("label")).first()[0]
+    share = split.test.agg(F.avg("label")).first()[0]
     always_late = 2 * share / (1 + share)  # F1 of calling every order late
     assert all(r["f1"] > always_late and r["roc_auc"] > 0.8 for r in report["results"].values())
     assert report["results"]["decision_tree"]["params"]["maxDepth"] == 5
     assert len(report["cross_validation"]["f1_by_fold"]) == 3 and "difference" in report["external_features"]
 
     model = result.models["logistic_regression"]
-    top = ev.top_features(model, SPEC, model.transform(result.train), 3).collect()
+    top = ev.top_features(model, SPEC, model.transform(split.train), 3).collect()
     assert top[0]["feature"] in ("distance", "traffic_high", "traffic_low")
     forest = result.models["random_forest"]
-    assert ev.top_features(forest, SPEC, forest.transform(result.train), 1).first()["feature"] == "distance"
+    assert ev.top_features(forest, SPEC, split.train, 1).first()["feature"] == "distance"
+    again = forest.transform(split.test).select("label", "prediction")
+    assert ev.evaluate(training.tree_scores(result.grid, result.grid.best("random_forest"), False), again.withColumn("score", F.lit(0.5)))["f1"] \
+        == report["results"]["random_forest"]["f1"]
+    split.close()
 
     model.write().overwrite().save(str(tmp_path / "model"))
     loaded = PipelineModel.load(str(tmp_path / "model"))
@@ -207,6 +214,25 @@ def test_train_compare_score_and_stream(spark, orders, tmp_path):
     assert late.filter(F.abs(F.col("p") - F.col("late_probability")) > 1e-12).count() == 0
 
 
+def test_training_job_stores_all_it_found(spark, orders, tmp_path):
+    root = str(tmp_path / "late")
+    report = training.run_training(orders, SPEC, root, {"maxDepth": [2, 4], "minInstancesPerNode": [1, 20]}, {"numTrees": [4], "maxDepth": [3]}, folds=3)
+    store = ModelStore(spark, root)
+    results = {r["model"]: r for r in store.table("results", training.RESULT).collect()}
+    assert {m: r["f1"] for m, r in results.items()} == {m: r["f1"] for m, r in report["results"].items()}
+    assert [m for m, r in results.items() if r["best"]] == [report["best_model"]]
+    assert store.table("grid", "model string, params string, f1 double").count() == 5
+    assert store.table("folds", "part string, f1 double").where("part = 'mean'").first()["f1"] == report["cross_validation"]["f1_mean"]
+    matrix = store.table("confusion", "actual int, predicted_0 long, predicted_1 long").collect()
+    assert abs(sum(r["predicted_0"] + r["predicted_1"] for r in matrix) - 300) <= 1  # a quarter of each class
+    assert store.table("top_features", "feature string, weight double").count() > 2
+    assert store.table("external_features", "difference double").count() == 1
+    scored = score(orders, store.load())
+    assert scored.count() == 1_200 and scored.where("late_probability is null").count() == 0
+    with pytest.raises(FileNotFoundError):
+        ModelStore(spark, str(tmp_path / "none")).load()
+
+
 def test_scenarios_derive_features_again(spark):
     df = spark.createDataFrame([(1, "a", 10, 2, 100.0, 3, 12)], "id int, district string, hour int, dow int, value double, items int, experience_months int")
     context = spark.createDataFrame([("a", 5.0)], "district string, density double")
