@@ -15,17 +15,18 @@ from ontime.ml import evaluate as ev
 from ontime.ml import segment as sg
 from ontime.ml import train as t
 from ontime.ml.preprocess import zscore
-from ontime.ml.score import scenarios, score
-from ontime.ml.silhouette import euclidean_silhouette, squared_silhouette
-from ontime.ml.spec import FeatureSpec, SegmentSpec
+from ontime.ml.score import default_order, scenarios, score
+from ontime.ml.silhouette import euclidean_silhouette
+from ontime.ml.spec import FeatureSpec, LeakageError, SegmentSpec
 from ontime.ml.split import stratified_folds, stratified_parts, stratified_split
 from ontime.ml.store import ModelStore
 from ontime.operators.features import FeatureRules, above_median, order_features
 from ontime.operators.integrate import attach
 from ontime.operators.reports import context
 from ontime.plans import training
-from ontime.plans.segmentation import segment_districts
+from ontime.plans.segmentation import run_segmentation
 from ontime.session import scratch_path, stage
+from ontime.sources.versions import VersionedFolder
 from ontime.streaming import score_stream as st
 
 # --- rule-based label, prediction and score on orders ----------------------------------------------
@@ -420,15 +421,145 @@ def st_score_stream(spark, sf):
     raw = raw_orders(spark, sf)
     raw.write.parquet(incoming)
     orders = model_orders(spark, sf, raw)
-    scored = st.score_stream(
-        st.read_orders(spark, incoming, raw.schema), fitted_model(orders),
-        i.reference(context(orders, "district", EXTERNAL)), "district", FEATURES, {"value_per_item": 0.0})
-    out = scratch_path(spark, "scored")
-    st.write_scores(scored.select("order_id", "late_probability", "at_risk"), out, scratch_path(spark, "offsets")).awaitTermination()
-    return spark.read.schema("order_id long, late_probability double, at_risk int").parquet(out) \
+    known = i.reference(context(orders, "district", EXTERNAL))
+    scored, unscored = scratch_path(spark, "scored"), scratch_path(spark, "unscored")
+    st.score_stream_to(st.read_orders(spark, incoming, raw.schema), fitted_model(orders), lambda: known, "district", scored, unscored,
+                       scratch_path(spark, "offsets"), FEATURES, {"value_per_item": 0.0}, ["order_id"]).awaitTermination()
+    return spark.read.schema("order_id long, late_probability double, at_risk int").parquet(f"{scored}/batch=*") \
         .select("order_id", F.round("late_probability", 6).alias("late_probability"), "at_risk")
 
 
+def saturated_tree(spark, sf):
+    """A tree that knows the rate of every priority."""
+    orders = saturated_orders(spark, sf)
+    with split(orders, SATURATED_SPEC) as s:
+        run = t.grid_search(s.parts, SATURATED_SPEC, {"maxDepth": [4], "minInstancesPerNode": [1]})
+        return orders, run.grown.model(run.best("decision_tree").place)
+
+
+@query("st_two_sinks", f"""
+WITH {SATURATED}
+SELECT o_orderkey AS order_id, CASE WHEN o_orderpriority <> '5-LOW' THEN round(rate, 6) END AS late_probability,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(rate >= 0.5 AS INT) END AS at_risk,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN 'scored' ELSE 'unscored' END AS sink
+FROM parts JOIN rates USING (o_orderpriority)""")
+def st_two_sinks(spark, sf):
+    """Orders with and without a context in two tables; a batch that is played again adds nothing."""
+    orders, model = saturated_tree(spark, sf)
+    incoming, scored, unscored = (scratch_path(spark, n) for n in ("incoming", "scored", "unscored"))
+    orders.select("order_id", "priority").repartition(4).write.parquet(incoming)
+    known = i.reference(orders.where("priority <> '5-LOW'").select("priority").distinct().withColumn("one", F.lit(1.0)))
+    rows = st.read_orders(spark, incoming, spark.read.parquet(incoming).schema, files_per_batch=2)
+    st.score_stream_to(rows, model, lambda: known, "priority", scored, unscored, scratch_path(spark, "offsets"), columns=["order_id"]).awaitTermination()
+    again = spark.read.parquet(f"{scored}/batch=0").select("order_id").unionByName(spark.read.parquet(f"{unscored}/batch=0").select("order_id"))
+    replayed = stage(spark.read.parquet(incoming).join(again, "order_id"), "replayed")
+    st.score_batch(replayed, 0, model, lambda: known, "priority", scored, unscored, columns=["order_id"])
+    done = spark.read.parquet(f"{scored}/batch=*").select("order_id", F.round("late_probability", 6).alias("late_probability"), "at_risk", F.lit("scored").alias("sink"))
+    rest = spark.read.parquet(f"{unscored}/batch=*").select("order_id", F.lit(None).cast("double"), F.lit(None).cast("int"), F.lit("unscored"))
+    return done.unionAll(rest)
+
+
+@query("ml_scenarios_saturated", f"""
+WITH {SATURATED}, s AS (
+  SELECT 'as is' AS scenario, rate FROM parts JOIN rates USING (o_orderpriority)
+  UNION ALL SELECT 'urgent', r.rate FROM parts, rates r WHERE r.o_orderpriority = '1-URGENT')
+SELECT scenario, count(*) AS n, round(avg(rate), 6) AS late_probability, sum(CAST(rate >= 0.5 AS INT))::BIGINT AS n_at_risk FROM s GROUP BY 1""")
+def ml_scenarios_saturated(spark, sf):
+    orders, model = saturated_tree(spark, sf)
+    scored = score(scenarios(orders, {"as is": {}, "urgent": {"priority": "1-URGENT"}}), model)
+    return scored.groupBy("scenario").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("late_probability"), 6).alias("late_probability"),
+                                          F.sum("at_risk").alias("n_at_risk"))
+
+
+RAW = """
+raw AS (
+  SELECT o_orderkey AS order_id, coalesce(items, 0) AS items, coalesce(n_lines, 0)::DOUBLE AS n_lines, o_totalprice AS value,
+    CAST(o_orderkey % 24 AS INT) AS hour, CAST(isodow(o_orderdate) AS INT) AS dow, CAST(o_custkey % 61 AS INT) AS experience_months,
+    n_name AS district, c_mktsegment AS segment, o_orderpriority AS priority, o_orderstatus AS status
+  FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS items, count(*) AS n_lines FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+)"""
+
+_TOP = "(SELECT {0} FROM raw GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
+
+
+@query("ml_default_scenario", f"""
+WITH {RAW}, {i.DISTRICTS}, base AS (
+  SELECT median(items) AS items, median(value) AS value, round_even(median(hour), 0)::INT AS hour, round_even(median(dow), 0)::INT AS dow,
+    round_even(median(experience_months), 0)::INT AS experience_months, {_TOP.format("segment")} AS segment, {_TOP.format("priority")} AS priority FROM raw
+), s(scenario, new_hour, new_priority, new_months) AS (VALUES ('as usual', NULL, NULL, NULL), ('rush hour', 20, NULL, NULL), ('urgent, new courier', NULL, '1-URGENT', 1)
+), made AS (
+  SELECT scenario, items, value, coalesce(new_hour, hour) AS hour, dow, coalesce(new_months, experience_months) AS experience_months, segment,
+    coalesce(new_priority, priority) AS priority FROM base, s)
+SELECT scenario, d.district, items, value, hour, dow, experience_months, segment, priority, CAST(hour IN (13, 14, 20, 21) AS INT) AS is_rush_hour,
+  CAST(dow >= 6 AS INT) AS is_weekend, round_even(value / items, 0) AS value_per_item, CAST(experience_months < 6 AS INT) AS is_novice, density
+FROM made, district_dim d""")
+def ml_default_scenario(spark, sf):
+    """What-if orders that start from the usual one, in every district, with features and context derived again."""
+    raw = raw_orders(spark, sf)
+    usual = default_order(raw, ["items", "value", "hour", "dow", "experience_months"], ["segment", "priority"])
+    places = i.reference(i.district_dim(spark, sf).select("district", "density"))
+    each = usual.join(places.select("district"))  # one usual order for each district
+    asked = scenarios(each, {"as usual": {}, "rush hour": {"hour": 20}, "urgent, new courier": {"priority": "1-URGENT", "experience_months": 1}},
+                      FEATURES, places, "district")
+    return asked.select("scenario", "district", "items", "value", "hour", "dow", "experience_months", "segment", "priority", "is_rush_hour",
+                        "is_weekend", "value_per_item", "is_novice", "density")
+
+
+@query("ml_feature_catalog", f"""
+WITH {RAW} SELECT 'items' AS feature, 'number' AS kind, 'operational' AS origin, count(items) AS n FROM raw
+UNION ALL SELECT 'value', 'number', 'operational', count(value) FROM raw UNION ALL SELECT 'segment', 'category', 'operational', count(segment) FROM raw
+UNION ALL SELECT 'district', 'category', 'external', count(district) FROM raw
+UNION ALL SELECT 'late', 'refused', 'target', count(*) FROM raw UNION ALL SELECT 'minutes', 'refused', 'known afterwards', count(*) FROM raw""")
+def ml_feature_catalog(spark, sf):
+    """Columns a model may learn from, with their values, and those that the guard refuses."""
+    orders = planted(raw_orders(spark, sf))
+    spec = FeatureSpec(("items", "value"), (), ("segment",), "late", "order_id", ("minutes",), ("district",))
+    rows = [(c, "number" if c in spec.numeric else "category", "external" if c in (*spec.external, *spec.external_categorical) else "operational") for c in spec.features]
+    for column, why in (("late", "target"), ("minutes", "known afterwards")):
+        try:
+            FeatureSpec(("items", column), (), (), "late", "order_id", ("minutes",))
+        except LeakageError:
+            rows.append((column, "refused", why))
+    counted = orders.agg(*[F.count(c).alias(c) for c, _, _ in rows]).unpivot([], [c for c, _, _ in rows], "feature", "n")
+    return spark.createDataFrame(rows, "feature string, kind string, origin string").join(counted, "feature")
+
+
+ROOT_SPEC = FeatureSpec(("n_lines", "dow", "hour"), (), ("segment", "priority"), "late", "order_id", ("minutes",))
+
+
+@query("ml_tree_root", f"""
+WITH {RAW}, labelled AS (
+  SELECT *, CAST(15.0::DOUBLE + n_lines * 4 + CASE WHEN dow >= 6 THEN 8.0::DOUBLE ELSE 0.0::DOUBLE END
+    + CASE WHEN segment = 'MACHINERY' THEN 6.0::DOUBLE ELSE 0.0::DOUBLE END + ((order_id * 6151) % 101) / 101 * 20 > 45 AS INT) AS late FROM raw
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY late ORDER BY {hash_sql("order_id", 42)}) AS place, count(*) OVER (PARTITION BY late) AS total FROM labelled
+), train AS (SELECT * FROM placed WHERE place > CAST(floor(total * 0.25 + 0.5) AS BIGINT)
+), numbers AS (UNPIVOT (SELECT late, n_lines, dow::DOUBLE AS dow, hour::DOUBLE AS hour FROM train) ON n_lines, dow, hour INTO NAME feature VALUE x
+), cells AS (SELECT feature, x, sum(late) AS late, count(*) AS n FROM numbers GROUP BY 1, 2
+), levels AS (UNPIVOT (SELECT late, segment, priority FROM train) ON segment, priority INTO NAME feature VALUE level
+), whole AS (SELECT sum(late)::DOUBLE AS late, count(*)::DOUBLE AS n FROM train
+), sides AS (
+  SELECT feature, x AS cut, sum(late) OVER w AS late, sum(n) OVER w AS n FROM cells WINDOW w AS (PARTITION BY feature ORDER BY x)
+  UNION ALL SELECT feature || '_' || level, NULL, (SELECT late FROM whole) - sum(late), (SELECT n FROM whole) - count(*) FROM levels GROUP BY feature, level
+), judged AS (
+  SELECT feature, cut, s.late / s.n AS share_left, (w.late - s.late) / (w.n - s.n) AS share_right,
+    2 * s.late * (s.n - s.late) / s.n + 2 * (w.late - s.late) * ((w.n - w.late) - (s.n - s.late)) / (w.n - s.n) AS impurity
+  FROM sides s, whole w WHERE s.n < w.n
+)
+SELECT feature, cut, round(share_left, 6) AS share_left, round(share_right, 6) AS share_right FROM judged ORDER BY impurity, feature LIMIT 1""")
+def ml_tree_root(spark, sf):
+    """The first split of a tree whose numbers have a bin for every value: the best of all cuts there are."""
+    with split(planted(raw_orders(spark, sf)), ROOT_SPEC) as s:
+        run = t.grid_search(s.parts, ROOT_SPEC, {"maxDepth": [1], "minInstancesPerNode": [1]})
+        model = run.grown.model(run.best("decision_tree").place)
+    encoding, f = model.encoding, int(model.feature[0])
+    cut = float(encoding.cuts[f][int(model.cut[0])]) if f < len(encoding.numeric) else None
+    left = int(model.left[0])
+    return spark.createDataFrame([(encoding.features()[f], cut, round(float(model.share[left]), 6), round(float(model.share[left + 1]), 6))],
+                                 "feature string, cut double, share_left double, share_right double")
+
+
 # --- segmentation ----------------------------------------------------------------------------------
 
 SEGMENTS = SegmentSpec(
@@ -449,7 +580,7 @@ def segment_features(spark, sf, variables=SEGMENTS.variables):
 @query("ml_kmeans")
 def ml_kmeans(spark, sf):
     features = segment_features(spark, sf)
-    model = sg.kmeans(features, 2, starts=10)
+    model = sg.kmeans(features, 2)
     named = sg.name_segments(model.transform(features), "prediction", "density", ("low density", "high density"))
     return named.select("district", "segment", "population", "area", "density")
 
@@ -457,7 +588,7 @@ def ml_kmeans(spark, sf):
 @query("ml_k_sweep")
 def ml_k_sweep(spark, sf):
     features = segment_features(spark, sf)
-    table = sg.k_sweep(features, "district_key", sg.best_kmeans(features, (2, 3, 4, 5, 6), starts=10))
+    table = sg.k_sweep(features, "district_key", sg.best_kmeans(features, (2, 3, 4, 5, 6)), exact=True)
     return spark.createDataFrame(table, "k int, inertia double, silhouette double, metric string")
 
 
@@ -468,9 +599,40 @@ def ml_pca(spark, sf):
                          F.lit(round(shares[0], 4)).alias("share_1"), F.lit(round(shares[1], 4)).alias("share_2"))
 
 
+@query("ml_pca_two", """
+WITH z AS (SELECT c_custkey, c_acctbal, c_acctbal + (c_custkey * 7919 % 5000) AS other FROM customer),
+m AS (SELECT avg(c_acctbal) AS a, stddev_pop(c_acctbal) AS sa, avg(other) AS b, stddev_pop(other) AS sb, corr(c_acctbal, other) AS r FROM z)
+SELECT c_custkey, round(((c_acctbal - a) / sa + (other - b) / sb) / sqrt(2), 6) AS "PC1", round(abs((c_acctbal - a) / sa - (other - b) / sb) / sqrt(2), 6) AS "PC2",
+  round((1 + r) / 2, 6) AS share_1, round((1 - r) / 2, 6) AS share_2 FROM z, m""")
+def ml_pca_two(spark, sf):
+    """Of two z-scores the components are their sum and difference; the second one's sign is free."""
+    df = i.table(spark, sf, "customer").select("c_custkey", "c_acctbal", (F.col("c_acctbal") + F.col("c_custkey") * 7919 % 5000).alias("other"))
+    placed, shares = sg.principal_components(sg.scaled_features(df, ("c_acctbal", "other")))
+    return placed.select("c_custkey", F.round("PC1", 6).alias("PC1"), F.round(F.abs("PC2"), 6).alias("PC2"),
+                         F.lit(round(shares[0], 6)).alias("share_1"), F.lit(round(shares[1], 6)).alias("share_2"))
+
+
+@query("ml_kmeans_planted", """
+WITH p AS (SELECT c_custkey, c_custkey % 4 AS g, c_custkey % 4 * 100 + c_acctbal / 1000 AS x, (c_custkey % 4) % 2 * 50 + (c_custkey * 31 % 7) AS y FROM customer),
+m AS (SELECT g, avg(x) AS mean FROM p GROUP BY 1), o AS (SELECT g, row_number() OVER (ORDER BY mean) AS place FROM m)
+SELECT c_custkey, 'segment ' || place AS segment FROM p JOIN o USING (g)""")
+def ml_kmeans_planted(spark, sf):
+    """Four groups far apart: the best clustering is known."""
+    g = F.col("c_custkey") % 4
+    df = i.table(spark, sf, "customer").select(
+        "c_custkey", (g * 100 + F.col("c_acctbal") / 1000).alias("x"), (g % 2 * 50 + F.col("c_custkey") * 31 % 7).cast("double").alias("y"))
+    features = sg.scaled_features(df, ("x", "y"))
+    return sg.name_segments(sg.kmeans(features, 4, starts=20).transform(features), "prediction", "x", ()).select("c_custkey", "segment")
+
+
 @query("job_segment")
 def job_segment(spark, sf):
-    return segment_districts(segment_input(spark, sf), "district", "district_key", SEGMENTS, "density", "late_rate", starts=10).profile
+    """The whole segmentation job; the profile it stored is read back."""
+    root = scratch_path(spark, "segments")
+    run_segmentation(segment_input(spark, sf), "district", "district_key", SEGMENTS, "density", "late_rate", root, exact=True)
+    schema = ("segment string, n_districts long, population double, area double, density double, temperature_c double, humidity_pct double, wind_kmh double, "
+              "n_orders double, mean_items double, mean_lead double, late_rate double, districts string")
+    return spark.read.schema(schema).json(f"{VersionedFolder(spark, root).current()}/profile")
 
 
 @query("ml_silhouette", """
@@ -489,15 +651,15 @@ def ml_silhouette(spark, sf):
 
 @query("ml_design_compare")
 def ml_design_compare(spark, sf):
-    """Best silhouette of three designs: orders, districts with operational columns, districts without."""
-    rows = []
+    """Best silhouette of three designs, k from 2 to 6: orders, districts with operational columns, districts without."""
+    k_range, rows = (2, 3, 4, 5, 6), []
     orders = sg.scaled_features(raw_orders(spark, sf), ("items", "value", "hour", "experience_months"))
-    best = max((squared_silhouette(sg.kmeans(orders, k, starts=1).transform(orders)), -k) for k in (2, 3))
-    rows.append(("orders", -best[1], round(best[0], 4), "squared_euclidean"))
+    designs = [("orders", orders, "order_id", 10, False)]
     for name, variables in (("districts, operational and external", [*SEGMENTS.variables, "n_orders", "mean_items"]),
                             ("districts, external only", SEGMENTS.variables)):
-        features = segment_features(spark, sf, variables)
-        table = sg.k_sweep(features, "district_key", sg.best_kmeans(features, (2, 3, 4), starts=10))
-        chosen = max(table, key=lambda r: r["silhouette"])
+        designs.append((name, segment_features(spark, sf, variables), "district_key", sg.STARTS, True))
+    for name, features, key, starts, exact in designs:
+        table = sg.k_sweep(features, key, sg.best_kmeans(features, k_range, starts), exact)
+        chosen = next(r for r in table if r["k"] == sg.choose_k(table))
         rows.append((name, chosen["k"], chosen["silhouette"], chosen["metric"]))
     return spark.createDataFrame(rows, "design string, k int, silhouette double, metric string")

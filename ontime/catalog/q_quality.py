@@ -146,7 +146,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, count(*) OVER
 FROM lineitem QUALIFY n > 1""")
 def dup_key_members(spark, sf):
     lines = i.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return q.duplicate_key_members(lines, ["l_orderkey", "l_linenumber"], salt_by=["l_partkey", "l_suppkey", "l_quantity"])
+    return q.duplicate_key_members(lines, ["l_orderkey", "l_linenumber"])
 
 
 @query("set_distinct_rows", f"WITH {i.DIRTY} SELECT DISTINCT * FROM dirty")

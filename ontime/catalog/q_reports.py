@@ -1,12 +1,18 @@
 """Rates, statistics, profiles, ordering and sampling."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime.catalog import inputs as i
 from ontime.catalog.registry import query
+from ontime.functions.order_keys import hash_key
 from ontime.operators import perturb, selection
 from ontime.operators import reports as r
 from ontime.operators.integrate import attach
+from ontime.operators.keytree import number_rows
+from ontime.plans.dashboard import DashboardColumns, dashboard
 
 
 def valid(spark, sf):
@@ -193,6 +199,54 @@ def segment_profile(spark, sf):
     return r.segment_profile(named, "segment", "district", ["population", "area", "n_orders"], "late_rate")
 
 
+@query("rpt_segment_decimals", f"""
+WITH {DISTRICT_TABLE}
+SELECT CASE WHEN population >= 15 * area THEN 'dense' ELSE 'sparse' END AS segment, count(*) AS n_districts,
+  round_even(avg(population), 2) AS population, round_even(avg(mean_lead), 3) AS mean_lead,
+  round_even(avg(late_rate), 2) AS late_rate, string_agg(district, ', ' ORDER BY district) AS districts
+FROM districts GROUP BY 1 ORDER BY 1""")
+def segment_decimals(spark, sf):
+    """The segment summary with places of the caller's choice."""
+    named = districts_of_orders(spark, sf).withColumn(
+        "segment", F.when(F.col("population") >= 15 * F.col("area"), "dense").otherwise("sparse"))
+    return r.segment_profile(named, "segment", "district", ["population", "mean_lead"], "late_rate", {"population": 2, "mean_lead": 3}, 2)
+
+
+DASHBOARD = DashboardColumns(label="late", minutes="lead_days", hour="items", district="district", row="priority", rows=("5-LOW", "1-URGENT"),
+                             column="status", columns=("F", "O"), bins=20)
+
+
+@query("rpt_dashboard", f"""
+WITH {i.FACT}, f AS (SELECT * FROM fact WHERE lead_days > 0 AND segment IN ('MACHINERY', 'BUILDING')),
+b AS (SELECT min(lead_days) AS low, max(lead_days) AS high FROM f)
+SELECT 'kpis' AS part, '' AS place, '' AS across, count(*)::DOUBLE AS n, round_even(avg(late), 4) AS value FROM f
+UNION ALL SELECT 'by_hour', CAST(items AS VARCHAR), '', count(*), round_even(avg(late), 4) FROM f GROUP BY 2
+UNION ALL SELECT 'by_district', district, '', count(*), round_even(avg(late), 4) FROM f GROUP BY 2
+UNION ALL SELECT 'heatmap', priority, status, NULL, round_even(avg(late), 4) FROM f WHERE priority IN ('5-LOW', '1-URGENT') AND status IN ('F', 'O') GROUP BY 2, 3
+UNION ALL SELECT 'minutes', CAST(CAST(least(floor(20.0::DOUBLE * ((lead_days - low) / (high - low))) + 1, 20) AS INT) AS VARCHAR), '', count(*), NULL
+  FROM f, b GROUP BY 2""")
+def dashboard_tables(spark, sf):
+    """All tables behind the dashboard for one choice of filters, one under the other."""
+    t = dashboard(valid(spark, sf), {"segment": ["MACHINERY", "BUILDING"], "status": None}, DASHBOARD)
+    none = F.lit(None).cast("double")
+
+    def part(name, place, across, n, value, df):
+        return df.select(F.lit(name).alias("part"), place.cast("string").alias("place"), across.alias("across"), n.cast("double").alias("n"), value.alias("value"))
+
+    heat = t["heatmap"].unpivot("priority", ["F", "O"], "status", "rate").where("rate is not null")
+    return reduce(DataFrame.unionAll, [
+        part("kpis", F.lit(""), F.lit(""), F.col("n_orders"), F.col("late_rate"), t["kpis"]),
+        part("by_hour", F.col("items"), F.lit(""), F.col("n"), F.col("late_rate"), t["by_hour"]),
+        part("by_district", F.col("district"), F.lit(""), F.col("n"), F.col("late_rate"), t["by_district"]),
+        part("heatmap", F.col("priority"), F.col("status"), none, F.col("rate"), heat),
+        part("minutes", F.col("bin"), F.lit(""), F.col("n"), none, t["minutes"])])
+
+
+@query("prj_exclude", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
+def exclude(spark, sf):
+    return r.without_columns(i.table(spark, sf, "orders"), lambda c: c.startswith("o_order") and c not in ("o_orderkey", "o_orderdate") or "price" in c)
+
+
 # --- order, limit, sample --------------------------------------------------------------------------
 
 
@@ -227,6 +281,14 @@ def fixed_n(spark, sf):
     return chosen.select("event_id", "value", F.when(F.col("value") > 50, "late").otherwise("on time").alias("outcome"))
 
 
+@query("smp_shuffle", f"""
+SELECT o_orderkey, row_number() OVER (ORDER BY {hash_sql("o_orderkey", 42)}) AS place FROM orders""")
+def shuffle(spark, sf):
+    """The place of every row in a repeatable random order."""
+    keyed = i.table(spark, sf, "orders").select("o_orderkey", hash_key(F.col("o_orderkey"), 42).alias("h"))
+    return number_rows(keyed, "h", "place").drop("h")
+
+
 @query("dirty_nulls", f"WITH {i.DIRTY} SELECT event_id, CASE WHEN event_id % 40 = 7 THEN NULL ELSE value END AS value FROM clean_events")
 def dirty_nulls(spark, sf):
     return perturb.null_out(i.clean_events(spark, sf), "value", perturb.every("event_id", 40, 7)).select("event_id", "value")

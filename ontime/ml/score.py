@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from ontime.ml.store import Model
 from ontime.operators.features import FeatureRules, order_features
 from ontime.operators.integrate import prepare_dimension
+from ontime.operators.selection import exact_medians, exact_mode
 
 AT_RISK = 0.5
 
 
-def score(df: DataFrame, model: PipelineModel, threshold: float = AT_RISK) -> DataFrame:
+def score(df: DataFrame, model: Model, threshold: float = AT_RISK) -> DataFrame:
     """Add the probability of being late and the at-risk flag; works on batch and streaming rows alike.
 
     The flag is taken from the probability, because ``prediction`` is 0 at exactly one half. Rows that a context join marked
@@ -59,6 +61,20 @@ def scenarios(orders: DataFrame, overrides: Mapping[str, Mapping[str, object]],
     return rows
 
 
+def default_order(orders: DataFrame, numeric: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """One order to start scenarios from: the median of each number, the most frequent level of each category.
+
+    Whole-number columns stay whole: a median between two of them is rounded half to even.
+    """
+    medians = exact_medians(orders, numeric)
+    whole = {c for c in numeric if isinstance(orders.schema[c].dataType, IntegralType)}
+    values = [F.lit(round(medians[c]) if c in whole and medians[c] is not None else medians[c]).cast(orders.schema[c].dataType).alias(c) for c in numeric]
+    for c in categories:
+        top = exact_mode(orders, c).first()
+        values.append(F.lit(top["value"] if top else None).cast(orders.schema[c].dataType).alias(c))
+    return orders.sparkSession.range(1).select(*values)
+
+
 def with_context(rows: DataFrame, context: DataFrame, key: str) -> DataFrame:
     """Look up the context of every row; a row whose key has none stays, with ``has_context`` false."""
     known = prepare_dimension(context, key, "context").withColumn("has_context", F.lit(True))

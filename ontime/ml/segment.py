@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -14,45 +15,153 @@ from pyspark.sql import functions as F
 
 from ontime.ml.preprocess import zscore
 from ontime.ml.silhouette import euclidean_silhouette, squared_silhouette
-from ontime.session import settle
+from ontime.session import sized, stage
 
-STARTS = 30
+STARTS = 100
 SEED = 42
+#: Starting centres are drawn from at most so many rows; every step after that covers all rows.
+SAMPLE_ROWS = 5_000
+#: Rows whose distances to all centres of all starts a task holds at once.
+SLICE_ROWS = 500
 
 
 def scaled_features(df: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """Z-scores of the variables as the vector ``features``; rows with an unknown variable are left out.
+    """Z-scores of the variables as the vector ``features``; rows with an unknown variable are left out (see :func:`left_out`).
 
-    The table is written once, because the statistics, every K-Means start and the profile read it again.
+    The table is written once, because the statistics, every K-Means step and the profile read it again.
     """
-    kept = settle(df.dropna(subset=list(variables)), "districts")
+    kept = stage(df.dropna(subset=list(variables)), "districts")
     cols = [f"{c}_z" for c in variables]
     return VectorAssembler(inputCols=cols, outputCol="features").transform(zscore(kept, variables)).drop(*cols)
 
 
-def best_kmeans(features: DataFrame, k_range: Sequence[int], starts: int = STARTS, seed: int = SEED,
-                parallelism: int = 8, max_iter: int = 100) -> dict[int, KMeansModel]:
-    """For every k the best of several K-Means starts by training cost; all fits share one pool of driver threads."""
-    def run(task: tuple[int, int]) -> KMeansModel:
-        k, start = task
-        return KMeans(k=k, seed=seed + start, maxIter=max_iter, tol=1e-4).fit(features)
-
-    tasks = [(k, start) for k in k_range for start in range(starts)]
-    with ThreadPool(min(parallelism, len(tasks))) as pool:
-        fitted = pool.map(run, tasks, chunksize=1)
-    best: dict[int, KMeansModel] = {}
-    for (k, _), model in zip(tasks, fitted):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
-    return best
-
-
-def kmeans(features: DataFrame, k: int, starts: int = STARTS, seed: int = SEED) -> KMeansModel:
+def left_out(df: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """The rows that no segment can be found for, because a variable is null or NaN."""
+    unknown = [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in variables]
+    return df.where(reduce(lambda a, b: a | b, unknown))
+
+
+@dataclass
+class Clustering:
+    """Centres of one K-Means fit and its cost, the sum of squared distances."""
+
+    centres: np.ndarray
+    cost: float
+    steps: int
+
+    @property
+    def k(self) -> int:
+        return len(self.centres)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``prediction``, the nearest centre; the first on ties."""
+        x = vector_to_array("features")
+        distances = F.array(*[F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in centre]), lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                                          lambda total, d: total + d) for centre in self.centres])
+        return df.withColumn("_d", distances).withColumn("prediction", (F.array_position("_d", F.array_min("_d")) - 1).cast("int")).drop("_d")
+
+
+def starting_centres(sample: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    """k-means++: each further centre is a row drawn by its squared distance to those already chosen."""
+    chosen = [sample[draw.integers(len(sample))]]
+    distance = ((sample - chosen[0]) ** 2).sum(1)
+    while len(chosen) < k:
+        total = distance.sum()
+        at = draw.choice(len(sample), p=distance / total) if total > 0 else draw.integers(len(sample))
+        chosen.append(sample[at])
+        distance = np.minimum(distance, ((sample - chosen[-1]) ** 2).sum(1))
+    return np.array(chosen)
+
+
+def _step(centres: list[np.ndarray]):
+    """(design, cluster, n, cost, s0, s1, ...): a task's share of one step of every design."""
+    flat, sizes = np.concatenate(centres), [len(c) for c in centres]
+    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+
+    def stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, cost, sums = np.zeros(len(flat)), np.zeros(len(flat)), np.zeros(flat.shape)
+        for batch in batches:
+            rows = batch.column("x").flatten().to_numpy().reshape(-1, flat.shape[1])
+            for at in range(0, len(rows), SLICE_ROWS):
+                x = rows[at: at + SLICE_ROWS]
+                distance = ((x[:, None, :] - flat[None, :, :]) ** 2).sum(2)
+                for start, size in zip(starts, sizes):
+                    own = distance[:, start: start + size]
+                    nearest = own.argmin(1)
+                    n[start: start + size] += np.bincount(nearest, minlength=size)
+                    cost[start: start + size] += np.bincount(nearest, weights=own[np.arange(len(x)), nearest], minlength=size)
+                    np.add.at(sums, start + nearest, x)
+        design = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        cluster = (np.arange(len(flat)) - starts[design]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(design), pa.array(cluster), pa.array(n), pa.array(cost), *[pa.array(np.ascontiguousarray(sums[:, j])) for j in range(flat.shape[1])]],
+            ["design", "cluster", "n", "cost", *[f"s{j}" for j in range(flat.shape[1])]])
+
+    return stepped
+
+
+def best_kmeans(features: DataFrame, k_range: Sequence[int], starts: int = STARTS, seed: int = SEED, max_iter: int = 100,
+                tolerance: float = 1e-6) -> dict[int, Clustering]:
+    """For every k the cheapest of several K-Means starts.
+
+    All starts of all k move together: one step is one aggregation over (design, cluster), and designs that have come to rest
+    drop out, so a whole sweep takes about as many jobs as its slowest start.
+    """
+    points = features.select(vector_to_array("features").alias("x"))
+    drawn = points.orderBy(F.xxhash64("x", F.lit(seed))).limit(SAMPLE_ROWS).collect()  # the documented sample
+    if not drawn:
+        raise ValueError("no rows to cluster")
+    sample = np.array([r["x"] for r in drawn])
+    draw = np.random.default_rng(seed)
+    ks = [k for k in k_range for _ in range(starts)]
+    centres = [starting_centres(sample, k, draw) for k in ks]
+    width = sample.shape[1]
+    cached = sized(points, points.count())
+    schema = "design int, cluster int, n double, cost double, " + ", ".join(f"s{j} double" for j in range(width))
+    sums = [F.sum(c).alias(c) for c in ("n", "cost", *[f"s{j}" for j in range(width)])]
+
+    def stepped(live: list[int]) -> tuple[dict[int, np.ndarray], dict[int, float]]:
+        """New centres and present cost of the live designs."""
+        moved, cost = {d: centres[d].copy() for d in live}, dict.fromkeys(live, 0.0)
+        found = cached.mapInArrow(_step([centres[d] for d in live]), schema).groupBy("design", "cluster").agg(*sums).collect()
+        for r in found:  # one row per centre
+            d = live[r["design"]]
+            cost[d] += r["cost"]
+            if r["n"]:
+                moved[d][r["cluster"]] = [r[f"s{j}"] / r["n"] for j in range(width)]
+        return moved, cost
+
+    try:
+        steps, costs, live = [0] * len(ks), {}, list(range(len(ks)))
+        for _ in range(max_iter):
+            moved, cost = stepped(live)
+            shifts = {d: ((moved[d] - centres[d]) ** 2).sum() for d in live}
+            for d in live:
+                centres[d], costs[d], steps[d] = moved[d], cost[d], steps[d] + 1
+            live = [d for d in live if shifts[d] > tolerance]
+            if not live:
+                break
+        else:
+            costs.update(stepped(live)[1])
+        best: dict[int, Clustering] = {}
+        for d, k in enumerate(ks):
+            if k not in best or costs[d] < best[k].cost:
+                best[k] = Clustering(centres[d], costs[d], steps[d])
+        return best
+    finally:
+        cached.unpersist()
+
+
+def kmeans(features: DataFrame, k: int, starts: int = STARTS, seed: int = SEED) -> Clustering:
     return best_kmeans(features, [k], starts, seed)[k]
 
 
-def k_sweep(features: DataFrame, key: str, models: Mapping[int, KMeansModel], exact: bool = True) -> list[dict]:
-    """Inertia and silhouette of each fitted k. ``exact`` measures Euclidean silhouettes, else squared Euclidean."""
+def k_sweep(features: DataFrame, key: str, models: Mapping[int, Clustering], exact: bool = False) -> list[dict]:
+    """Inertia and silhouette of each fitted k.
+
+    ``exact`` measures Euclidean silhouettes, which need every pair of rows: for districts. Otherwise they are taken from squared
+    distances, which need one pass.
+    """
     if exact:
         metric = "euclidean"
         placed = [m.transform(features).select(F.lit(k).alias("k"), key, "prediction", vector_to_array("features").alias("_x"))
@@ -62,8 +171,7 @@ def k_sweep(features: DataFrame, key: str, models: Mapping[int, KMeansModel], ex
     else:
         metric = "squared_euclidean"
         width = {k: squared_silhouette(m.transform(features)) for k, m in models.items()}
-    return [{"k": k, "inertia": round(m.summary.trainingCost, 2), "silhouette": round(width[k], 4), "metric": metric}
-            for k, m in models.items()]
+    return [{"k": k, "inertia": round(m.cost, 2), "silhouette": round(width[k], 4), "metric": metric} for k, m in models.items()]
 
 
 def choose_k(table: Sequence[Mapping]) -> int:

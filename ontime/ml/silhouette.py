@@ -16,14 +16,14 @@ def euclidean_silhouette(df: DataFrame, key: str, cluster: str, vector: str, by:
                          block: int = BLOCK) -> DataFrame:
     """Exact mean silhouette with plain Euclidean distances: ``silhouette, n``, one row, or one per ``by`` value.
 
-    Mean distances to a cluster have no closed form, so every pair must be measured; the pairs are measured
-    block against block and only one sum per point and cluster leaves a task. Work grows with the square of
+    Mean distances to a cluster have no closed form, so every pair must be measured: once, block against block, and only one
+    sum per point and cluster leaves a task, for the points of either block. Work grows with the square of
     the points: meant for districts, not orders (see :func:`squared_silhouette`). Points alone in their
     cluster count 0.
     """
 
     def block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Distance sums from each point of one block to the clusters present in another block."""
+        """Distance sums from the points of one block to the clusters of another, and the other way round."""
         if left.empty or right.empty:
             return pd.DataFrame({"design": [], "id": [], "cluster": [], "other": [], "total": []})
         a = np.stack([np.asarray(v, dtype="float64") for v in left["x"]])
@@ -31,25 +31,28 @@ def euclidean_silhouette(df: DataFrame, key: str, cluster: str, vector: str, by:
         squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
         same = left["id"].to_numpy()[:, None] == right["r_id"].to_numpy()[None, :]
         distance = np.sqrt(np.where(same, 0.0, np.maximum(squared, 0.0)))
-        clusters, place = np.unique(right["r_cluster"].to_numpy(), return_inverse=True)
-        member = np.eye(len(clusters))[place]
-        return pd.DataFrame({
-            "design": left["design"].iloc[0],
-            "id": np.repeat(left["id"].to_numpy(), len(clusters)),
-            "cluster": np.repeat(left["cluster"].to_numpy(), len(clusters)),
-            "other": np.tile(clusters, len(a)),
-            "total": (distance @ member).ravel(),
-        })
+
+        def side(ids, clusters, others, distance) -> pd.DataFrame:
+            present, place = np.unique(others, return_inverse=True)
+            totals = distance @ np.eye(len(present))[place]
+            return pd.DataFrame({"design": left["design"].iloc[0], "id": np.repeat(ids, len(present)), "cluster": np.repeat(clusters, len(present)),
+                                 "other": np.tile(present, len(ids)), "total": totals.ravel()})
+
+        ours, theirs = (left["id"].to_numpy(), left["cluster"].to_numpy()), (right["r_id"].to_numpy(), right["r_cluster"].to_numpy())
+        forth = side(*ours, theirs[1], distance)
+        if left["bi"].iloc[0] == left["bj"].iloc[0]:
+            return forth
+        return pd.concat([forth, side(*theirs, ours[1], distance.T)])
 
     design = F.col(by) if by else F.lit(0)
     points = df.select(design.cast("long").alias("design"), F.col(key).cast("long").alias("id"),
                        F.col(cluster).cast("int").alias("cluster"), F.col(vector).cast("array<double>").alias("x"))
     largest = points.groupBy("design").count().agg(F.max("count")).first()[0] or 0
     blocks = max(1, -(-largest // block))
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
     own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    left = points.withColumn("bi", own).withColumn("bj", F.explode(every))
-    right = points.withColumn("bj", own).withColumn("bi", F.explode(every))
+    # every pair of blocks meets once: block i with each block j from i on
+    left = points.withColumn("bi", own).withColumn("bj", F.explode(F.sequence(F.col("bi"), F.lit(blocks - 1))))
+    right = points.withColumn("bj", own).withColumn("bi", F.explode(F.sequence(F.lit(0), F.col("bj"))))
     right = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
     sums = left.groupBy("design", "bi", "bj").cogroup(right.groupBy("r_design", "r_bi", "r_bj")).applyInPandas(
         block_sums, "design long, id long, cluster int, other int, total double")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.order_keys import hash_key
-from ontime.operators.selection import hash_cuts
+from ontime.operators.selection import counted_small, hash_cuts
 
 
 def _share(fraction: float):
@@ -14,8 +14,7 @@ def _share(fraction: float):
 
 
 def _join_cuts(df: DataFrame, cuts: DataFrame, label: str) -> DataFrame:
-    # cuts has one row per class
-    return df.join(F.broadcast(cuts), label)
+    return df.join(counted_small(cuts), label)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.25, seed: int = 42,
@@ -41,13 +40,16 @@ def _parts_passed(key: str, seed: int, cuts: int) -> Column:
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42,
                      name: str = "fold") -> DataFrame:
-    """Give every row a fold 0..folds-1; within a class, fold sizes differ by one row at most."""
+    """Give every row with a label a fold 0..folds-1; within a class, fold sizes differ by one row at most.
+
+    Rows without a label stay, with a null fold.
+    """
     def upto(j: int):
         return lambda total: F.floor(total * F.lit(j) / F.lit(folds))
 
     cuts = hash_cuts(df, key, seed, [upto(j) for j in range(1, folds)], by=[label])
-    marked = _join_cuts(df, cuts, label)
-    return marked.withColumn(name, _parts_passed(key, seed, folds - 1)) \
+    marked = df.join(counted_small(cuts), label, "left")
+    return marked.withColumn(name, F.when(F.col(label).isNotNull(), _parts_passed(key, seed, folds - 1))) \
         .drop(*[f"cut_{j}" for j in range(folds - 1)])
 
 

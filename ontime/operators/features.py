@@ -43,14 +43,24 @@ def order_features(df: DataFrame, rules: FeatureRules = FeatureRules()) -> DataF
     })
 
 
-def above_median(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Flag values strictly above the column's median over the rows (not over the distinct values)."""
-    middle = weighted_median(df, column)
+def above_median(df: DataFrame, column: str, name: str, middle: DataFrame | None = None) -> DataFrame:
+    """Flag values strictly above the column's median over the rows (not over the distinct values).
+
+    ``middle``, one row with that median, may come from a smaller table: see :func:`median_over_rows`.
+    """
+    middle = weighted_median(df, column) if middle is None else middle
     return df.withColumn(name, flag(F.col(column) > middle.scalar()))
 
 
-def enrich(df: DataFrame, rules: FeatureRules = FeatureRules()) -> DataFrame:
-    return above_median(order_features(df, rules), rules.density, "is_dense_district")
+def median_over_rows(fact: DataFrame, key: str, dim: DataFrame, column: str) -> DataFrame:
+    """Median of a dimension's column over the rows of a fact table, from the fact's counts per key: only the key is read."""
+    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.join(dim.select(key, column), key).where(F.col(column).isNotNull()).agg(
+        F.percentile(F.col(column), F.lit(0.5), F.col("_n")).alias("median"))
+
+
+def enrich(df: DataFrame, rules: FeatureRules = FeatureRules(), middle: DataFrame | None = None) -> DataFrame:
+    return above_median(order_features(df, rules), rules.density, "is_dense_district", middle)
 
 
 def date_parts(ts: Column) -> dict[str, Column]:

@@ -8,21 +8,26 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.operators.quality import QualityError, key_coverage, missing_keys
+from ontime.operators.quality import QualityError, duplicate_keys, key_coverage, missing_keys
 
-# A dimension up to this many rows is sent to every task; a larger one is joined by shuffle.
-BROADCAST_ROWS = 200_000
-
-# Missing keys named in an error message; missing_keys() gives all of them.
-NAMED_KEYS = 50
+# Keys that an error message names; the error's DataFrames hold all of them.
+EXAMPLES = 20
 
 
 class IncompleteJoinError(QualityError):
-    """Some orders have no match in a dimension."""
+    """Some orders have no match in a dimension; ``missing`` has all keys without one, per dimension."""
+
+    def __init__(self, message: str, missing: dict[str, DataFrame]):
+        super().__init__(message)
+        self.missing = missing
 
 
 class DuplicateKeyError(QualityError):
-    """A dimension key occurs more than once, so a join would multiply orders."""
+    """A dimension key occurs more than once, so a join would multiply orders; ``duplicates`` has all of them with their counts."""
+
+    def __init__(self, message: str, duplicates: DataFrame):
+        super().__init__(message)
+        self.duplicates = duplicates
 
 
 @dataclass(frozen=True)
@@ -33,13 +38,12 @@ class Dimension:
 
 
 def prepare_dimension(dim: DataFrame, key: str, name: str = "dimension") -> DataFrame:
-    """Check that the key is unique, and mark the table for broadcast only when its counted size allows it."""
-    row = dim.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
-    if row["most"] > 1:
-        examples = [r[key] for r in dim.groupBy(key).count().filter("count > 1").orderBy(key).limit(NAMED_KEYS).collect()]
-        raise DuplicateKeyError(f"{name}: key {key} is not unique: {examples}")
-    return F.broadcast(dim) if row["n"] <= BROADCAST_ROWS else dim
+    """Check that the key is unique. How the table is joined is left to Spark, which knows its bytes, at run time at the latest."""
+    doubled = duplicate_keys(dim, [key])
+    examples = [r[key] for r in doubled.orderBy(key).limit(EXAMPLES).collect()]
+    if examples:
+        raise DuplicateKeyError(f"{name}: key {key} is not unique, for example {examples}", doubled)
+    return dim
 
 
 def attach(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str] | None = None,
@@ -70,9 +74,9 @@ def integrate(fact: DataFrame, key: str, dims: Sequence[Dimension]) -> tuple[Dat
     prepared = [prepare_dimension(d.df.select(key, *d.columns), key, d.name) for d in dims]
     report = check_coverage(fact, key, dims)
     if any(report["unmatched"].values()):
-        named = {d.name: [r[key] for r in missing_keys(fact, key, d.df).limit(NAMED_KEYS).collect()]
-                 for d in dims if report["unmatched"][d.name]}
-        raise IncompleteJoinError(f"incomplete join: rows without a match {report['unmatched']}; missing keys {named}")
+        missing = {d.name: missing_keys(fact, key, d.df) for d in dims if report["unmatched"][d.name]}
+        named = {name: [r[key] for r in keys.limit(EXAMPLES).collect()] for name, keys in missing.items()}
+        raise IncompleteJoinError(f"incomplete join: rows without a match {report['unmatched']}; missing keys, for example {named}", missing)
     joined = fact
     for dim in prepared:  # unique keys and full coverage keep the row count
         joined = joined.join(dim, key, "left")

@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.operators.skew import expand_copies, join_group_stats
+from ontime.operators.skew import expand_copies
 
 
 class QualityError(ValueError):
-    """A table breaks a rule it was declared to keep."""
+    """A table breaks a rule it was declared to keep. Messages give examples; the measures give all rows."""
 
 
 # --- keys and constraints --------------------------------------------------------------------------
@@ -68,9 +68,14 @@ def mark_copies(df: DataFrame) -> DataFrame:
     return numbered.withColumn("is_copy", (F.col("copy_no") > 1).cast("int"))
 
 
-def duplicate_key_members(df: DataFrame, keys: Sequence[str], salt_by: Sequence[str]) -> DataFrame:
-    """Every row whose key occurs more than once, with the group's size ``n``."""
-    return join_group_stats(df, duplicate_keys(df, keys), keys, "n", salt_by)
+def duplicate_key_members(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row whose key occurs more than once, with the group's size ``n``; nulls in keys are equal.
+
+    Sizes are counted before any row moves, and a key that holds a large share of the rows is split by adaptive execution.
+    """
+    doubled = duplicate_keys(df, keys).select(*[F.col(k).alias(f"_r_{k}") for k in keys], "n")
+    same = [df[k].eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return df.join(doubled, same).drop(*[f"_r_{k}" for k in keys])
 
 
 # --- nulls, ranges, domains ------------------------------------------------------------------------

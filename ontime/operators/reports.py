@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,6 +129,11 @@ def transpose(df: DataFrame, id_column: str, columns: Sequence[str], ids: Sequen
     return long.groupBy("metric").pivot(id_column, list(ids)).agg(F.max("value")).orderBy("metric")
 
 
+def without_columns(df: DataFrame, unwanted: Callable[[str], bool]) -> DataFrame:
+    """All columns but those whose name meets a condition."""
+    return df.select([c for c in df.columns if not unwanted(c)])
+
+
 def lookup(df: DataFrame, key: str, value, column: str) -> DataFrame:
     return df.filter(F.col(key) == F.lit(value)).select(column)
 

@@ -95,6 +95,16 @@ def exact_mode(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+#: A table of so many rows may be held by the driver and sent to every task.
+SMALL_ROWS = 10_000
+
+
+def counted_small(df: DataFrame) -> DataFrame:
+    """``df`` as a local table if it has at most SMALL_ROWS rows, else itself: joins with it then need no shuffle."""
+    rows = df.limit(SMALL_ROWS + 1).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema) if len(rows) <= SMALL_ROWS else df
+
+
 # --- repeatable samples and splits -----------------------------------------------------------------
 
 
@@ -119,9 +129,8 @@ def hash_cuts(df: DataFrame, key: str, seed: int, sizes: Sequence[Callable[[Colu
         .filter((F.col("_upto") - F.col("_n") < F.col("_k")) & (F.col("_k") <= F.col("_upto")))
         .select(*by, "_b", "_j", (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_need"))
     )
-    # targets has one row per group and size
     edge = (
-        rows.join(F.broadcast(targets), [*by, "_b"])
+        rows.join(counted_small(targets), [*by, "_b"])  # targets has one row per group and size
         .groupBy(*by, "_j", "_need", "_s").agg(F.count(F.lit(1)).alias("_n"))
     )
     upto = F.sum("_n").over(Window.partitionBy(*by, "_j").orderBy("_s"))

@@ -1,55 +1,24 @@
-"""Joining grouped results back to rows when one group may hold a large share of the table."""
+"""Giving groups of identical rows back their copies, however many there are."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Only this many groups can be spread; any other group is smaller than 1/HOT_GROUPS of the table.
-HOT_GROUPS = 1_000
-
-
-def join_group_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str], count_col: str,
-                     salt_by: Sequence[str], spread: int | None = None) -> DataFrame:
-    """Inner join of ``rows`` to one-row-per-group ``stats``, nulls in keys matching.
-
-    The largest groups (at most HOT_GROUPS, so the broadcast is bounded) get a salt: their rows go to
-    ``spread`` tasks and their stats row is copied to each. All other groups meet by plain hash.
-    """
-    keys = list(keys)
-    spread = spread or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = (
-        stats.orderBy(F.desc(count_col), *keys).limit(HOT_GROUPS)
-        .filter(F.col(count_col) >= 10 * spread)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-    )
-
-    def with_hot(df: DataFrame) -> DataFrame:
-        condition = [df[k].eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-        return df.join(F.broadcast(hot), condition, "left").drop(*[f"_hot_{k}" for k in keys])
-
-    salted_rows = with_hot(rows).withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_by), F.lit(spread)).cast("int")).otherwise(F.lit(0))
-    ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    salted_stats = with_hot(stats).withColumn("_salt", F.explode(copies)).drop("_hot")
-    right = salted_stats.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("_salt").alias("_r_salt"),
-                                *[c for c in stats.columns if c not in keys])
-    condition = [salted_rows[k].eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    joined = salted_rows.join(right, [*condition, F.col("_salt") == F.col("_r_salt")])
-    return joined.drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
+#: Copies that one task writes for one group.
+CHUNK = 100_000
 
 
-def expand_copies(groups: DataFrame, count_col: str, copy_col: str = "copy_no", chunk: int = 100_000) -> DataFrame:
+def expand_copies(groups: DataFrame, count_col: str, copy_col: str = "copy_no", chunk: int = CHUNK) -> DataFrame:
     """One row per copy, numbered 1..n, from one row per distinct content with its count.
 
-    A group of any size is first cut into chunks, which are dealt out to all tasks before they are expanded.
+    Copies are made where their group lies. Only the chunks of groups beyond ``chunk`` copies, one small row each, are dealt out
+    to all tasks first.
     """
-    chunks = groups.withColumn("_chunk", F.explode(
-        F.sequence(F.lit(0).cast("long"), F.floor((F.col(count_col) - 1) / F.lit(chunk)))))
-    dealt = chunks.repartition(*[F.col(c) for c in groups.columns], F.col("_chunk"))
+    n = F.col(count_col)
+    small = groups.where(n <= chunk).withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    chunks = groups.where(n > chunk).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / F.lit(chunk)))))
     start = F.col("_chunk") * F.lit(chunk)
-    return dealt.withColumn(copy_col, F.explode(F.sequence(
-        start + 1, F.least(start + F.lit(chunk), F.col(count_col))))).drop("_chunk")
+    large = chunks.repartition(F.xxhash64(*[F.col(c) for c in groups.columns]), F.col("_chunk")).withColumn(
+        copy_col, F.explode(F.sequence(start + 1, F.least(start + F.lit(chunk), n)))).drop("_chunk")
+    return small.unionByName(large)

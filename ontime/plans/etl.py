@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime.operators.clean import CleanRules, clean
-from ontime.operators.features import FeatureRules, enrich
+from ontime.operators.features import FeatureRules, enrich, median_over_rows
 from ontime.operators.integrate import Dimension, integrate
 from ontime.session import drop_staged
 from ontime.sources.sinks import write_report
@@ -19,7 +19,9 @@ def transform(orders: DataFrame, key: str, dims: Sequence[Dimension], rules: Cle
     """Cleaned, joined and enriched orders (lazy), the report so far, and the staged table behind them."""
     cleaned = clean(orders, rules)
     joined, integration = integrate(cleaned.df, key, dims)
-    return enrich(joined, features), {**cleaned.report, "integration": integration}, cleaned.staged
+    dense = next((d.df for d in dims if features.density in d.columns), None)
+    middle = median_over_rows(cleaned.df, key, dense, features.density) if dense is not None else None
+    return enrich(joined, features, middle), {**cleaned.report, "integration": integration}, cleaned.staged
 
 
 def report_frame(df: DataFrame, report: dict) -> DataFrame:

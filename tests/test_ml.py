@@ -17,9 +17,10 @@ from ontime.ml.split import stratified_folds, stratified_parts, stratified_split
 from ontime.ml.store import ModelStore
 from ontime.operators.features import FeatureRules
 from ontime.plans import training
-from ontime.plans.segmentation import segment_districts
+from ontime.plans.segmentation import run_segmentation, segment_districts
 from ontime.plans.training import split_orders, train_and_compare
 from ontime.streaming.score_stream import read_orders, score_stream, write_scores
+from ontime.sources.versions import VersionedFolder
 from tests.fixtures import districts, weather
 
 VARIABLES = ("population", "area_km2", "density", "temperature_c", "humidity_pct", "wind_kmh")
@@ -58,14 +59,12 @@ def test_zscore(spark, places):
 
 
 def test_sweep_reproduces_known_values(features):
-    models = sg.best_kmeans(features, (2, 3, 4, 6), starts=30)
-    table = {r["k"]: r for r in sg.k_sweep(features, "key", models)}
-    assert (table[2]["inertia"], table[3]["inertia"]) == (50.86, 38.12)
-    assert table[2]["silhouette"] == pytest.approx(0.3308, abs=1e-4)
-    assert table[3]["silhouette"] == pytest.approx(0.3147, abs=1e-4)
-    assert table[4]["inertia"] >= 26.80 and table[6]["inertia"] >= 14.29
+    models = sg.best_kmeans(features, (2, 3, 4, 5, 6))
+    table = {r["k"]: r for r in sg.k_sweep(features, "key", models, exact=True)}
+    assert [table[k]["inertia"] for k in (2, 3, 4, 5, 6)] == [50.86, 38.12, 26.81, 20.55, 14.30]
+    assert [table[k]["silhouette"] for k in (2, 3, 4, 5, 6)] == pytest.approx([0.3308, 0.3147, 0.2894, 0.3007, 0.2996], abs=1e-4)
     assert sorted(EXTENSIVE) in members(models[2].transform(features))
-    squared = {r["k"]: r["silhouette"] for r in sg.k_sweep(features, "key", {2: models[2]}, exact=False)}
+    squared = {r["k"]: r["silhouette"] for r in sg.k_sweep(features, "key", {2: models[2]})}
     assert squared[2] == pytest.approx(0.5119, abs=1e-4)
 
 
@@ -94,14 +93,42 @@ def test_pca(features):
 
 def test_segment_districts(places):
     spec = SegmentSpec(VARIABLES, ("n_orders", "late_rate"), ("late", "late_rate"))
-    result = segment_districts(places, "district", "key", spec, "density", "late_rate", starts=10)
+    result = segment_districts(places, "district", "key", spec, "density", "late_rate", exact=True)
     assert result.report["k"] == 2 and result.report["pca"]["total"] == 0.6956
     low, high = sorted(result.profile.collect(), key=lambda r: r["density"])
     assert (low["area_km2"], low["density"]) == (89.6, 4576.9) and (high["area_km2"], high["density"]) == (15.8, 10820.5)
-    assert low["districts"] == ", ".join(sorted(EXTENSIVE)) and low["segment"].startswith("extensive")
+    assert low["districts"] == ", ".join(sorted(EXTENSIVE)) and low["segment"].startswith("wide")
     assert {r["variable"]: r["cv"] for r in result.homogeneity.collect()}["late_rate"] == 0.0
 
 
+def test_all_starts_move_as_each_would_alone(spark):
+    """Centres and costs after joint steps against plain Lloyd steps; an empty cluster keeps its centre."""
+    import numpy as np
+    draw = np.random.default_rng(3)
+    x = draw.normal(0, 1, (700, 2)) + draw.integers(0, 3, (700, 1)) * 3
+    df = spark.createDataFrame([(n, float(a), float(b)) for n, (a, b) in enumerate(x)], "id long, a double, b double").repartition(3)
+    features = sg.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    for k, model in sg.best_kmeans(features, (2, 4), starts=5).items():
+        distance = ((x[:, None] - model.centres[None]) ** 2).sum(2)
+        assert model.cost == pytest.approx(distance.min(1).sum()) and model.steps < 100
+        own = distance.argmin(1)
+        assert np.allclose(model.centres, [x[own == c].mean(0) for c in range(k)], atol=1e-3)
+        assert [r[0] for r in model.transform(features).orderBy("id").select("prediction").collect()] == own.tolist()
+    same = sg.VectorAssembler(inputCols=["a"], outputCol="features").transform(spark.range(5).select(F.lit(1.0).alias("a")))
+    assert sg.kmeans(same, 3, starts=2).cost == 0.0
+
+
+def test_segmentation_stores_its_tables(spark, places, tmp_path):
+    spec = SegmentSpec(VARIABLES, ("n_orders", "late_rate"), ("late", "late_rate"))
+    odd = places.withColumn("wind_kmh", F.when(F.col("district") == "Macul", None).otherwise(F.col("wind_kmh")))
+    report = run_segmentation(odd, "district", "key", spec, "density", "late_rate", str(tmp_path / "s"), exact=True)
+    assert report["n"] == 13 and report["n_left_out"] == 1
+    path = VersionedFolder(spark, str(tmp_path / "s")).current()
+    assert spark.read.option("header", True).csv(f"{path}/districts").count() == 13
+    assert spark.read.json(f"{path}/left_out").first()["district"] == "Macul"
+    assert spark.read.json(f"{path}/k_sweep").count() == 5 and spark.read.json(f"{path}/report").first()["k"] == report["k"]
+
+
 # --- supervised ------------------------------------------------------------------------------------
 
 SPEC = FeatureSpec(("distance", "hour", "is_rush_hour"), ("density",), ("traffic",), "late", "id", ("minutes",), ("class",))
@@ -132,6 +159,8 @@ def test_split_and_folds(orders):
     parts = stratified_parts(orders, "late", "id")
     same = parts.join(split.select("id", "is_test"), "id").filter((F.col("fold") < 0) != (F.col("is_test") == 1))
     assert same.count() == 0 and parts.count() == 1_200
+    unlabelled = stratified_folds(orders.withColumn("late", F.when(F.col("id") % 10 > 0, F.col("late"))), "late", "id")
+    assert unlabelled.count() == 1_200 and unlabelled.filter("fold is null").count() == 120
     tiny = orders.filter("id < 3").withColumn("late", F.lit(1))
     assert stratified_folds(tiny, "late", "id").count() == 3
 
