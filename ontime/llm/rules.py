@@ -2,18 +2,16 @@
 
 Base statistics come from the whole text; rows that fail a base rule are rejected. All others are given as vectors of
 transformed statistics, and for each language and source the minimum covariance determinant is estimated: from several fixed starts,
-concentration steps keep the ``share`` of rows with the smallest distances and take mean and covariance of those, until
-no determinant changes; each cell keeps the start that ends with the smallest. Reweighting once by the 97.5 % quantile gives the final estimates; a row is rejected if its
-Mahalanobis distance exceeds the ``cutoff`` quantile.
+concentration steps keep the ``share`` of rows with the smallest distances and take mean and covariance of those. Each cell and
+start goes on while its determinant falls, keeps the state of the smallest one and then drops out; each cell keeps the start that
+ends with the smallest. Determinants have a least value, so every cell comes to rest, and none ever rises. Reweighting once by the
+97.5 % quantile gives the final estimates; a row is rejected if its Mahalanobis distance exceeds the ``cutoff`` quantile.
 
 A concentration step is one aggregation: rows are summed up by cell and distance bin (map-side, so a hot cell is no larger
 than its bins), bins are accumulated up to the share, and mean and covariance follow from those sums. Bins are whole, so
 rows of equal distance are never parted. Variances have a least value per statistic, which keeps a statistic that is
 constant in most rows (no symbols at all, say) from making every other value an outlier; larger ones stay as they are.
 
-With a given number of ``steps`` the plain estimator runs instead: one start by medians and median deviations, that many
-steps, FLOORS added to all variances, and CUTOFF.
-
 Cells with fewer than ``least`` rows borrow the estimates of their language, small languages those of all rows.
 
 Defined results: null text counts as empty and fails the base rules; a null language or source is a value of its own;
@@ -24,6 +22,7 @@ empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,13 +38,9 @@ LEAST_SPREADS = (0.1, 0.05, 0.5, 0.7, 0.7)
 USUAL_CUTOFF = 0.999
 #: Starts besides medians and all rows: rows whose hash ends in the start's number.
 HASH_STARTS, HASH_PARTS = 2, 8
-#: Steps end when no logarithm of a determinant changes by more; bins could make two states take turns, hence a last step.
+#: A step counts as one downwards if the logarithm of the determinant falls by more.
 SETTLED = 1e-6
-LAST_STEP = 60
-#: Of the plain estimator: what is added to spreads, and the quantile that one sound row in a billion lies beyond.
-FLOORS = (0.8, 0.25, 0.5, 0.7, 0.7)
-CUTOFF = 1 - 1e-9
-P = len(FLOORS)
+P = len(LEAST_SPREADS)
 BINS_PER_E = 16
 BINS_PER_UNIT = 64
 SLICE_ROWS = 100_000
@@ -176,11 +171,11 @@ def _binned_median(histogram: DataFrame) -> DataFrame:
     return middle.select("cell", "dim", F.col("v").alias("m"))
 
 
-def _floored(variance: Column, i: int, plain: bool) -> Column:
-    return variance + FLOORS[i] ** 2 if plain else F.greatest(variance, F.lit(LEAST_SPREADS[i] ** 2))
+def _floored(variance: Column, i: int) -> Column:
+    return F.greatest(variance, F.lit(LEAST_SPREADS[i] ** 2))
 
 
-def _start(levels: DataFrame, plain: bool) -> DataFrame:
+def _start(levels: DataFrame) -> DataFrame:
     """cell, m0.., w00..: medians and inverse median deviations, without correlations. Rows are read once, into bins."""
     bins = staged(_histogram(levels.select("cell", F.posexplode(F.array(*X)).alias("dim", "v"), F.lit(1).cast("long").alias("n"))), "mcd-bins")
     medians = _binned_median(bins)
@@ -190,7 +185,7 @@ def _start(levels: DataFrame, plain: bool) -> DataFrame:
     pick = lambda c, d: F.max(F.when(F.col("dim") == d, F.col(c)))
     wide = both.groupBy("cell").agg(*[pick("m", d).alias(f"m{d}") for d in range(P)], *[pick("s", d).alias(f"s{d}") for d in range(P)])
     inverse = [
-        (1 / F.sqrt(_floored(F.pow(1.4826 * F.col(f"s{i}"), 2), i, plain)) if i == j else F.lit(0.0)).alias(f"w{i}{j}")
+        (1 / F.sqrt(_floored(F.pow(1.4826 * F.col(f"s{i}"), 2), i)) if i == j else F.lit(0.0)).alias(f"w{i}{j}")
         for i, j in LOWER_CELLS
     ]
     return wide.select("cell", *[f"m{i}" for i in range(P)], *inverse)
@@ -209,14 +204,14 @@ def _sums() -> list[Column]:
             *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"q{i}{j}") for i, j in LOWER_CELLS]]
 
 
-def _estimates(sums: DataFrame, factor: float, plain: bool) -> DataFrame:
+def _estimates(sums: DataFrame, factor: float) -> DataFrame:
     """Mean, inverse Cholesky factor and log determinant of factor x covariance with its floors, from sums, column by column."""
     keys = [c for c in ("cell", "start") if c in sums.columns]
     mean = sums.select(*keys, *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(P)],
                        *[(F.col(f"q{i}{j}") / F.col("n")).alias(f"q{i}{j}") for i, j in LOWER_CELLS])
     spread = lambda i, j: F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")
     out = mean.withColumns({
-        f"a{i}{j}": _floored(factor * F.greatest(spread(i, j), F.lit(0.0)), i, plain) if i == j else factor * spread(i, j) for i, j in LOWER_CELLS
+        f"a{i}{j}": _floored(factor * F.greatest(spread(i, j), F.lit(0.0)), i) if i == j else factor * spread(i, j) for i, j in LOWER_CELLS
     })
     for j in range(P):
         rest = lambda i: F.col(f"a{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))  # noqa: B023, E731
@@ -232,7 +227,7 @@ def _estimates(sums: DataFrame, factor: float, plain: bool) -> DataFrame:
     return out.select(*keys, *[f"m{i}" for i in range(P)], *[f"w{i}{j}" for i, j in LOWER_CELLS], log_det)
 
 
-def _concentrate(levels: DataFrame, estimates: DataFrame, share: float, plain: bool) -> DataFrame:
+def _concentrate(levels: DataFrame, estimates: DataFrame, share: float) -> DataFrame:
     """One concentration step: estimates from the bins of smallest distance that hold ``share`` of a cell's rows."""
     far = _distance(levels, estimates).withColumn("bin", F.floor(BINS_PER_E * F.log(F.greatest("d2", F.lit(LEAST_DISTANCE)))))
     keys = [c for c in ("cell", "start") if c in far.columns]
@@ -242,7 +237,7 @@ def _concentrate(levels: DataFrame, estimates: DataFrame, share: float, plain: b
     run = bins.select(*keys, F.col("n").alias("own"), F.sum("n").over(Window.partitionBy(*keys)).alias("all"),
                       *[F.sum(c).over(upto).alias(c) for c in totals])
     last = run.where((F.col("n") >= share * F.col("all")) & (F.col("n") - F.col("own") < share * F.col("all")))
-    return _estimates(last, _consistency(share), plain)
+    return _estimates(last, _consistency(share))
 
 
 def _starts(levels: DataFrame) -> DataFrame:
@@ -250,47 +245,45 @@ def _starts(levels: DataFrame) -> DataFrame:
     part = F.pmod(F.xxhash64(F.lit("start"), *X), F.lit(HASH_PARTS))
     taken = F.array(F.lit(1), F.when(part < HASH_STARTS, (part + 2).cast("int")))
     sums = levels.select("cell", F.explode(F.filter(taken, lambda s: s.isNotNull())).alias("start"), *X).groupBy("cell", "start").agg(*_sums())
-    others = _estimates(sums, 1.0, False).drop("log_det")
-    return _start(levels, False).withColumn("start", F.lit(0)).unionByName(others)
+    others = _estimates(sums, 1.0).drop("log_det")
+    return _start(levels).withColumn("start", F.lit(0)).unionByName(others)
 
 
 def _settled(levels: DataFrame, slices: DataFrame, share: float) -> DataFrame:
-    """Concentrated estimates: from every start until no determinant changes, then of each cell those of the smallest."""
-    estimates, before = staged(_starts(levels), "mcd-start"), None
-    for _ in range(LAST_STEP):
-        estimates = staged(_concentrate(levels, estimates.join(slices, "cell"), share, False), "mcd-step")
-        if before is not None:
-            moved = estimates.join(before.select("cell", "start", F.col("log_det").alias("last")), ["cell", "start"])
-            if (moved.agg(F.max(F.abs(F.col("log_det") - F.col("last")))).first()[0] or 0.0) <= SETTLED:
-                break
-        before = estimates
-    columns = [c for c in estimates.columns if c not in ("cell", "start")]
-    best = estimates.groupBy("cell").agg(F.min_by(F.struct(*columns), F.struct(F.round("log_det", 6), "start")).alias("best"))
+    """Concentrated estimates: each cell and start while its determinant falls, then of each cell those of the smallest."""
+    live = staged(_concentrate(levels, staged(_starts(levels), "mcd-start").join(slices, "cell"), share), "mcd-step")
+    columns = [c for c in live.columns if c not in ("cell", "start")]
+    rested = []
+    while not live.isEmpty():
+        now = live.select("cell", "start", F.struct(*columns).alias("now"))
+        after = _concentrate(levels, live.drop("log_det").join(slices, "cell"), share).select("cell", "start", F.struct(*columns).alias("after"))
+        both = staged(now.join(after, ["cell", "start"], "left").withColumn(
+            "falls", F.coalesce(F.col("after.log_det") < F.col("now.log_det") - SETTLED, F.lit(False))), "mcd-step")
+        rested.append(both.where("not falls").select("cell", "start", "now.*"))
+        live = both.where("falls").select("cell", "start", "after.*")
+    if not rested:
+        return live.drop("start")
+    every = reduce(DataFrame.unionAll, rested)
+    best = every.groupBy("cell").agg(F.min_by(F.struct(*columns), F.struct(F.round("log_det", 6), "start")).alias("best"))
     return staged(best.select("cell", "best.*"), "mcd-best")
 
 
-def robust_estimates(vectors: DataFrame, share: float, steps: int | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def robust_estimates(vectors: DataFrame, share: float, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """cell, mean and inverse factor, for every language and source, every language, and all rows."""
     levels = staged(_levels(vectors, slice_rows), "mcd-levels")
     slices = staged(levels.select("cell", "slice").distinct(), "mcd-slices")
-    if steps is None:
-        estimates = _settled(levels, slices, share)
-    else:
-        estimates = staged(_start(levels, True), "mcd-start")
-        for _ in range(steps):
-            estimates = staged(_concentrate(levels, estimates.join(slices, "cell"), share, True), "mcd-step")
+    estimates = _settled(levels, slices, share)
     inner = _distance(levels, estimates.join(slices, "cell")).where(F.col("d2") <= chi_square_quantile(0.975, P))
-    return staged(_estimates(inner.groupBy("cell").agg(*_sums()), _consistency(0.975), steps is not None), "mcd-final")
+    return staged(_estimates(inner.groupBy("cell").agg(*_sums()), _consistency(0.975)), "mcd-final")
 
 
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-             share: float = 0.75, steps: int | None = None, cutoff: float | None = None, least: int = 100) -> DataFrame:
+             share: float = 0.75, cutoff: float = USUAL_CUTOFF, least: int = 100) -> DataFrame:
     """One row per input row: doc_id, the base statistics, base_failed, kept and the squared distance (null if base_failed)."""
-    cutoff = cutoff or (USUAL_CUTOFF if steps is None else CUTOFF)
     rows = staged(
         statistics(docs, id_col, text_col, lang_col, source_col).withColumn("base_failed", base_failed()), "rule-statistics")
     sound = rows.where(~F.col("base_failed")).withColumns(dict(zip(X, vector())))
-    estimates = robust_estimates(sound.select("lang", "source", *X), share, steps)
+    estimates = robust_estimates(sound.select("lang", "source", *X), share)
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = _distance(_cells(sound, least).select(*out, "cell", *X), estimates)
     judged = judged.select(*out, (F.col("d2") <= chi_square_quantile(cutoff, P)).alias("kept"), F.col("d2").alias("distance"))
