@@ -7,7 +7,7 @@ become validity intervals, and every capture is joined as of its fetch time with
 The join is an equality on key and month, with the interval as a further condition: an interval is copied to the months it touches
 between the first and the last fetch, so a key with a long history or many captures is never one group, and what the
 join emits is one row per key that is active. Captures are reduced to distinct (URL, time) first, and verdicts
-joined back to all rows. The end of an interval is found within a month, and across months from the first change of each, so
+joined back to all rows. Of a long path only the leading parts with as many segments as some listed key become keys. The end of an interval is found within a month, and across months from the first change of each, so
 no key's whole history is sorted in one task.
 
 Of the active entries the longest key decides; of equal keys an allowing list wins over a blocking one, then the first name.
@@ -34,15 +34,23 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_extract(url, HOST, 1), r"\.$", ""))
 
 
-def keys_of(url: Column) -> Column:
-    """The host, every domain above it but the topmost, and the host with every leading part of the path."""
+def path_depths(changes: DataFrame) -> list[int]:
+    """The numbers of path segments that listed keys have: other leading parts of a path cannot match. Few, as lists are made."""
+    depth = (F.length("key") - F.length(F.replace("key", F.lit("/"), F.lit("")))).alias("depth")
+    return sorted(r["depth"] for r in changes.select(depth).distinct().where("depth > 0").collect())
+
+
+def keys_of(url: Column, depths: list[int] | None = None) -> Column:
+    """The host, every domain above it but the topmost, and the host with the leading parts of the path: of all depths, or of some."""
     labels = F.split(host_of(url), r"\.")
     n = F.size(labels)
     domains = F.transform(
         F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), "."))
     segments = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda s: s != "")
+    lengths = F.sequence(F.lit(1), F.size(segments)) if depths is None else F.filter(
+        F.array(*map(F.lit, depths)).cast("array<int>"), lambda d: d <= F.size(segments))
     paths = F.when(F.size(segments) > 0, F.transform(
-        F.sequence(F.lit(1), F.size(segments)), lambda i: F.concat(host_of(url), F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/"))))
+        lengths, lambda i: F.concat(host_of(url), F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/"))))
     keys = F.concat(domains, F.coalesce(paths, F.array().cast("array<string>")))
     return F.when(host_of(url) != "", keys).otherwise(F.array().cast("array<string>"))
 
@@ -70,7 +78,7 @@ def verdicts(captures: DataFrame, changes: DataFrame, url_col: str = "url", time
     New columns take another name where ``captures`` has theirs already.
     """
     asked = captures.select(named(url_col).alias("url"), named(time_col).cast("timestamp").alias("fetched")).dropna().distinct()
-    wanted = asked.select("url", "fetched", _month(F.col("fetched")).alias("month"), F.explode(F.array_distinct(keys_of(F.col("url")))).alias("key"))
+    wanted = asked.select("url", "fetched", _month(F.col("fetched")).alias("month"), F.explode(F.array_distinct(keys_of(F.col("url"), path_depths(changes)))).alias("key"))
     bounds = asked.agg(F.min("fetched").alias("first"), F.max("fetched").alias("last"))
     spans = (
         intervals(changes).crossJoin(F.broadcast(bounds))  # one row

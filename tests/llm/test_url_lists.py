@@ -2,7 +2,7 @@ import random
 import re
 from datetime import datetime, timedelta
 
-from ontime.llm.url_lists import keys_of, verdicts
+from ontime.llm.url_lists import keys_of, path_depths, verdicts
 from pyspark.sql import functions as F
 
 DAY = datetime(2024, 1, 1)
@@ -62,6 +62,16 @@ def test_as_of_join_matches_brute_force(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == plain(captures, changes)
 
 
+def test_a_path_of_very_many_segments(spark):
+    """Only the depths that listed keys have become keys: two here, not twenty thousand."""
+    long_path = "http://a.com/" + "/".join(["s"] * 20_000)
+    captures = spark.createDataFrame([(long_path, DAY, "x"), ("http://a.com/s", DAY, "x"), ("http://a.com/t/s", DAY, "x")], CAPTURES)
+    changes = spark.createDataFrame([("l", "block", key, "add", DAY, "x") for key in ("a.com/s", "a.com/s/s/s")], CHANGES)
+    got = {r["url"][:20]: (r[3], r["list_key"]) for r in verdicts(captures, changes).collect()}
+    assert got == {long_path[:20]: (False, "a.com/s/s/s"), "http://a.com/s": (False, "a.com/s"), "http://a.com/t/s": (True, None)}
+    assert len(captures.select(keys_of(F.col("url"), path_depths(changes)).alias("k")).first()["k"]) == 3
+
+
 def test_keys(spark):
     rows = spark.createDataFrame([(u,) for u in URLS], "u string").select("u", keys_of(F.col("u")).alias("k")).collect()
     assert all(set(r.k or []) == keys(r.u) for r in rows)
