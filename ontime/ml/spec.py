@@ -44,7 +44,7 @@ class FeatureSpec:
         return replace(self, external=(), external_categorical=())
 
 
-# The delivery orders after ontime.plans.etl.
+# The features of delivery orders after ontime.plans.etl.
 DELIVERY_SPEC = FeatureSpec(
     operational=("distance_km", "prep_min", "items", "value", "hour", "dow", "experience_months", "rating",
                  "active_orders", "is_rush_hour", "is_weekend", "value_per_item", "is_novice"),

@@ -28,7 +28,7 @@ class CleanRules:
     null_tokens: Sequence[str] = ()
 
 
-# The delivery orders of ontime.sources.schemas.
+# The columns and limits of the delivery orders in ontime.sources.schemas.
 DELIVERY_RULES = CleanRules(
     text=("weather", "traffic", "vehicle", "shop_type", "district"),
     title=("district",),

@@ -1,4 +1,4 @@
-"""The cleaning, integration and feature jobs on eight known orders."""
+"""The cleaning, integration and feature jobs on ten known orders."""
 
 import json
 import glob
@@ -30,15 +30,14 @@ def dims(spark):
 def test_clean(spark, missing):
     result = clean(dirty_orders(spark, missing), DELIVERY_RULES)
     assert result.report == {
-        "rows_in": 8, "duplicates_removed": 2, "outliers_corrected": 1, "invalid_rows_removed": 2,
-        "untimed_rows_removed": 0, "null_cells_before": 3, "null_cells_imputable": 3, "null_cells_left": 0, "rows_out": 4}
+        "rows_in": 10, "duplicates_removed": 2, "outliers_corrected": 1, "invalid_rows_removed": 2,
+        "untimed_rows_removed": 0, "null_cells_before": 3, "null_cells_imputable": 3, "null_cells_left": 0, "rows_out": 6}
     rows = result.df.collect()
-    assert sorted(r["weather"] for r in rows) == ["Lluvia", "Nublado", "Nublado", "Nublado"]
-    assert sorted(r["traffic"] for r in rows) == ["Bajo", "Medio", "Medio", "Medio"]
-    assert {r["distance_km"] for r in rows} == {5.5}
+    only = {"weather": "Nublado", "traffic": "Medio", "vehicle": "Auto", "shop_type": "Farmacia", "distance_km": 5.5, "prep_min": 14.0}
+    assert all(r[c] == v for r in rows for c, v in only.items())
     assert all(r["delivery_min"] > 0 for r in rows)
     assert not any(v is None for r in rows for v in r)
-    assert result.df.distinct().count() == 2  # rows made equal by imputation stay
+    assert result.df.distinct().count() == 1  # rows made equal by imputation stay
     assert_domain(result.df, "traffic", ["Bajo", "Medio", "Alto"])
     assert_domain(result.df, "weather", ["Despejado", "Nublado", "Lluvia"])
 
@@ -64,22 +63,24 @@ def test_null_tokens_and_untimed_rows(spark):
 def test_integrate_keeps_rows(spark):
     cleaned = clean(dirty_orders(spark), DELIVERY_RULES).df
     joined, report = integrate(cleaned, "district", dims(spark))
-    assert joined.count() == 4
-    assert report["rows_joined"] == 4 and report["unmatched"] == {"districts": 0, "weather": 0}
+    assert joined.count() == 6
+    assert report["rows_joined"] == 6 and report["unmatched"] == {"districts": 0, "weather": 0}
     assert {"density", "temperature_c"} <= set(joined.columns)
 
 
 def test_integrate_names_missing_keys(spark):
     orders = spark.createDataFrame([("Providencia", 1), ("Nowhere", 2), ("Nowhere", 3)], "district string, n int")
-    with pytest.raises(IncompleteJoinError, match="incomplete join.*'districts': 2.*Nowhere"):
+    with pytest.raises(IncompleteJoinError, match="incomplete join.*'districts': 2.*Nowhere") as raised:
         integrate(orders, "district", dims(spark))
+    assert [r["district"] for r in raised.value.missing["districts"].collect()] == ["Nowhere"]
 
 
 def test_integrate_refuses_duplicate_dimension_keys(spark):
     d = dims(spark)
     doubled = Dimension("districts", d[0].df.unionAll(d[0].df), d[0].columns)
-    with pytest.raises(DuplicateKeyError, match="not unique"):
+    with pytest.raises(DuplicateKeyError, match="not unique") as raised:
         integrate(spark.createDataFrame([("Macul",)], "district string"), "district", [doubled])
+    assert raised.value.duplicates.count() == 14  # all of them, whatever the message names
 
 
 def test_enrich(spark):
@@ -102,21 +103,21 @@ def test_density_query(spark):
 
 def test_run_etl_writes_table_and_report(spark, tmp_path):
     report = run_etl(dirty_orders(spark), "district", dims(spark), DELIVERY_RULES, str(tmp_path / "t"), str(tmp_path / "r"))
-    assert report["rows_written"] == 4 and report["late_rate"] == 1.0
+    assert report["rows_written"] == 6 and report["late_rate"] == 1.0
     assert report["columns_written"] == 16 + 6 + 4 + 5
     stored = json.loads(open(glob.glob(str(tmp_path / "r" / "*.json"))[0]).read())
     assert stored["duplicates_removed"] == 2 and stored["integration"]["rows_unmatched"] == 0
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 6
 
 
 def test_dashboard(spark):
     orders = clean(dirty_orders(spark), DELIVERY_RULES).df
     tables = dashboard(orders, {"weather": ["Nublado"], "vehicle": [], "district": None})
-    assert tables["kpis"].first()["n_orders"] == 3
+    assert tables["kpis"].first()["n_orders"] == 6
     heat = tables["heatmap"].collect()
     assert [r["traffic"] for r in heat] == ["Bajo", "Medio", "Alto"]
     assert heat[1]["Nublado"] == 1.0 and heat[0]["Nublado"] is None
-    assert sum(r["n"] for r in tables["minutes"].collect()) == 3  # all values equal: one bin
+    assert sum(r["n"] for r in tables["minutes"].collect()) == 6  # all values equal: one bin
 
 
 def test_guards():
