@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime.functions.order_keys import hash_key
+from ontime.functions.order_keys import HASH_DIGITS, hash_key
 from ontime.session import stage
 
 
@@ -108,29 +108,43 @@ def counted_small(df: DataFrame) -> DataFrame:
 # --- repeatable samples and splits -----------------------------------------------------------------
 
 
+#: Rows that may share the hash digits of a cut before more digits are looked at.
+EDGE_ROWS = 100_000
+DIGITS = 4
+
+
+def _holding(counts: DataFrame, group: Sequence[str], need: Column) -> DataFrame:
+    """The buckets of each group that hold the wanted rank, with the rank inside them as ``_need``."""
+    upto = F.sum("_n").over(Window.partitionBy(*group).orderBy("_b"))  # at most 16**DIGITS buckets per group
+    run = counts.withColumns({"_upto": upto, "_want": need})
+    hit = (F.col("_upto") - F.col("_n") < F.col("_want")) & (F.col("_want") <= F.col("_upto"))
+    return run.where(hit).withColumn("_need", F.col("_want") - F.col("_upto") + F.col("_n")).drop("_upto", "_want")
+
+
 def hash_cuts(df: DataFrame, key: str, seed: int, sizes: Sequence[Callable[[Column], Column]],
-              by: Sequence[str] = (), digits: int = 4) -> DataFrame:
+              by: Sequence[str] = (), edge_rows: int = EDGE_ROWS) -> DataFrame:
     """Hash keys at given ranks of the shuffled order, one row per group (columns ``cut_0``, ``cut_1``, ...).
 
-    ``sizes`` turn a group's row count into the wanted rank. Rows are counted per leading hash digits, which
-    spreads any group evenly, and only the one bucket that holds the wanted rank is looked at closely.
+    ``sizes`` turn a group's row count into the wanted rank. Rows are counted per leading hash digits, which spreads any
+    group evenly; while a bucket that holds a wanted rank has more than ``edge_rows`` rows it is counted by more digits, and
+    only then looked at closely.
     """
     by = list(by)
-    rows = df.select(*by, hash_key(F.col(key), seed).alias("_s")).withColumn("_b", F.substring("_s", 1, digits))
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # at most 16**digits rows per group
-    counts = rows.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumns({
-        "_upto": F.sum("_n").over(whole.orderBy("_b")),
-        "_total": F.sum("_n").over(whole),
-    })
+    rows = df.select(*by, hash_key(F.col(key), seed).alias("_s"))
+    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # at most 16**DIGITS rows per group
+    counts = rows.groupBy(*by, F.substring("_s", 1, DIGITS).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(whole)
     wanted = F.array(*[F.least(size(F.col("_total")).cast("long"), F.col("_total")) for size in sizes])
-    targets = (
-        counts.select(*by, "_b", "_n", "_upto", F.posexplode(wanted).alias("_j", "_k"))
-        .filter((F.col("_upto") - F.col("_n") < F.col("_k")) & (F.col("_k") <= F.col("_upto")))
-        .select(*by, "_b", "_j", (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_need"))
-    )
+    each = counts.withColumn("_total", total).select(*by, "_b", "_n", F.posexplode(wanted).alias("_j", "_k"))
+    targets = counted_small(_holding(each, [*by, "_j"], F.col("_k")).select(*by, "_b", "_n", "_j", "_need"))  # one row per group and size
+    digits = DIGITS
+    while digits < HASH_DIGITS and (targets.agg(F.max("_n")).first()[0] or 0) > edge_rows:
+        inside = rows.withColumn("_b", F.substring("_s", 1, digits)).join(targets.drop("_n"), [*by, "_b"])
+        digits += DIGITS
+        finer = inside.groupBy(*by, "_j", "_need", F.substring("_s", 1, digits).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        targets = counted_small(_holding(finer.withColumnRenamed("_need", "_k"), [*by, "_j"], F.col("_k")).select(*by, "_b", "_n", "_j", "_need"))
     edge = (
-        rows.join(counted_small(targets), [*by, "_b"])  # targets has one row per group and size
+        rows.withColumn("_b", F.substring("_s", 1, digits)).join(targets.drop("_n"), [*by, "_b"])
         .groupBy(*by, "_j", "_need", "_s").agg(F.count(F.lit(1)).alias("_n"))
     )
     upto = F.sum("_n").over(Window.partitionBy(*by, "_j").orderBy("_s"))

@@ -72,6 +72,13 @@ def test_sample_and_numbering(spark):
     assert sorted(shuffled) == [3 * n for n in range(5_000)] and shuffled != sorted(shuffled)
 
 
+def test_cuts_by_more_digits_are_the_same_cuts(spark):
+    df = spark.range(3_000).withColumn("g", F.col("id") % 3)
+    ask = [lambda n: F.lit(100), lambda n: F.floor(n / 2), lambda n: n]
+    cuts = lambda **more: sorted(map(tuple, selection.hash_cuts(df, "id", 5, ask, ["g"], **more).collect()))
+    assert cuts() == cuts(edge_rows=0) and len(cuts()) == 3
+
+
 def test_numbers_of_whole_numbers_beyond_doubles(spark):
     """Keys around 2^53, negative ones, both ends of the range, and steps of one and of 2^40."""
     keys = sorted({*range(2 ** 53 - 3, 2 ** 53 + 90_000, 7), *range(-5, 5), *(n << 40 for n in range(-300, 300)), -2 ** 63, 2 ** 63 - 1})
