@@ -55,12 +55,16 @@ def ablation(split: Training, spec: FeatureSpec, make=t.logistic, full: float |
 @dataclass
 class TrainingResult:
     best: str
-    model: Model
-    models: dict[str, Model]
+    linear: Model
     report: dict
     grid: t.GridRun
     scored_test: DataFrame  # label, prediction and score of the best model on the test rows
 
+    def model(self, name: str | None = None) -> Model:
+        """One of the three refit models, the best unless named; trees come out of the grown tables only when asked for."""
+        name = name or self.best
+        return self.linear if name == "logistic_regression" else self.grid.grown.model(self.grid.best(name).place)
+
 
 def tree_scores(run: t.GridRun, point: t.GridPoint, tested: bool) -> DataFrame:
     """Label, prediction and score of the refit trees of a setting, on test or training rows."""
@@ -93,15 +97,14 @@ def train_and_compare(split: Training, spec: FeatureSpec, tree_grid: Mapping[str
         "cross_validation": {"folds": folds, "f1_mean": round(mean, 4), "f1_std": round(deviation, 4), "f1_by_fold": [round(s, 4) for s in by_fold]},
         "external_features": ablation(split, spec, full=results["logistic_regression"]["f1"]),
     }
-    models: dict[str, Model] = {"logistic_regression": linear, **{name: run.grown.model(point.place) for name, point in best_points.items()}}
-    return TrainingResult(best, models[best], models, report, run, scored[best][1])
+    return TrainingResult(best, linear, report, run, scored[best][1])
 
 
 RESULT = ("model string, best int, accuracy double, precision double, recall double, f1 double, roc_auc double, accuracy_train double, "
           "gap double, overfit string, params string, f1_cv double")
 
 
-def report_tables(spark: SparkSession, result: TrainingResult, split: Training, spec: FeatureSpec) -> dict[str, DataFrame]:
+def report_tables(spark: SparkSession, result: TrainingResult, model: Model, split: Training, spec: FeatureSpec) -> dict[str, DataFrame]:
     """What is kept beside the model: results, grid, cross-validation, confusion matrix, top features, value of the external columns."""
     rows = [(name, int(name == result.best), *[r[k] for k in ("accuracy", "precision", "recall", "f1", "roc_auc", "accuracy_train", "gap", "overfit")],
              json.dumps(r["params"]), r.get("f1_cv")) for name, r in result.report["results"].items()]
@@ -109,14 +112,14 @@ def report_tables(spark: SparkSession, result: TrainingResult, split: Training,
     folds = result.report["cross_validation"]
     external = result.report["external_features"]
     # a linear model's names come from its own columns
-    shown = split.test if result.best != "logistic_regression" else result.model.transform(split.test)
+    shown = split.test if result.best != "logistic_regression" else model.transform(split.test)
     return {
         "results": spark.createDataFrame(rows, RESULT),
         "grid": spark.createDataFrame(grid, "model string, params string, f1 double, f1_std double"),
         "folds": spark.createDataFrame([*[(f"fold {n}", f) for n, f in enumerate(folds["f1_by_fold"])], ("mean", folds["f1_mean"]), ("std", folds["f1_std"])],
                                        "part string, f1 double"),
         "confusion": confusion_matrix(result.scored_test),
-        "top_features": top_features(result.model, spec, shown),
+        "top_features": top_features(model, spec, shown),
         "external_features": spark.createDataFrame([tuple(external.values())], ", ".join(f"{k} double" for k in external)),
     }
 
@@ -128,7 +131,8 @@ def run_training(orders: DataFrame, spec: FeatureSpec, root: str, tree_grid: Map
     split = split_orders(orders, spec, folds=folds, seed=seed)
     try:
         result = train_and_compare(split, spec, tree_grid, forest_grid, folds, seed, node_rows)
-        ModelStore(orders.sparkSession, root).save(result.model, report_tables(orders.sparkSession, result, split, spec))
+        model = result.model()
+        ModelStore(orders.sparkSession, root).save(model, report_tables(orders.sparkSession, result, model, split, spec))
     finally:
         split.close()
     return result.report

@@ -215,10 +215,10 @@ def test_train_compare_score_and_stream(spark, orders, tmp_path):
     assert report["results"]["decision_tree"]["params"]["maxDepth"] == 5
     assert len(report["cross_validation"]["f1_by_fold"]) == 3 and "difference" in report["external_features"]
 
-    model = result.models["logistic_regression"]
+    model = result.model("logistic_regression")
     top = ev.top_features(model, SPEC, model.transform(split.train), 3).collect()
     assert top[0]["feature"] in ("distance", "traffic_high", "traffic_low")
-    forest = result.models["random_forest"]
+    forest = result.model("random_forest")
     assert ev.top_features(forest, SPEC, split.train, 1).first()["feature"] == "distance"
     again = forest.transform(split.test).select("label", "prediction")
     assert ev.evaluate(training.tree_scores(result.grid, result.grid.best("random_forest"), False), again.withColumn("score", F.lit(0.5)))["f1"] \
