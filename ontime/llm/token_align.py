@@ -21,6 +21,7 @@ aligned and counted again; a null id stays null; an empty table gives an empty r
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import json
 import os
@@ -42,7 +43,7 @@ from ontime.llm.common import ids_and_bytes, staged, text_bytes
 ALIGN_BYTES = BLOCK_BYTES // 2
 
 #: A worker forgets its chunks, between two blocks, beyond so many; they are then tokenized again when they come back.
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 250_000
 
 #: Chunks that are tokenized as one text.
 JOINED = 1_000
@@ -141,8 +142,11 @@ class Aligner:
         sure = [chunk for chunk in chunks if chunk and not chunk[-1].isspace() and "▁" not in chunk] if self.cuts else []
         others = set(chunks).difference(sure)
         texts = ["".join([" " + chunk for chunk in sure[at: at + JOINED]]) for at in range(0, len(sure), JOINED)]
-        a, a_count = _flat([each.ids for each in self.a.encode_batch_fast(texts, add_special_tokens=False)])
-        b, b_count = _flat(self.b.encode([text[1:] for text in texts], num_threads=1))
+        a_ids, b_ids = [], []
+        for text in texts:  # the tokenizers' own structures are many times a text's size
+            a_ids += [np.array(each.ids, np.int32) for each in self.a.encode_batch_fast([text], add_special_tokens=False)]
+            b_ids.append(np.array(self.b.encode(text[1:]), np.int32))
+        a, b = (np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64) for ids in (a_ids, b_ids))
         sizes = np.array([len(chunk.encode()) + 1 for chunk in sure], np.int64)
         body = "".join(texts).encode()
         if all(b"".join(map(own.__getitem__, ids.tolist())) == body for own, ids in ((self.a_bytes, a), (self.b_bytes, b))):
@@ -199,6 +203,18 @@ class Aligner:
         self.regular.frombytes(regular.astype(np.int8).tobytes())
 
 
+@lru_cache(1)
+def _trim():
+    """glibc's malloc_trim, or nothing where there is none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: None)
+
+
+def give_back() -> None:
+    """Return memory that the last block needed: workers live on, and executors count it."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, lists), np.int64, len(lists))
     return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
@@ -243,7 +259,10 @@ def _describe(a_path: str, b_path: str):
         arrays = {"texts": rows, "chunks": pa.table({"chunk": chunk.astype(np.int32)}),
                   "links": pa.table({"kind": kind.astype(np.int32), "chunk": np.repeat(np.arange(len(seen), dtype=np.int32), lengths)}),
                   "kinds": pa.table({"code": kinds, "regular": count(regular), "pairs": count(~regular)})}
-        return {name: pack_rows(value) for name, value in arrays.items()}
+        packed = {name: pack_rows(value) for name, value in arrays.items()}
+        del arrays, rows, place, codes, regular, kinds, kind, times, groups
+        give_back()
+        return packed
 
     return described
 
