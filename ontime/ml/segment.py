@@ -77,20 +77,32 @@ def _step(centres: list[np.ndarray]):
     """(design, cluster, n, cost, s0, s1, ...): a task's share of one step of every design."""
     flat, sizes = np.concatenate(centres), [len(c) for c in centres]
     starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    alike = np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(sizes)) + 1)  # neighbouring designs of one k
 
     def stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, cost, sums = np.zeros(len(flat)), np.zeros(len(flat)), np.zeros(flat.shape)
+        buffers = [np.empty((len(flat), SLICE_ROWS)) for _ in range(3)]
         for batch in batches:
             rows = batch.column("x").flatten().to_numpy().reshape(-1, flat.shape[1])
             for at in range(0, len(rows), SLICE_ROWS):
-                x = rows[at: at + SLICE_ROWS]
-                distance = ((x[:, None, :] - flat[None, :, :]) ** 2).sum(2)
-                for start, size in zip(starts, sizes):
-                    own = distance[:, start: start + size]
-                    nearest = own.argmin(1)
-                    n[start: start + size] += np.bincount(nearest, minlength=size)
-                    cost[start: start + size] += np.bincount(nearest, weights=own[np.arange(len(x)), nearest], minlength=size)
-                    np.add.at(sums, start + nearest, x)
+                x = np.ascontiguousarray(rows[at: at + SLICE_ROWS].T)
+                distance, apart, chosen = (whole[:, : x.shape[1]] for whole in buffers)
+                for j, values in enumerate(x):
+                    to = apart if j else distance
+                    np.subtract(values, flat[:, j, None], out=to)
+                    np.multiply(to, to, out=to)
+                    if j:
+                        np.add(distance, apart, out=distance)
+                for own in alike:  # all starts of a k at once
+                    k, first = sizes[own[0]], starts[own[0]]
+                    each = distance[first: first + k * len(own)].reshape(len(own), k, x.shape[1])
+                    nearest = each == each.min(axis=1, keepdims=True)
+                    if np.count_nonzero(nearest) > len(own) * x.shape[1]:
+                        nearest &= np.cumsum(nearest, axis=1) == 1  # the first centre wins ties
+                    chosen[first: first + k * len(own)] = nearest.reshape(-1, x.shape[1])
+                n += chosen.sum(1)
+                cost += np.einsum("ij,ij->i", distance, chosen)
+                sums += chosen @ x.T
         design = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         cluster = (np.arange(len(flat)) - starts[design]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(

@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -11,7 +13,7 @@ from ontime.ml import segment as sg
 from ontime.ml import train as t
 from ontime.ml.preprocess import feature_names, preprocessor, zscore
 from ontime.ml.score import scenarios, score
-from ontime.ml.silhouette import euclidean_silhouette
+from ontime.ml.silhouette import euclidean_silhouette, parts_of
 from ontime.ml.spec import FeatureSpec, SegmentSpec
 from ontime.ml.split import stratified_folds, stratified_parts, stratified_split
 from ontime.ml.store import ModelStore
@@ -270,3 +272,24 @@ def test_scenarios_derive_features_again(spark):
     assert (rows["now"]["is_rush_hour"], rows["rush"]["is_rush_hour"]) == (0, 1)
     assert (rows["now"]["value_per_item"], rows["rush"]["value_per_item"]) == (33.0, 25.0)
     assert rows["rush"]["density"] == 5.0
+
+
+def test_a_step_of_all_designs_like_one_by_one():
+    draw = np.random.default_rng(7)
+    x = np.round(draw.normal(size=(1_300, 3)), 1)
+    centres = [x[draw.integers(0, 1_300, k)] for k in (2, 2, 3, 4)]
+    centres.append(np.repeat(x[:1], 3, axis=0))  # equal centres: the first wins
+    got = pa.Table.from_batches(list(sg._step(centres)(iter([pa.RecordBatch.from_arrays([pa.array(x[a: a + 700].tolist())], ["x"]) for a in (0, 700)]))))
+    want = []
+    for d, own in enumerate(centres):
+        apart = ((x[:, None, :] - own[None]) ** 2).sum(2)
+        nearest = apart.argmin(1)
+        want += [[d, c, (nearest == c).sum(), apart[nearest == c, c].sum(), *x[nearest == c].sum(0)] for c in range(len(own))]
+    assert np.allclose(got.to_pandas().to_numpy(), want)
+
+
+def test_silhouette_copies_of_a_point_do_not_grow_with_the_points(spark):
+    assert parts_of(2_000) == 1 and parts_of(20_000) == parts_of(1_600_000) == 16 and parts_of(16_000_000) == 160
+    df = spark.range(500).select("id", (F.col("id") % 3).cast("int").alias("c"), F.array(F.pmod(F.col("id") * 37, F.lit(101)).cast("double"), (F.col("id") % 3 * 40).cast("double")).alias("x"))
+    one, many = (euclidean_silhouette(df, "id", "c", "x", block=block).first() for block in (500, 20))
+    assert many["n"] == one["n"] == 500 and many["silhouette"] == pytest.approx(one["silhouette"], abs=1e-12)
