@@ -293,3 +293,13 @@ def test_silhouette_copies_of_a_point_do_not_grow_with_the_points(spark):
     df = spark.range(500).select("id", (F.col("id") % 3).cast("int").alias("c"), F.array(F.pmod(F.col("id") * 37, F.lit(101)).cast("double"), (F.col("id") % 3 * 40).cast("double")).alias("x"))
     one, many = (euclidean_silhouette(df, "id", "c", "x", block=block).first() for block in (500, 20))
     assert many["n"] == one["n"] == 500 and many["silhouette"] == pytest.approx(one["silhouette"], abs=1e-12)
+
+
+def test_marking_parts_moves_no_rows(spark, capsys):
+    """Cuts are a few counted rows: the table that is marked with them is not shuffled by its two labels."""
+    df = spark.range(5_000).select("id", (F.col("id") % 2).alias("label"))
+    parts = stratified_parts(df, "label", "id")
+    parts.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert parts.where("fold < 0").count() == 1_250
