@@ -203,6 +203,15 @@ def _scan(grid: Grid, k: int):
     return scanned
 
 
+def tiles(cells: DataFrame, groups: DataFrame, n_blocks: int, n_groups: int) -> DataFrame:
+    """Every block with every group of queries.
+
+    Catalyst takes the copies of a group for one row: without the hint it would gather them all in the driver for a broadcast.
+    """
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    return cells.withColumn("part", every(n_groups)).join(groups.withColumn("block", every(n_blocks)).hint("merge"), ["block", "part"])
+
+
 def candidates(classes: DataFrame, asks: DataFrame, n: int, n_asks: int, width: int, k: int, bits: int = BITS,
                block_rows: int = BLOCK_ROWS, group_queries: int = GROUP_QUERIES) -> DataFrame:
     """(ask, class, high, place): per query the classes that may be among its ``k`` best, by falling upper bound."""
@@ -210,9 +219,7 @@ def candidates(classes: DataFrame, asks: DataFrame, n: int, n_asks: int, width:
     n_blocks, n_groups = max(1, -(-n // block_rows)), max(1, -(-n_asks // group_queries))
     cells = staged(classes.select("class", "x").repartition(n_blocks).mapInArrow(_blocks(grid), "block int, classes binary, cells binary"), "va-file")
     groups = staged(asks.select("class", "x").repartition(n_groups).mapInArrow(_groups(width), "part int, asks binary, q binary"), "va-queries")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    tiles = cells.withColumn("part", every(n_groups)).join(groups.withColumn("block", every(n_blocks)), ["block", "part"])
-    bounded = staged(tiles.mapInArrow(_scan(grid, k), "ask long, class long, high double, low double"), "va-bounds")
+    bounded = staged(tiles(cells, groups, n_blocks, n_groups).mapInArrow(_scan(grid, k), "ask long, class long, high double, low double"), "va-bounds")
     best = bounded.select("ask", "low", F.row_number().over(Window.partitionBy("ask").orderBy(F.desc("low"))).alias("place")).where(F.col("place") <= k)
     least = best.groupBy("ask").agg(F.when(F.count(F.lit(1)) == k, F.min("low")).alias("least"))
     kept = bounded.drop("low").join(least, "ask").where(F.col("least").isNull() | (F.col("high") >= F.col("least")))

@@ -70,3 +70,12 @@ def test_reads_go_on_until_the_last_answer_is_certain(spark):
     draw = np.random.default_rng(4)
     rows = [(n, draw.normal(0, 0.2, 3).tolist()) for n in range(300)]
     assert run(spark, rows, k=3, bits=1) == brute(rows, lambda key: key % 7 == 0, 3)
+
+
+def test_tiles_are_not_gathered_in_the_driver(spark):
+    """The copies of small groups are as many as there are blocks: no broadcast, whatever their file's size."""
+    cells = vafile.staged(spark.createDataFrame([(b, b"c" * 9, b"x" * 50) for b in range(4)], "block int, classes binary, cells binary"), "va-file")
+    groups = vafile.staged(spark.createDataFrame([(p, b"a" * 9, b"q" * 50) for p in range(3)], "part int, asks binary, q binary"), "va-queries")
+    tiles = vafile.tiles(cells, groups, 4, 3)
+    assert sorted((r["block"], r["part"]) for r in tiles.collect()) == [(b, p) for b in range(4) for p in range(3)]
+    assert "Broadcast" not in tiles._jdf.queryExecution().executedPlan().toString()
