@@ -303,3 +303,20 @@ def test_marking_parts_moves_no_rows(spark, capsys):
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
     assert parts.where("fold < 0").count() == 1_250
+
+
+def test_cells_give_the_sums_of_their_points():
+    """Many points of a packed table are added cell by cell, to the numbers that comparing each of them gives."""
+    draw = np.random.default_rng(11)
+    x = np.concatenate([np.round(draw.normal(size=(5_000, 4)), 1), np.zeros((200, 4))])
+    lists = pa.RecordBatch.from_arrays([pa.array(x.tolist())], ["x"])
+    packed = list(sg._cut(iter([lists])))
+    assert sum(b.column("n")[0].as_py() for b in packed) == len(x) and sum(b.num_rows for b in packed) < 3
+    cells = list(sg._cells_of(packed[0], 4))[0]
+    assert cells.points.max() <= sg.CELL_ROWS and sorted(map(tuple, cells.x.T.tolist())) == sorted(map(tuple, x.tolist()))
+    centres = [x[draw.integers(0, len(x), k)] for k in (2, 3, 6)]
+    near = sg._near(cells.middle, cells.reach, centres[0])[1]
+    assert cells.points[near.sum(1) == 1].sum() > len(x) / 10
+    got = pa.Table.from_batches(list(sg._step(centres)(iter(packed)))).to_pandas().to_numpy()
+    want = pa.Table.from_batches(list(sg._step(centres)(iter([lists])))).to_pandas().to_numpy()
+    assert np.array_equal(got[:, 2], want[:, 2]) and np.allclose(got, want)
